@@ -61,21 +61,20 @@ def round4(column: Column) -> Column:
     """Round a double to 4 places by its exact binary value, ties to even.
 
     ``round`` works on the shortest decimal text, so 0.00015, which in binary lies
-    below the tie, would go up. Where the text ends in a 5 at the fifth place, the
-    rounding error of ``column * 100000``, found exactly by splitting the column,
-    tells on which side of the tie the value lies.
+    below the tie, would go up. Near a tie the side is therefore told by the exact
+    product with 100000: the rounded product plus its rounding error, which comes
+    out exactly by splitting the column.
     """
     scale = F.lit(100000.0)  # 17 bits, so only the column needs splitting
-    scaled = column * scale
-    high = column * _SPLIT - (column * _SPLIT - column)
-    low = column - high
-    error = (high * scale - scaled) + low * scale
-    toward = F.signum(error) * F.signum(scaled)
-    units = F.abs(scaled)
-    down, up = (units - 5) / 10, (units + 5) / 10
+    size = F.abs(column)
+    scaled = size * scale
+    high = size * _SPLIT - (size * _SPLIT - size)
+    error = (high * scale - scaled) + (size - high) * scale
+    tie = F.rint(scaled)
+    side = (scaled - tie) + error
+    down, up = (tie - 5) / 10, (tie + 5) / 10
     nearest = (
-        F.when(toward > 0, up)
-        .when(toward < 0, down)
-        .otherwise(F.when(down % 2 == 0, down).otherwise(up)))
-    on_tie = (F.abs(column) < 1e9) & (units % 10 == 5)
-    return F.when(on_tie, F.signum(scaled) * nearest / 10000.0).otherwise(F.round(column, 4))
+        F.when(side > 0, up).when(side < 0, down)
+        .when(down % 2 == 0, down).otherwise(up))
+    near_tie = (size < 1e9) & (tie % 10 == 5)
+    return F.when(near_tie, F.signum(column) * nearest / 10000.0).otherwise(F.round(column, 4))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pixeltally.operators.cleaning import keep_first
 from pixeltally.operators.keys import assign_ids
 from pixeltally.schemas import BASE_SOURCE, ENRICHED_SOURCE
 
@@ -12,10 +15,12 @@ from pixeltally.schemas import BASE_SOURCE, ENRICHED_SOURCE
 def enrich_by_title(sales: DataFrame, metadata: DataFrame) -> DataFrame:
     """Add metadata, one row per title, to every sales row of that title.
 
-    Sales may hold very frequent titles; the metadata side has one row per title,
-    so Spark's skew-join handling can split them.
+    Sales may hold very frequent titles, which Spark's skew-join handling splits. It
+    does so only where both sides are shuffled for the join itself; metadata that
+    comes out of an aggregate or join by title would skip that shuffle, hence the
+    rebalance. A small metadata side is broadcast, by its size.
     """
-    return sales.join(metadata, "title", "left")
+    return sales.join(metadata.hint("rebalance"), "title", "left")
 
 
 def tag_source(df: DataFrame) -> DataFrame:
@@ -29,6 +34,11 @@ def not_in(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return rows.join(known.select(key), key, "left_anti")
 
 
+def insert_ignore(rows: DataFrame, existing: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """The rows an insert that ignores known keys adds: the first of each key that is not known yet."""
+    return not_in(keep_first(rows, [key], order), existing, key)
+
+
 def new_rows(rows: DataFrame, existing: DataFrame, key: str, id_column: str) -> DataFrame:
     """The rows to insert: key not in ``existing`` yet, with ids that follow the ids there.
 

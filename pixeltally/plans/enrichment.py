@@ -20,7 +20,8 @@ from pixeltally.schemas import ENRICHMENT
 # A row lacks something where one of these is null.
 WANTED = ["critic_score", "developer", "release_date"]
 
-# Titles looked up by one enrichment run, in input order.
+# How many titles one run of a rate-limited catalogue client looks up, in input order.
+# Responses that are already a table need no such limit, so it is nowhere the default.
 TITLES_PER_RUN = 1000
 
 
@@ -53,22 +54,23 @@ def title_matches(responses: DataFrame) -> DataFrame:
 
 def known_titles(previous: DataFrame) -> DataFrame:
     """What an earlier enriched table knows: one row per title that was found."""
+    found = [c for c in ENRICHMENT.fieldNames() if c != "title"]
     return (
-        previous.filter("rawg_id IS NOT NULL").select(*ENRICHMENT.fieldNames())
-        .dropDuplicates(["title"]))
+        previous.filter("rawg_id IS NOT NULL").groupBy("title")
+        .agg(F.max(F.struct(*found)).alias("found")).select("title", "found.*"))
 
 
 def titles_to_look_up(
-    sales: DataFrame, order: Sequence[str], previous: DataFrame | None = None, limit: int | None = TITLES_PER_RUN,
+    sales: DataFrame, order: Sequence[str], previous: DataFrame | None = None, limit: int | None = None,
 ) -> DataFrame:
-    """Titles with an incomplete row, at most ``limit``, less those found earlier."""
+    """Titles with an incomplete row, or the first ``limit`` of them, less those found earlier."""
     titles = first_titles(incomplete_rows(sales), order, limit)
     return titles if previous is None else not_in(titles, known_titles(previous), "title")
 
 
 def enrich(
     sales: DataFrame, responses: DataFrame, order: Sequence[str],
-    previous: DataFrame | None = None, limit: int | None = TITLES_PER_RUN,
+    previous: DataFrame | None = None, limit: int | None = None,
 ) -> DataFrame:
     """Sales with the catalogue columns and the source tag.
 

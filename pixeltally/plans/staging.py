@@ -13,9 +13,6 @@ from pixeltally.plans.enrichment import first_titles, title_details
 from pixeltally.sources.files import FILE_ORDER, read_csv, read_parquet, write_parquet
 from pixeltally.sources.lake import write_lake
 
-# Titles looked up in the catalogue by one staging run, in input order.
-TITLES_PER_RUN = 200
-
 
 @dataclass
 class Staged:
@@ -30,13 +27,13 @@ class Staged:
 
 def stage_sales(
     spark: SparkSession, csv_path: str, root: str, responses: DataFrame | None = None,
-    max_titles: int | None = TITLES_PER_RUN, multi_line: bool | None = None,
+    max_titles: int | None = None, multi_line: bool | None = None,
 ) -> Staged:
     """Copy the CSV to Parquet, clean and unpivot it, and write the long table and the lake below ``root``.
 
     Each step reads what the one before wrote, so the CSV is parsed once. The raw
     copy has one column more than the CSV, the input order. With catalogue
-    ``responses`` the long table gains the details of the first ``max_titles`` titles.
+    ``responses`` the long table gains the details of all titles, or of the first ``max_titles``.
     """
     raw_path, staged_path, lake_path = f"{root}/raw", f"{root}/staged", f"{root}/partitioned"
     write_parquet(read_csv(spark, csv_path, multi_line, file_order=True), raw_path)

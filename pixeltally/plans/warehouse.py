@@ -59,11 +59,6 @@ def build_dim_genre(clean: DataFrame, seed: DataFrame) -> DataFrame:
     return seed.unionByName(new_rows(genres(clean), seed, "genre_name", "genre_id"))
 
 
-def _lookup(dimension: DataFrame, code: str, id_column: str, name: str) -> DataFrame:
-    # One id per code even if the dimension repeats a code.
-    return dimension.groupBy(F.col(code).alias(name)).agg(F.min(id_column).alias(id_column))
-
-
 def build_fact_sales(
     clean: DataFrame, dim_game: DataFrame, dim_platform: DataFrame, dim_genre: DataFrame, dim_region: DataFrame,
 ) -> DataFrame:
@@ -72,14 +67,15 @@ def build_fact_sales(
     Rows without game or region are left out; an unknown platform or genre gives a
     null key. The joins come before the unpivot, on a quarter of the rows. ``clean``
     has one row per title, so game and region tell a row apart, and its id follows
-    from the two without another shuffle.
+    from the two without another shuffle. Platform, genre and region codes are unique
+    in their tables; titles need not be, and the first game of a title counts.
     """
     keyed = (
-        clean.join(_lookup(dim_game, "title", "game_id", "title"), "title")
-        .join(_lookup(dim_platform, "platform_code", "platform_id", "platform"), "platform", "left")
-        .join(_lookup(dim_genre, "genre_name", "genre_id", "genre"), "genre", "left"))
+        clean.join(dim_game.groupBy("title").agg(F.min("game_id").alias("game_id")), "title")
+        .join(dim_platform.select(F.col("platform_code").alias("platform"), "platform_id"), "platform", "left")
+        .join(dim_genre.select(F.col("genre_name").alias("genre"), "genre_id"), "genre", "left"))
     kept = ["game_id", "platform_id", "genre_id", "release_year", "total_sales"]
-    regions = _lookup(dim_region, "region_code", "region_id", "region_code")
+    regions = dim_region.select("region_code", "region_id")
     codes = list(SALES_REGIONS.values())
     place = F.array_position(F.array(*map(F.lit, codes)), F.col("region_code"))
     return melt_sales(keyed, kept).join(regions, "region_code").select(

@@ -55,9 +55,6 @@ class Warehouse:
         """Replace the table's rows. ``rows`` must not read the same table."""
         self._insert("INSERT OVERWRITE", rows, table)
 
-    def is_empty(self, table: str) -> bool:
-        return self.table(table).isEmpty()
-
     def counts(self, tables: list[str] | None = None) -> DataFrame:
         return row_counts({t: self.table(t) for t in tables or list(TABLES)})
 

@@ -239,7 +239,7 @@ def find_incomplete(spark, sf_dir):
     ORDER BY first_row LIMIT 1000""")
 def first_titles_to_look_up(spark, sf_dir):
     """The first 1,000 incomplete titles in input order: one run's look-ups."""
-    return enrichment.titles_to_look_up(wide_sales(spark, sf_dir), ORDER)
+    return enrichment.titles_to_look_up(wide_sales(spark, sf_dir), ORDER, limit=enrichment.TITLES_PER_RUN)
 
 
 # ---- reshape ----------------------------------------------------------------
@@ -359,6 +359,14 @@ def merge_insert_new(spark, sf_dir):
     return target.table("dim_game").select("game_id", "title", "publisher", "developer", "critic_score")
 
 
+@query("""SELECT console AS platform_code, min(row_ord) AS row_ord FROM wide
+    WHERE console NOT IN (SELECT platform_code FROM seed_platform) GROUP BY console""")
+def insert_ignore(spark, sf_dir):
+    """Platforms of the data that the platform dimension does not know."""
+    rows = wide_sales(spark, sf_dir).select(F.col("console").alias("platform_code"), "row_ord")
+    return joins.insert_ignore(rows, star(spark, sf_dir)["dim_platform"], "platform_code", ORDER)
+
+
 @query("SELECT game_id, title, publisher, developer, critic_score, 'vgchartz' AS data_source FROM game")
 def append_table(spark, sf_dir):
     """Two appends, by whether a critic score is known; the source column takes its default."""
@@ -484,7 +492,7 @@ def wide_distinct_counts(spark, sf_dir):
 
 
 def _enriched(spark, sf_dir) -> DataFrame:
-    return enrichment.enrich(wide_sales(spark, sf_dir), responses(spark, sf_dir), ORDER, limit=None)
+    return enrichment.enrich(wide_sales(spark, sf_dir), responses(spark, sf_dir), ORDER)
 
 
 @query("""SELECT count(*) AS total, count(rawg_id) AS matched, 100.0::DOUBLE * count(rawg_id) / count(*) AS match_rate_pct
@@ -547,7 +555,7 @@ def _earlier_run(spark, sf_dir) -> DataFrame:
 
 @query(f"WITH {_EARLIER} SELECT DISTINCT title FROM incomplete WHERE title NOT IN (SELECT title FROM earlier)")
 def resume_anti_join(spark, sf_dir):
-    return enrichment.titles_to_look_up(wide_sales(spark, sf_dir), ORDER, _earlier_run(spark, sf_dir), limit=None)
+    return enrichment.titles_to_look_up(wide_sales(spark, sf_dir), ORDER, _earlier_run(spark, sf_dir))
 
 
 @query(f"""WITH {_EARLIER} SELECT title, rawg_id, rawg_released, rawg_metacritic, 'earlier' AS rawg_developers FROM earlier
@@ -573,7 +581,7 @@ def enrich_catalog(spark, sf_dir):
     wide, answers = wide_sales(spark, sf_dir), responses(spark, sf_dir)
     first = scratch_path(spark, "enriched")
     files.write_parquet(_earlier_run(spark, sf_dir).filter("developer IS NULL"), first)
-    return enrichment.enrich(wide, answers, ORDER, previous=files.read_parquet(spark, first), limit=None)
+    return enrichment.enrich(wide, answers, ORDER, previous=files.read_parquet(spark, first))
 
 
 # ---- quality ----------------------------------------------------------------

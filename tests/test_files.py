@@ -1,0 +1,125 @@
+"""CSV, Parquet, the lake and its manifest."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from pixeltally.plans.staging import stage_sales
+from pixeltally.sources import files, lake
+
+CSV = '''Title,Console,Genre,Publisher,Developer,Critic Score,NA Sales,PAL Sales,Total Sales,Release Date
+"Alpha, the ""first""",PS5,Action,NA,N/A,8.5,1.25,0.5,1.75,2001-03-04
+Beta,,null,P,D,tbd,0,2.00005,2,2002-01-01
+Beta,PC,Sports,P,D,7,9,9,18,2002-01-01
+None,PC,Sports,P,D,7,9,9,18,2002-01-01
+
+Gamma,PC,Sports,P,D
+'''
+LONG = [("Alpha, the \"first\"", "NA", 1.25), ("Alpha, the \"first\"", "EU", 0.5), ("Beta", "EU", round(2.00005, 4))]
+
+
+@pytest.fixture
+def csv(tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text(CSV)
+    return str(path)
+
+
+def test_csv(spark, csv):
+    rows = files.read_csv(spark, csv, file_order=True).orderBy(files.FILE_ORDER).collect()
+    assert [r.Title for r in rows] == ["Alpha, the \"first\"", "Beta", "Beta", None, "Gamma"]
+    assert rows[0].Publisher is None and rows[0].Developer is None and rows[1].Genre is None
+    assert rows[4]["Release Date"] is None
+    assert [f.dataType.simpleString() for f in spark.read.option("header", True).csv(csv).schema] == ["string"] * 10
+
+
+def test_records_over_several_lines_are_found(spark, tmp_path, csv):
+    path = tmp_path / "lines.csv"
+    path.write_text('title,console\n"two\nlines",PC\nplain,"a ""quoted"" word"\n')
+    assert files.has_multiline_records(spark, str(path))
+    assert not files.has_multiline_records(spark, csv)
+    assert sorted(files.read_csv(spark, str(path)).collect()) == [("plain", 'a "quoted" word'), ("two\nlines", "PC")]
+
+
+def test_file_order_is_the_order_of_the_lines(spark, settings, tmp_path):
+    """Also where a file is read in many pieces, which Spark hands out by size."""
+    path = tmp_path / "long.csv"
+    path.write_text("n\n" + "".join(f"{i}\n" for i in range(50000)))
+    settings({"spark.sql.files.maxPartitionBytes": "20000"})
+    rows = files.read_csv(spark, str(path), file_order=True)
+    assert rows.rdd.getNumPartitions() > 5
+    assert [int(r.n) for r in rows.orderBy(files.FILE_ORDER).collect()] == list(range(50000))
+
+
+def test_source(spark, tmp_path, csv):
+    enriched = str(tmp_path / "enriched")
+    assert files.resolve_source(spark, enriched, csv).count() == 5
+    files.write_parquet(spark.range(2), enriched)
+    assert files.resolve_source(spark, enriched, csv).count() == 2
+    with pytest.raises(FileNotFoundError):
+        files.resolve_source(spark, str(tmp_path / "no"), str(tmp_path / "nor.csv"))
+
+
+def test_lake(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    rows = [("A", 2000, 1.0), ("A", None, 2.0), (None, 2000, 4.0), ("B", 2001, 3.0)]
+    df = spark.createDataFrame(rows, "continent string, release_year int, sales double")
+    assert lake.write_lake(df, path) == 2
+    assert sorted(lake.read_lake(spark, path).select("continent", "year", "release_year", "sales").collect()) == [
+        ("A", 2000, 2000, 1.0), ("B", 2001, 2001, 3.0)]
+    # A second write replaces the folders it has rows for, and no other.
+    lake.write_lake(df.filter("continent = 'A'").withColumn("sales", F.lit(9.0)), path)
+    assert sorted(r.sales for r in lake.read_lake(spark, path).collect()) == [3.0, 9.0]
+    assert lake.write_lake(df, str(tmp_path / "whole"), keep_null=True) == 0
+    assert lake.read_lake(spark, str(tmp_path / "whole")).count() == 4
+
+
+def test_lake_skips_folders(spark, tmp_path, plan_of):
+    path = str(tmp_path / "lake")
+    df = spark.range(100).select(
+        F.concat(F.lit("C"), F.col("id") % 4).alias("continent"), (F.lit(2000) + F.col("id") % 5).cast("int").alias("release_year"), "id")
+    lake.write_lake(df, path)
+    plan = plan_of(lake.read_lake(spark, path).filter("continent = 'C1' AND year = 2001").select("id"))
+    assert "PartitionFilters: [isnotnull(continent" in plan and "ReadSchema: struct<id:bigint>" in plan
+
+
+def test_a_hot_folder_is_written_by_several_tasks(spark, settings, tmp_path):
+    path = str(tmp_path / "lake")
+    df = spark.range(0, 400000, 1, 8).select(
+        F.lit("A").alias("continent"), F.lit(2000).alias("release_year"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    settings({"spark.sql.adaptive.advisoryPartitionSizeInBytes": "2MB"})
+    lake.write_lake(df, path)
+    assert lake.manifest(spark, path).count() > 3
+    assert lake.read_lake(spark, path).count() == 400000
+
+
+def test_manifest_and_publish(spark, tmp_path):
+    source, target = str(tmp_path / "lake"), str(tmp_path / "published")
+    df = spark.createDataFrame([("A", 2000, 1.0), ("B", 2001, 3.0)], "continent string, release_year int, sales double")
+    lake.write_lake(df, source)
+    lake.publish(spark, source, target, lake.PARTITIONS)
+    listed = lake.manifest(spark, target)
+    assert {"/".join(r.path.split("/")[-3:-1]) for r in listed.collect()} == {"continent=A/year=2000", "continent=B/year=2001"}
+    totals = lake.manifest_totals(listed).first()
+    assert totals.files == 2
+    assert totals.total_mb == round(sum(r.size_bytes for r in listed.collect()) / 1024 / 1024, 2)
+    lake.publish(spark, f"{source}/continent=A", str(tmp_path / "one"))
+    assert spark.read.parquet(str(tmp_path / "one")).count() == 1
+
+
+def test_stage_sales(spark, csv, tmp_path):
+    staged = stage_sales(spark, csv, str(tmp_path / "out"))
+    assert sorted(map(tuple, staged.long.select("title", "region_code", "sales_millions").collect())) == sorted(LONG)
+    assert staged.raw.count() == 5 and staged.clean.count() == 3
+    assert staged.rows_without_partition == 0
+    assert lake.read_lake(spark, staged.lake_path).count() == 3
+
+
+def test_stage_sales_with_details(spark, csv, tmp_path):
+    payload = '{"results": [{"id": 5, "rating": 4.5, "genres": [{"name": "A"}, {"name": "B"}], "tags": null}, {"id": 6}]}'
+    responses = spark.createDataFrame([("Beta", payload), ("Gamma", payload)], "title string, payload string")
+    for limit, found in ((None, 5), (1, None)):
+        staged = stage_sales(spark, csv, str(tmp_path / f"out{limit}"), responses, max_titles=limit)
+        beta = staged.long.filter("title = 'Beta'").first()
+        assert beta.rawg_id == found
+        if found:
+            assert (beta.rawg_rating, beta.rawg_genres, beta.rawg_tags, beta.esrb_rating) == (4.5, "A, B", "", None)

@@ -1,0 +1,62 @@
+"""The plans that make the operators hold at scale, with the game table too large to broadcast."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from pixeltally.operators import cleaning, reports
+from pixeltally.plans import views, warehouse as loads
+from pixeltally.workload.registry import QUERIES
+from pixeltally.workload.tables import star, wide_sales
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def large_games(spark, settings):
+    tables = star(spark, "/root/testdata/sf0.01")
+    settings({"spark.sql.autoBroadcastJoinThreshold": "9KB", "spark.sql.adaptive.autoBroadcastJoinThreshold": "9KB"})
+    return tables
+
+
+def test_facts_meet_games_without_a_shuffle(large_games, plan_of):
+    plan = plan_of(views.sales_continent_genre(large_games))
+    assert "SortMergeJoin [game_id" in plan
+    assert len(re.findall(r"BroadcastHashJoin", plan)) == 2
+    # The only shuffle is of the groups, after they are counted per game.
+    assert [m for m in re.findall(r" Exchange hashpartitioning\((\w+)", plan)] == ["continent"]
+
+
+def test_top_k_limits_before_the_shuffle(large_games, plan_of):
+    plan = plan_of(views.top_games_per_region(large_games, 3))
+    assert re.search(r"WindowGroupLimit \[region_id.*row_number\(\), 3, Partial", plan)
+    assert "SortMergeJoin [region_id" not in plan
+
+
+def test_keep_first_limits_before_the_shuffle(spark, plan_of):
+    plan = plan_of(cleaning.keep_first(wide_sales(spark, SF_DIR), ["title"], ["row_ord"]))
+    assert re.search(r"WindowGroupLimit \[title.*row_number\(\), 1, Partial", plan)
+
+
+def test_top_titles_sort_no_more_than_k(spark, plan_of):
+    assert "TakeOrderedAndProject(limit=10" in plan_of(reports.top_totals(wide_sales(spark, SF_DIR), "title"))
+
+
+def test_scans_read_what_they_need(spark, plan_of):
+    plan = plan_of(reports.totals_by(wide_sales(spark, SF_DIR), "genre"))
+    assert "ReadSchema: struct<genre:string,total_sales:double>" in plan
+    assert "PushedFilters: [IsNotNull(genre)]" in plan
+
+
+def test_unpivot_is_one_pass(spark, plan_of):
+    df = wide_sales(spark, SF_DIR).withColumn("platform", F.col("console"))
+    plan = plan_of(loads.melt_sales(df, ["title", "platform"]))
+    assert plan.count("FileScan") == 1 and "Expand" in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_python_and_no_cross_join(spark, name):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    for operator in ("EvalPython", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert operator not in plan
