@@ -28,16 +28,19 @@ def best_match(results: Column, title: Column) -> Column:
 
 def joined_names(items: Column) -> Column:
     """Names of an array of records as one comma-joined text, empty for none."""
-    return F.coalesce(F.array_join(F.transform(items, lambda item: item["name"]), ", "), F.lit(""))
+    return F.coalesce(F.array_join(items["name"], ", "), F.lit(""))
 
 
 def detail_columns(game: Column) -> list[Column]:
     """Rating, genres, first tags, age rating and picture of a catalogue record."""
+    def names(items: Column) -> Column:
+        return F.when(game.isNotNull(), joined_names(items))
+
     return [
         game["id"].alias("rawg_id"),
         game["rating"].alias("rawg_rating"),
-        joined_names(game["genres"]).alias("rawg_genres"),
-        joined_names(F.slice(game["tags"], 1, TAGS_KEPT)).alias("rawg_tags"),
+        names(game["genres"]).alias("rawg_genres"),
+        names(F.slice(game["tags"], 1, TAGS_KEPT)).alias("rawg_tags"),
         game["esrb_rating"]["name"].alias("esrb_rating"),
         game["background_image"].alias("background_img"),
     ]

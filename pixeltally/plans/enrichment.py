@@ -39,17 +39,21 @@ def first_titles(df: DataFrame, order: Sequence[str], limit: int | None = None)
 
 
 def title_details(responses: DataFrame, titles: DataFrame) -> DataFrame:
-    """Rating, genres, tags, age rating and picture of each title's first candidate."""
+    """Rating, genres, tags, age rating and picture of each title's first candidate; nulls where there is none."""
     game = first_result(parse_results(F.col("payload")))
     found = responses.join(titles, "title", "left_semi").select("title", game.alias("game"))
-    return found.filter("game IS NOT NULL").select("title", *detail_columns(F.col("game")))
+    return found.select("title", *detail_columns(F.col("game")))
 
 
 def title_matches(responses: DataFrame) -> DataFrame:
-    """The best candidate of each response as enrichment columns; no row where there is none."""
+    """The best candidate of each response as enrichment columns, nulls where there is none.
+
+    A filter on the candidate would move below the JSON parser and parse every
+    response twice; the left join that follows gives nulls for an absent row just as well.
+    """
     results = responses.select("title", parse_results(F.col("payload")).alias("results"))
     matched = results.select("title", best_match(F.col("results"), F.col("title")).alias("game"))
-    return matched.filter("game IS NOT NULL").select("title", *enrichment_columns(F.col("game")))
+    return matched.select("title", *enrichment_columns(F.col("game")))
 
 
 def known_titles(previous: DataFrame) -> DataFrame:

@@ -11,18 +11,18 @@ from pixeltally.operators.joins import enrich_by_title
 from pixeltally.operators.reshape import unpivot_sales
 from pixeltally.plans.enrichment import first_titles, title_details
 from pixeltally.sources.files import FILE_ORDER, read_csv, read_parquet, write_parquet
-from pixeltally.sources.lake import write_lake
+from pixeltally.sources.lake import rows_without_partition, write_lake
 
 
 @dataclass
 class Staged:
-    """What a staging run wrote: the raw copy, the long table, and rows the lake left out."""
+    """What a staging run wrote: the raw copy, the long table and the lake; and how many rows the lake left out."""
 
     raw: DataFrame
     clean: DataFrame
     long: DataFrame
     lake_path: str
-    rows_without_partition: int
+    rows_without_partition: DataFrame
 
 
 def stage_sales(
@@ -45,5 +45,5 @@ def stage_sales(
         long = enrich_by_title(long, title_details(responses, titles))
     write_parquet(long, staged_path)
     staged = read_parquet(spark, staged_path)
-    dropped = write_lake(staged, lake_path)
-    return Staged(raw.drop(FILE_ORDER), clean.drop(FILE_ORDER), staged, lake_path, dropped)
+    write_lake(staged, lake_path)
+    return Staged(raw.drop(FILE_ORDER), clean.drop(FILE_ORDER), staged, lake_path, rows_without_partition(staged))

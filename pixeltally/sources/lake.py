@@ -8,25 +8,31 @@ from pyspark.sql import functions as F
 PARTITIONS = ["continent", "year"]
 
 
-def write_lake(long: DataFrame, path: str, keep_null: bool = False) -> int:
-    """Write long sales by continent and release year; returns how many rows had a null key.
+NO_KEY = "continent IS NULL OR release_year IS NULL"
 
-    Rows without continent or year are left out unless ``keep_null`` is set. Only
-    partitions that occur in ``long`` are replaced. Rows are rebalanced on the
-    partition columns first: few files per partition, and a partition that holds a
-    large share of the rows is split over tasks. The path may be any Hadoop URI.
+
+def rows_without_partition(long: DataFrame) -> DataFrame:
+    """How many rows the lake leaves out."""
+    return long.agg(F.count_if(F.expr(NO_KEY)).alias("row_count"))
+
+
+def write_lake(long: DataFrame, path: str, keep_null: bool = False) -> None:
+    """Write long sales by continent and release year.
+
+    Rows without continent or year are left out unless ``keep_null`` is set; see
+    ``rows_without_partition``. Only partitions that occur in ``long`` are replaced.
+    Rows are rebalanced on the partition columns first: few files per partition, and
+    a partition that holds a large share of the rows is split over tasks. The path
+    may be any Hadoop URI.
     """
-    no_key = F.col("continent").isNull() | F.col("release_year").isNull()
-    dropped = 0 if keep_null else long.filter(no_key).count()
     # The release year stays in the data files; the folder's year is a copy of it.
-    rows = (long if keep_null else long.filter(~no_key)).withColumn("year", F.col("release_year"))
+    rows = (long if keep_null else long.filter(f"NOT ({NO_KEY})")).withColumn("year", F.col("release_year"))
     data = [c for c in rows.columns if c not in PARTITIONS]
     (
         rows.select(*data, F.col("continent"), F.col("year"))
         .hint("rebalance", *PARTITIONS)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS).parquet(path))
-    return dropped
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:

@@ -515,6 +515,8 @@ def value_counts(spark, sf_dir):
 
 # ---- enrichment -------------------------------------------------------------
 
+_TITLE = "(p_name || ' (' || p_partkey || ')')"
+
 
 @query("SELECT row_ord, title, rawg_id, rawg_released, rawg_metacritic, rawg_developers FROM wide LEFT JOIN lookups USING (title)")
 def enrich_left_join(spark, sf_dir):
@@ -522,28 +524,31 @@ def enrich_left_join(spark, sf_dir):
     return joins.enrich_by_title(wide_sales(spark, sf_dir).select("row_ord", "title"), found)
 
 
-@query("SELECT title, id AS rawg_id, name AS matched_name FROM best")
+@query(f"SELECT {_TITLE} AS title, id AS rawg_id, name AS matched_name FROM part LEFT JOIN best ON {_TITLE} = title")
 def best_match(spark, sf_dir):
     results = responses(spark, sf_dir).select("title", catalog.parse_results(F.col("payload")).alias("results"))
     game = results.select("title", catalog.best_match(F.col("results"), F.col("title")).alias("game"))
-    return game.filter("game IS NOT NULL").select("title", F.col("game.id").alias("rawg_id"), F.col("game.name").alias("matched_name"))
+    return game.select("title", F.col("game.id").alias("rawg_id"), F.col("game.name").alias("matched_name"))
 
 
-@query("""SELECT title, id AS rawg_id, rating AS rawg_rating, genres AS rawg_genres, tags AS rawg_tags, esrb AS esrb_rating,
-      background_image AS background_img, released AS rawg_released, metacritic AS rawg_metacritic, developers AS rawg_developers
-    FROM candidates QUALIFY row_number() OVER (PARTITION BY title ORDER BY step) = 1""")
+@query(f"""WITH firsts AS (SELECT * FROM candidates QUALIFY row_number() OVER (PARTITION BY title ORDER BY step) = 1)
+    SELECT {_TITLE} AS title, id AS rawg_id, rating AS rawg_rating, genres AS rawg_genres, tags AS rawg_tags,
+      esrb AS esrb_rating, background_image AS background_img, released AS rawg_released, metacritic AS rawg_metacritic,
+      developers AS rawg_developers
+    FROM part LEFT JOIN firsts ON {_TITLE} = title""")
 def parse_catalog_json(spark, sf_dir):
     """Both projections of the first candidate."""
     game = catalog.first_result(catalog.parse_results(F.col("payload")))
-    first = responses(spark, sf_dir).select("title", game.alias("game")).filter("game IS NOT NULL")
+    first = responses(spark, sf_dir).select("title", game.alias("game"))
     record = F.col("game")
     return first.select("title", *catalog.detail_columns(record), *catalog.enrichment_columns(record)[1:])
 
 
 # An earlier run that looked at rows without developer only.
-_EARLIER = """
+_EARLIER = f"""
     earlier AS (SELECT * FROM lookups WHERE title IN (SELECT title FROM wide WHERE developer IS NULL)),
-    now AS (SELECT * FROM lookups WHERE title IN (SELECT title FROM incomplete))"""
+    now AS (SELECT {_TITLE} AS title, rawg_id, rawg_released, rawg_metacritic, rawg_developers
+      FROM part LEFT JOIN lookups ON {_TITLE} = title WHERE {_TITLE} IN (SELECT title FROM incomplete))"""
 
 
 def _earlier_run(spark, sf_dir) -> DataFrame:

@@ -22,7 +22,7 @@ def test_query(spark, duck, name):
     result = QUERIES[name](spark, SF_DIR).toArrow()
     assert result.num_rows > 0
     if name in ORACLES:
-        assert differences(result, duck.execute(ORACLES[name]).to_arrow_table()) == []
+        assert differences(result, duck.sql(ORACLES[name]).to_arrow_table()) == []
 
 
 def test_only_the_manifest_has_no_oracle():

@@ -1,4 +1,4 @@
-"""The plans that make the operators hold at scale, with the game table too large to broadcast."""
+"""The plans that make the operators hold at scale."""
 
 import re
 
@@ -14,10 +14,10 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture
-def large_games(spark, settings):
-    tables = star(spark, "/root/testdata/sf0.01")
-    settings({"spark.sql.autoBroadcastJoinThreshold": "9KB", "spark.sql.adaptive.autoBroadcastJoinThreshold": "9KB"})
-    return tables
+def large_games(spark):
+    """The star with a game table that is not broadcast, as if it were large."""
+    tables = star(spark, SF_DIR)
+    return {**tables, "dim_game": tables["dim_game"].hint("merge")}
 
 
 def test_facts_meet_games_without_a_shuffle(large_games, plan_of):
