@@ -65,7 +65,7 @@ def main() -> None:
         duck, oracles = connect(sf_dir), oracle_sql()
         duck.execute(f"SET threads = {cpus}")
         result["duckdb"] = {
-            name: warm_median(lambda: duck.sql(oracles[name]).to_arrow_table()) for name in names if name in oracles}
+            name: warm_median(lambda: duck.sql(oracles[name]).to_arrow_table()) for name in names}
     spark.stop()
     print(json.dumps(result))
 
