@@ -61,13 +61,17 @@ def _attach(rows: DataFrame, ranks: DataFrame, group: str, value: str) -> DataFr
     return rows.join(renamed, same).drop("_group", "_value")
 
 
-def with_rank(rows: DataFrame, group: str, value: str, rank: str) -> DataFrame:
+def with_rank(rows: DataFrame, group: str, value: str, rank: str, ranks: DataFrame | None = None) -> DataFrame:
     """Add the rank of ``value`` within ``group``, highest first; ties share a rank and leave a gap.
 
-    The join's rank side has one row per key, so a frequent value is split over
-    tasks by Spark's skew-join handling.
+    ``ranks`` are the ``rank_of_values`` where a caller has stored them. They are far
+    fewer than the rows, and stored ones have a known size: where it allows, Spark
+    broadcasts them and the rows are not shuffled at all. Otherwise the rank side has
+    one row per key, so Spark's skew-join handling can split a frequent value.
     """
-    return _attach(rows, rank_of_values(rows, group, value, rank), group, value)
+    if ranks is None:
+        ranks = rank_of_values(rows, group, value, rank)
+    return _attach(rows, ranks, group, value)
 
 
 def top_k(rows: DataFrame, group: str, value: str, rank: str, k: int) -> DataFrame:

@@ -16,6 +16,7 @@ from pixeltally.functions.catalog import (
 from pixeltally.operators.cleaning import any_null
 from pixeltally.operators.joins import enrich_by_title, not_in, tag_source, union_previous
 from pixeltally.schemas import ENRICHMENT
+from pixeltally.sources.files import stored
 
 # A row lacks something where one of these is null.
 WANTED = ["critic_score", "developer", "release_date"]
@@ -79,10 +80,12 @@ def enrich(
     """Sales with the catalogue columns and the source tag.
 
     Results of an earlier run (``previous``, its enriched table) are kept and not
-    looked up again. Write the result to a new path, not over ``previous``.
+    looked up again. Write the result to a new path, not over ``previous``. What was
+    found is stored first: it is far smaller than the sales, which then need no shuffle
+    where Spark can broadcast it.
     """
     titles = titles_to_look_up(sales, order, previous, limit)
     found = title_matches(responses.join(titles, "title", "left_semi"))
     if previous is not None:
         found = union_previous(known_titles(previous), found)
-    return tag_source(enrich_by_title(sales, found))
+    return tag_source(enrich_by_title(sales, stored(found, "found")))

@@ -10,7 +10,7 @@ from pixeltally.operators.cleaning import clean_sales
 from pixeltally.operators.joins import enrich_by_title
 from pixeltally.operators.reshape import unpivot_sales
 from pixeltally.plans.enrichment import first_titles, title_details
-from pixeltally.sources.files import FILE_ORDER, read_csv, read_parquet, write_parquet
+from pixeltally.sources.files import FILE_ORDER, read_csv, read_parquet, stored, write_parquet
 from pixeltally.sources.lake import rows_without_partition, write_lake
 
 
@@ -42,7 +42,7 @@ def stage_sales(
     long = unpivot_sales(clean)
     if responses is not None:
         titles = first_titles(clean, [FILE_ORDER], max_titles)
-        long = enrich_by_title(long, title_details(responses, titles))
+        long = enrich_by_title(long, stored(title_details(responses, titles), "details"))
     write_parquet(long, staged_path)
     staged = read_parquet(spark, staged_path)
     write_lake(staged, lake_path)

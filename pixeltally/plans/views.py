@@ -11,7 +11,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pixeltally.operators.ranking import top_k, with_rank
+from pixeltally.operators.ranking import rank_of_values, top_k, with_rank
+from pixeltally.sources.files import stored
 from pixeltally.sources.tables import Warehouse
 
 Star = Mapping[str, DataFrame]
@@ -62,9 +63,16 @@ def _described_sales(star: Star) -> DataFrame:
         .select("region_id", "region_label", "title", "platform_name", "genre_name", "sales_millions"))
 
 
-def game_ranking_by_region(star: Star) -> DataFrame:
-    """Every game's rank by sales within each region."""
-    return with_rank(_described_sales(star), "region_id", "sales_millions", "region_rank").drop("region_id")
+def game_ranking_by_region(star: Star, store_ranks: bool = False) -> DataFrame:
+    """Every game's rank by sales within each region.
+
+    With ``store_ranks`` the ranks of the different sales values are computed and stored
+    at once, which saves the shuffle of all rows where they are few. A view to be kept
+    goes without, so that it follows its tables.
+    """
+    rows, ranked = _described_sales(star), ("region_id", "sales_millions", "region_rank")
+    ranks = stored(rank_of_values(rows, *ranked), "ranks") if store_ranks else None
+    return with_rank(rows, *ranked, ranks).drop("region_id")
 
 
 def top_games_per_region(star: Star, k: int = 10) -> DataFrame:

@@ -15,8 +15,7 @@ from pixeltally.operators.reshape import melt_sales
 from pixeltally.schemas import (
     CALENDAR_END, CALENDAR_START, NEW_GENRE_CATEGORY, SALES_REGIONS, genre_seed, platform_seed, region_seed,
 )
-from pixeltally.session import scratch_path
-from pixeltally.sources.files import FILE_ORDER, read_parquet, resolve_source, write_parquet
+from pixeltally.sources.files import FILE_ORDER, resolve_source, stored
 from pixeltally.sources.tables import Warehouse
 
 LOADED_TABLES = ["dim_game", "dim_genre", "dim_platform", "dim_region", "fact_sales"]
@@ -98,14 +97,6 @@ def seed_tables(warehouse: Warehouse) -> None:
         warehouse.append(not_in(rows, warehouse.table(table), key), table)
 
 
-def _materialised(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the scratch folder: the steps that follow share it, and a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    write_parquet(df, path)
-    return read_parquet(spark, path)
-
-
 def load_facts(warehouse: Warehouse, clean: DataFrame) -> None:
     """Replace the facts, so a second run of the same load changes nothing."""
     dimensions = [warehouse.table(t) for t in ("dim_game", "dim_platform", "dim_genre", "dim_region")]
@@ -115,7 +106,7 @@ def load_facts(warehouse: Warehouse, clean: DataFrame) -> None:
 def load_warehouse(warehouse: Warehouse, sales: DataFrame, order: Sequence[str]) -> DataFrame:
     """Full refresh: rebuild games, genres and facts from the sales; returns row counts per table."""
     seed_tables(warehouse)
-    clean = _materialised(clean_for_warehouse(sales, order), "clean")
+    clean = stored(clean_for_warehouse(sales, order), "clean")
     warehouse.refresh(build_dim_game(clean), "dim_game")
     warehouse.refresh(build_dim_genre(clean, genre_seed(warehouse.spark)), "dim_genre")
     load_facts(warehouse, clean)
@@ -137,7 +128,7 @@ def weekly_refresh(
     """
     sales = resolve_source(warehouse.spark, enriched_path, csv_path, file_order=order is None)
     seed_tables(warehouse)
-    clean = _materialised(clean_for_warehouse(sales, order or [FILE_ORDER]).drop(FILE_ORDER), "clean")
+    clean = stored(clean_for_warehouse(sales, order or [FILE_ORDER]).drop(FILE_ORDER), "clean")
     merge_dimensions(warehouse, clean)
     load_facts(warehouse, clean)
     return quality_checks(warehouse.table("fact_sales"), warehouse.table("dim_game"))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixeltally.operators.cleaning import nullify_na_tokens
+from pixeltally.session import scratch_path
 
 FILE_ORDER = "_file_order"
 
@@ -46,6 +47,18 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the scratch folder and read it back.
+
+    The steps that follow share it, a lost executor costs no recomputation, and
+    Spark knows its size when it plans the joins of those steps.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    write_parquet(df, path)
+    return read_parquet(spark, path)
+
+
 def _found(read):
     try:
         return read()

@@ -73,7 +73,7 @@ def v_yearly_global_sales(spark, sf_dir):
 
 @query("SELECT * FROM v_ranking")
 def v_game_ranking_by_region(spark, sf_dir):
-    return views.game_ranking_by_region(star(spark, sf_dir))
+    return views.game_ranking_by_region(star(spark, sf_dir), store_ranks=True)
 
 
 @query("SELECT * FROM v_ranking WHERE region_rank <= 10")
