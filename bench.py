@@ -17,7 +17,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
 from pixeltally.session import local_session  # noqa: E402
-from pixeltally.workload.tables import star, wide_sales  # noqa: E402
+from pixeltally.workload.tables import responses, star, wide_sales  # noqa: E402
 
 HEADLINE = [
     "wide_table", "load_warehouse", "weekly_refresh", "v_sales_continent_genre", "v_top_platforms_by_region",
@@ -52,6 +52,7 @@ def main() -> None:
     # What queries read from the scratch folder is written once; its cost is shown apart.
     staging = {
         "stage_wide": round(seconds(lambda: wide_sales(spark, sf_dir)), 3),
+        "stage_responses": round(seconds(lambda: responses(spark, sf_dir)), 3),
         "stage_star": round(seconds(lambda: star(spark, sf_dir)), 3),
     }
     times = {name: warm_median(lambda: registered[name](spark, sf_dir).toArrow()) for name in names}

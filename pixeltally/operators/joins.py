@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pixeltally.operators.cleaning import keep_first
-from pixeltally.operators.keys import assign_ids
 from pixeltally.schemas import BASE_SOURCE, ENRICHED_SOURCE
 
 
@@ -39,14 +38,6 @@ def insert_ignore(rows: DataFrame, existing: DataFrame, key: str, order: Sequenc
     return not_in(keep_first(rows, [key], order), existing, key)
 
 
-def new_rows(rows: DataFrame, existing: DataFrame, key: str, id_column: str) -> DataFrame:
-    """The rows to insert: key not in ``existing`` yet, with ids that follow the ids there.
-
-    ``rows`` must be unique by key.
-    """
-    return assign_ids(not_in(rows, existing, key), key, id_column, existing)
-
-
 def union_previous(previous: DataFrame, new: DataFrame, key: str = "title") -> DataFrame:
     """Both results; where both know a key, the previous one stays."""
     return previous.unionByName(not_in(new, previous, key))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixeltally.operators.cleaning import clean_for_warehouse, distinct_values
-from pixeltally.operators.joins import new_rows, not_in
+from pixeltally.operators.joins import not_in
 from pixeltally.operators.keys import assign_ids
 from pixeltally.operators.quality import quality_checks
 from pixeltally.operators.reshape import melt_sales
@@ -49,7 +49,17 @@ def genres(clean: DataFrame) -> DataFrame:
         F.col("genre").alias("genre_name"), F.lit(NEW_GENRE_CATEGORY).alias("category"))
 
 
+def new_rows(rows: DataFrame, existing: DataFrame, key: str, id_column: str) -> DataFrame:
+    """The rows to insert: key not in ``existing`` yet, with ids that follow the ids there.
+
+    ``rows`` must be unique by key. The new ones, few after the first load, are stored,
+    since numbering reads them twice.
+    """
+    return assign_ids(stored(not_in(rows, existing, key), "new"), key, id_column, existing)
+
+
 def build_dim_game(clean: DataFrame) -> DataFrame:
+    """All games, numbered; ``clean`` should be stored, since numbering reads it twice."""
     return assign_ids(games(clean), "title", "game_id")
 
 
@@ -94,7 +104,9 @@ def seed_tables(warehouse: Warehouse) -> None:
         "dim_date": (calendar_dimension(spark), "date_id"),
     }
     for table, (rows, key) in seeds.items():
-        warehouse.append(not_in(rows, warehouse.table(table), key), table)
+        missing = not_in(rows, warehouse.table(table), key)
+        if not missing.isEmpty():
+            warehouse.append(missing, table)
 
 
 def load_facts(warehouse: Warehouse, clean: DataFrame) -> None:

@@ -318,7 +318,7 @@ def seed_dimensions(spark, sf_dir):
 
 @query("SELECT * FROM game")
 def build_dim_game(spark, sf_dir):
-    return loads.build_dim_game(clean_games(spark, sf_dir))
+    return loads.build_dim_game(files.stored(clean_games(spark, sf_dir), "clean"))
 
 
 @query("SELECT * FROM genre_dim")
@@ -354,7 +354,7 @@ def merge_insert_new(spark, sf_dir):
     target = new_warehouse(spark)
     target.create_tables()
     for batch in (early, cleaning.clean_for_warehouse(wide, ORDER)):
-        target.append(joins.new_rows(loads.games(batch), target.table("dim_game"), "title", "game_id"), "dim_game")
+        target.append(loads.new_rows(loads.games(batch), target.table("dim_game"), "title", "game_id"), "dim_game")
     return target.table("dim_game").select("game_id", "title", "publisher", "developer", "critic_score")
 
 

@@ -1,8 +1,9 @@
 """The driver's tables reshaped to the sales model.
 
 ``lineitem`` quantities become regional sales of a title (a part) on a console (an
-order priority). The wide table and the star schema are written to the scratch
-folder once per session, as a staged lake would be, and queries read them there.
+order priority). The wide table, the catalogue responses and the star schema are
+written to the scratch folder once per session, as a staged lake would be, and
+queries read them there.
 """
 
 from __future__ import annotations
@@ -116,6 +117,15 @@ def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged catalogue responses."""
+    def make() -> str:
+        path = scratch_path(spark, "responses")
+        write_parquet(build_responses(spark, sf_dir), path)
+        return path
+    return read_parquet(spark, _once(spark, sf_dir, "responses", make))
+
+
+def build_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A catalogue response per title: up to five neighbouring parts as candidates.
 
     Small parts find nothing; those of one brand do not find themselves. Candidate

@@ -6,9 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from pixeltally.operators.joins import new_rows
 from pixeltally.operators.keys import assign_ids
 from pixeltally.operators.ranking import rank_of_values, top_k, with_rank
+from pixeltally.plans.warehouse import new_rows
 
 
 def by_bucket(keys):
