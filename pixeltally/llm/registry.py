@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixeltally.llm import exact_dedup, line_dedup, mixing
+from pixeltally.llm import (
+    exact_dedup, fingerprint, html_extract, language_id, license_scan, line_dedup, minhash, mixing, packing, substring_dedup)
 from pixeltally.llm.common import lower_ascii, sha256_text
 
+# Where the vocabularies of public tokenizers lie, on every worker.
+TOKENIZER = "word_bpe_49k.json"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -19,6 +23,48 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(docs.withColumn("text_sha256", digest), carry=["text_sha256"])
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring_dedup.drop_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", sha256_text(F.col("text")).alias("kept_sha256"))
+
+
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language_id.held_out())
+    model = language_id.fit(docs.filter("NOT held_out"))
+    return language_id.predict(docs, model, carry=["doc_id", "held_out"])
+
+
+def tokenizer_path() -> str:
+    """Asked on the worker: the vocabularies are installed, not shipped."""
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def word_ids(text: str) -> bytes:
+    return packing.word_tokenizer(tokenizer_path())(text)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), word_ids)
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -30,6 +76,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op3_near_dedup": op3_near_dedup,
+    "op4_license_scan": op4_license_scan,
+    "op5_language_id": op5_language_id,
+    "op6_packing": op6_packing,
+    "op7_fingerprints": op7_fingerprints,
+    "op8_html_extract": op8_html_extract,
     "op9_mixing": op9_mixing,
     "op10_line_dedup": op10_line_dedup,
 }
@@ -40,6 +93,38 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PARTITION BY x) AS group_size,
             doc_id = max(doc_id) OVER (PARTITION BY x) AS kept, sha256(x) AS text_sha256
         FROM t""",
+    "op2_substring_dedup": f"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        place AS (SELECT doc_id, w, unnest(range(1, len(w) - {substring_dedup.WINDOW} + 2)) AS i FROM d),
+        win AS (SELECT doc_id, i, list_slice(w, i, i + {substring_dedup.WINDOW - 1}) AS x FROM place),
+        least AS (SELECT x, min(doc_id) AS m FROM win GROUP BY x HAVING min(doc_id) < max(doc_id)),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {substring_dedup.WINDOW})) AS i FROM win JOIN least USING (x) WHERE m < doc_id),
+        g AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id),
+        k AS (
+            SELECT doc_id, len(w) AS n, coalesce(len(gone), 0) AS r,
+                list_filter(w, lambda x, k: NOT list_contains(coalesce(gone, []), k)) AS kept
+            FROM d LEFT JOIN g USING (doc_id))
+        SELECT doc_id, n::BIGINT AS n_words, r::BIGINT AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k""",
+    "op3_near_dedup": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, unnest(CASE
+                WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: list_slice(w, i, i + 2))
+                WHEN len(w) > 0 THEN [w] ELSE [] END) AS x
+            FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        link AS (
+            SELECT a.doc_id AS u, b.doc_id AS v FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id
+            JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+            WHERE 100 * least(na.n, nb.n) >= 85 * greatest(na.n, nb.n)
+            GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 85 * (na.n + nb.n - count(*))),
+        reach AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT reach.u, link.v FROM reach JOIN link ON reach.v = link.u),
+        least AS (SELECT u, min(v) AS c FROM reach GROUP BY u)
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id, doc_id = c AS kept
+        FROM documents LEFT JOIN n USING (doc_id) JOIN least ON u = doc_id""",
     "op10_line_dedup": f"""
         WITH d AS (SELECT doc_id, source, CASE WHEN text IS NOT NULL THEN string_split(text, chr(10)) END AS lines FROM documents),
         pages AS (SELECT source, count(*) AS n FROM documents GROUP BY ALL),
