@@ -49,23 +49,16 @@ def drop_boilerplate(
 
     Counts are combined before the shuffle, so a line that every page has sends one row per task.
     A host has fewer boilerplate lines than its mean number of distinct lines divided by
-    ``ratio``; each page meets only those of its own lines that are among them, by digest.
+    ``ratio``, so they are one row per host, by digest; pages meet it in a join that Spark
+    broadcasts if there are few hosts and whose large partitions it splits if there are many.
     """
-    found = stored(boilerplate(docs, text, host, ratio, least_pages), "boilerplate")
-    # A page is told by all that decides its result, so rows that repeat it share one answer.
-    key = [F.col(host).alias("host"), F.md5(F.col(text).cast("binary")).alias("page")]
-    lines = docs.select(*key, F.explode(F.array_distinct(F.split(text, NEWLINE))).alias("line")).select(
-        "host", "page", _digest(F.col("line")).alias("line"))
-    hits = (
-        lines.join(found.select(F.col("host").alias("h"), F.col("line").alias("l")),
-                   F.col("host").eqNullSafe(F.col("h")) & (F.col("line") == F.col("l")))
-        .groupBy(F.col("host").alias("hit_host"), F.col("page").alias("hit_page"))
-        .agg(F.collect_set("line").alias("drop")))
-    hits = stored(hits, "boilerplate-hits")
+    found = stored(
+        boilerplate(docs, text, host, ratio, least_pages).groupBy(F.col("host").alias("its_host"))
+        .agg(F.collect_set("line").alias("drop")), "boilerplate")
     rows = docs.select(
-        F.col(doc_id).alias("doc_id"), *key, F.split(text, NEWLINE).alias("lines"), F.struct(F.lit(0).alias("_"), *carry).alias("carry"))
-    rows = rows.join(
-        hits, F.col("page").eqNullSafe(F.col("hit_page")) & F.col("host").eqNullSafe(F.col("hit_host")), "left")
+        F.col(doc_id).alias("doc_id"), F.col(host).alias("host"), F.split(text, NEWLINE).alias("lines"),
+        F.struct(F.lit(0).alias("no_column"), *carry).alias("carry"))
+    rows = rows.join(found, F.col("host").eqNullSafe(F.col("its_host")), "left")
     kept = F.when(F.col("drop").isNull(), F.col("lines")).otherwise(
         F.filter("lines", lambda line: ~F.array_contains(F.col("drop"), _digest(line))))
     return rows.withColumn("kept", kept).select(
