@@ -37,7 +37,7 @@ def exact_groups(
     """
     normalized = lower_ascii(F.coalesce(F.col(text), F.lit(""))).cast("binary")
     state = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.struct(F.lit(0).alias("_"), *carry).alias("carry"),
+        F.col(doc_id).cast("long").alias("doc_id"), F.struct(F.lit(0).alias("no_column"), *carry).alias("carry"),
         F.lit(0).cast("long").alias("grp"), F.lit(0).cast("long").alias("tag"), normalized.alias("rest"))
     closed, width = [], first_digit
     while True:

@@ -187,7 +187,7 @@ def extract(pages: DataFrame, page_html: str = "html", carry: Sequence[str] = ("
     has nothing but menus and the like, gives an empty text. Repeated rows give equal texts.
     Other columns are ignored. An empty table gives an empty result.
     """
-    rows = pages.select(F.struct(F.lit(0).alias("_"), *carry).alias("carry"), F.col(page_html).alias("html"))
+    rows = pages.select(F.struct(F.lit(0).alias("no_column"), *carry).alias("carry"), F.col(page_html).alias("html"))
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -152,9 +152,10 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rows_per_langua
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = features([normalized(t) for t in batch.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([row.astype(np.float16).tobytes() for row in x], pa.binary())], names=["lang", "x"])
+            for part in (batch.slice(at, 512) for at in range(0, batch.num_rows, 512)):
+                x = features([normalized(t) for t in part.column(1).to_pylist()])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([row.astype(np.float16).tobytes() for row in x], pa.binary())], names=["lang", "x"])
 
     sample = labelled.filter(draw < rates[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     rows = sample.mapInArrow(describe, "lang string, x binary").toArrow()
@@ -175,7 +176,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", carry: Sequence[s
     null or has no letter, or if no language was learned. Repeated rows get equal answers. Other
     columns are ignored. An empty table gives an empty result.
     """
-    rows = docs.select(F.col(text).alias("text"), F.struct(F.lit(0).alias("_"), *carry).alias("carry"))
+    rows = docs.select(F.col(text).alias("text"), F.struct(F.lit(0).alias("no_column"), *carry).alias("carry"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # features x bits numbers
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -60,7 +60,7 @@ def sainte_lague(votes: Sequence[float], seats: int, caps: Sequence[int]) -> lis
     for _ in range(100):
         middle = (low * high) ** 0.5
         low, high = (middle, high) if sum(dealt(middle)) > seats else (low, middle)
-    found = dealt(high)
+    found = dealt(high * (1 + 1e-9))  # seats at the very edge go by their quotients
     quotients = [(-v / (2 * k + 1), i) for i, (v, k, cap) in enumerate(zip(votes, found, caps)) if v > 0 and k < cap]
     heapq.heapify(quotients)
     for _ in range(seats - sum(found)):
@@ -94,7 +94,7 @@ def mix(
     sized = stored(
         docs.select(
             F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
-            F.struct(F.lit(0).alias("_"), *carry).alias("carry")),
+            F.struct(F.lit(0).alias("no_column"), *carry).alias("carry")),
         "mix-sizes")
     spark = docs.sparkSession
     per_source = sized.groupBy("source").agg(F.sum("size").alias("size"))
