@@ -21,51 +21,69 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pixeltally.llm.common import stored
+from pixeltally.llm.words import chunks
 
 CAPACITY = 2048
 SEPARATOR = 0
 GROUP_PIECES = 200_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
+BATCH_BYTES = 2 << 20
 
+# From texts to their ids, as bytes of little-endian unsigned 32-bit numbers.
+Tokenize = Callable[[list[str]], list[bytes]]
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # The pattern that the word tokenizer splits at, and what its special tokens begin with.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SPECIAL = "<|"
+WORD_END = "</w>"
 
 
 class WordTokenizer:
-    """The ids of a text as bytes (little-endian unsigned 32-bit), words looked up once each.
+    """The ids of texts as bytes (little-endian unsigned 32-bit), each word looked up once.
 
-    The tokenizer encodes each word that its splitting pattern finds by itself, so a bounded
-    cache by word gives the same ids as the whole text does. A text with the beginning of a
-    special token goes to the tokenizer whole.
+    The tokenizer's splitting pattern takes no white space, and its normalizer changes nothing
+    across a space, so the ids of a text are those of its parts between spaces and line breaks.
+    Parts that are not in the bounded cache are encoded together, as one text, and told apart by
+    the ids that end a word. A text with the beginning of a special token goes to the tokenizer
+    whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words = regex.compile(SPLIT)
+        self.pattern = regex.compile(SPLIT)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[number for token, number in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.known: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in encoded]
-
-    def __call__(self, text: str) -> bytes:
-        if SPECIAL in text:
-            return self._encode([text])[0]
-        words = self.words.findall(self.tokenizer.normalizer.normalize_str(text) if not text.isascii() else text.lower())
-        known = self.known
-        try:
-            return b"".join([known[word] for word in words])
-        except KeyError:
-            new = list({word for word in words if word not in known})
-            if len(known) + len(new) > CACHED_WORDS:
-                known.clear()
-                new = list(set(words))
-            known.update(zip(new, self._encode(new)))
-            return b"".join([known[word] for word in words])
+    def _ids(self, text: str) -> np.ndarray:
+        return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, parts: list[str]) -> None:
+        """Add parts to the cache."""
+        normalize = self.tokenizer.normalizer.normalize_str
+        counts = [len(self.pattern.findall(p.lower() if p.isascii() else normalize(p))) for p in parts]
+        ids = self._ids(" ".join(parts))
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) == sum(counts) and (not len(ids) or ends[-1] == len(ids)):
+            bounds = np.append(0, ends)[np.cumsum([0, *counts])].tolist()
+            data = ids.tobytes()
+            self.known.update((p, data[4 * a:4 * b]) for p, a, b in zip(parts, bounds, bounds[1:]))
+        else:  # a part that the pattern and the tokenizer don't split alike
+            self.known.update((p, self._ids(p).tobytes()) for p in parts)
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        split = [None if SPECIAL in text else text.replace("\n", " ").split(" ") for text in texts]
+        parts = set().union(*[words for words in split if words is not None])
+        if len(self.known) + len(parts) > CACHED_WORDS:
+            self.known = {p: ids for p in parts if (ids := self.known.get(p)) is not None}
+        new = sorted(parts - self.known.keys())
+        for at in range(0, len(new), 5000):
+            self._learn(new[at:at + 5000])
+        ids = self.known.__getitem__
+        return [self._ids(text).tobytes() if words is None else b"".join(map(ids, words)) for text, words in zip(texts, split)]
 
 
 @lru_cache(maxsize=2)
@@ -74,7 +92,7 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def pieces(docs: DataFrame, tokenize: Callable[[str], bytes], capacity: int = CAPACITY, separator: int = SEPARATOR,
+def pieces(docs: DataFrame, tokenize: Tokenize, capacity: int = CAPACITY, separator: int = SEPARATOR,
            text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32``."""
     end = np.array([separator], "<u4").tobytes()
@@ -82,11 +100,13 @@ def pieces(docs: DataFrame, tokenize: Callable[[str], bytes], capacity: int = CA
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for name, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = tokenize(value.as_py() or "") + end
-                for number, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    piece = ids[at:at + 4 * capacity]
-                    rows.append((name, number, at // 4, len(piece) // 4, zlib.crc32(piece)))
+            names, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+            for low, high in chunks(texts, BATCH_BYTES):
+                for name, ids in zip(names[low:high], tokenize(texts[low:high])):
+                    ids += end
+                    for number, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        piece = ids[at:at + 4 * capacity]
+                        rows.append((name, number, at // 4, len(piece) // 4, zlib.crc32(piece)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[k] for r in rows], t) for k, t in enumerate([pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()])],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
@@ -180,7 +200,7 @@ def pack(lengths: Sequence[int], capacity: int) -> tuple[np.ndarray, np.ndarray]
     return bins, offsets
 
 
-def packed(docs: DataFrame, tokenize: Callable[[str], bytes], capacity: int = CAPACITY, separator: int = SEPARATOR,
+def packed(docs: DataFrame, tokenize: Tokenize, capacity: int = CAPACITY, separator: int = SEPARATOR,
            text: str = "text", doc_id: str = "doc_id", group_pieces: int = GROUP_PIECES) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
 

@@ -49,8 +49,8 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
-def word_ids(text: str) -> bytes:
-    return packing.word_tokenizer(tokenizer_path())(text)
+def word_ids(texts: list[str]) -> list[bytes]:
+    return packing.word_tokenizer(tokenizer_path())(texts)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

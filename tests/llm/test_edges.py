@@ -223,8 +223,8 @@ def test_packing_of_odd_rows(odd):
     for parts in ends.values():
         parts.sort()
         assert parts[0][0] == 0 and all(a[1] == b[0] for a, b in zip(parts, parts[1:])) and parts[-1][1] <= 16
-    assert sum(r["length"] for r in rows) == sum(len(word_ids(t or "")) // 4 + 1 for _, t, *_ in ROWS)
-    assert sum(r["doc_id"] is None for r in rows) == sum(len(range(0, len(word_ids(t or "")) // 4 + 1, 16)) for i, t, *_ in ROWS if i is None)
+    assert sum(r["length"] for r in rows) == sum(len(word_ids([t or ""])[0]) // 4 + 1 for _, t, *_ in ROWS)
+    assert sum(r["doc_id"] is None for r in rows) == sum(len(range(0, len(word_ids([t or ""])[0]) // 4 + 1, 16)) for i, t, *_ in ROWS if i is None)
 
 
 def test_two_fit_improves_a_bin():
@@ -244,7 +244,20 @@ def test_tokens_of_odd_texts():
     alphabet = "aB'sStT019 \n\t\x00\x1c\x1f\x85\xa0ßẞİıΣςé́ʼnǅJ̌日本​<|endoftext|>😀ﬁ"
     for _ in range(400):
         text = "".join(dice.choices(alphabet, k=dice.randint(0, 30)))
-        assert word_ids(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+        assert word_ids([text])[0] == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+    texts = ["".join(dice.choices(alphabet, k=dice.randint(0, 50))) for _ in range(300)]
+    assert word_ids(texts) == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+def test_the_word_cache_is_bounded(monkeypatch):
+    from pixeltally.llm.registry import tokenizer_path
+
+    monkeypatch.setattr(packing, "CACHED_WORDS", 50)
+    small = packing.WordTokenizer(tokenizer_path())
+    for seed in range(30):
+        text = " ".join(f"{w}{seed}" for w in sentence(seed, 20).split())
+        assert small([text]) == word_ids([text])
+        assert len(small.known) <= 50
 
 
 def test_fingerprints_of_odd_rows(odd):
