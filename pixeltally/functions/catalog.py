@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from pixeltally.schemas import CATALOG_RESPONSE
 
-TAGS_KEPT = 5
-
 
 def parse_results(payload: Column) -> Column:
     """The candidates of a response, in order; null for text that is no JSON."""
@@ -31,8 +29,8 @@ def joined_names(items: Column) -> Column:
     return F.coalesce(F.array_join(items["name"], ", "), F.lit(""))
 
 
-def detail_columns(game: Column) -> list[Column]:
-    """Rating, genres, first tags, age rating and picture of a catalogue record."""
+def detail_columns(game: Column, tags: int | None = None) -> list[Column]:
+    """Rating, genres, tags (all, or the first ones), age rating and picture of a catalogue record."""
     def names(items: Column) -> Column:
         return F.when(game.isNotNull(), joined_names(items))
 
@@ -40,7 +38,7 @@ def detail_columns(game: Column) -> list[Column]:
         game["id"].alias("rawg_id"),
         game["rating"].alias("rawg_rating"),
         names(game["genres"]).alias("rawg_genres"),
-        names(F.slice(game["tags"], 1, TAGS_KEPT)).alias("rawg_tags"),
+        names(game["tags"] if tags is None else F.slice(game["tags"], 1, tags)).alias("rawg_tags"),
         game["esrb_rating"]["name"].alias("esrb_rating"),
         game["background_image"].alias("background_img"),
     ]

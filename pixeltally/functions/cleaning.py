@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pixeltally.schemas import NA_TOKENS
 
-# What counts as number text, and the day range of a nanosecond timestamp.
+# Fixed value: what counts as number text.
 NUMBER_TEXT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)\s*$"
-FIRST_DAY, LAST_DAY = "1677-09-22", "2262-04-11"
+
+# Forms of a date that are tried in turn: ISO days, alone or with a time.
+DATE_FORMATS = ("yyyy-M-d", "yyyy-M-d H:m[:s][.SSSSSS][XXX]", "yyyy-M-d'T'H:m[:s][.SSSSSS][XXX]")
 
 # Whitespace as Unicode defines it, plus the four ASCII separators.
 _SPACE = r"[\s\x1c-\x1f]"
@@ -39,11 +43,11 @@ def to_number(column: Column, data_type: T.DataType) -> Column:
     return nan_to_null(column.cast("double"))
 
 
-def release_year(column: Column, data_type: T.DataType) -> Column:
-    """Year of an ISO date, null where the text has another form."""
-    day = column.cast("date") if not isinstance(data_type, T.StringType) else (
-        F.try_to_timestamp(column, F.lit("yyyy-M-d")).cast("date"))
-    return F.when(day.between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")), F.year(day))
+def release_year(column: Column, data_type: T.DataType, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """Year of a date, of text in the first of the given forms that fits; null where none does."""
+    if not isinstance(data_type, T.StringType):
+        return F.year(column.cast("date"))
+    return F.year(F.coalesce(*[F.try_to_timestamp(column, F.lit(form)) for form in formats]))
 
 
 def clean_title(column: Column) -> Column:
@@ -61,20 +65,25 @@ def round4(column: Column) -> Column:
     """Round a double to 4 places by its exact binary value, ties to even.
 
     ``round`` works on the shortest decimal text, so 0.00015, which in binary lies
-    below the tie, would go up. Near a tie the side is therefore told by the exact
-    product with 100000: the rounded product plus its rounding error, which comes
-    out exactly by splitting the column.
+    below the tie, would go up. Only the part after the point is rounded, which is
+    exact at every size: the side of a tie is told by the exact product with 100000,
+    the rounded product plus its rounding error, which comes out by splitting the
+    part. From 2**39 on neighbouring doubles are further apart than two places, so
+    the column is its own nearest value.
     """
-    scale = F.lit(100000.0)  # 17 bits, so only the column needs splitting
+    scale = F.lit(100000.0)  # 17 bits, so only the part needs splitting
     size = F.abs(column)
-    scaled = size * scale
-    high = size * _SPLIT - (size * _SPLIT - size)
-    error = (high * scale - scaled) + (size - high) * scale
+    whole = F.floor(size).cast("double")
+    part = size - whole
+    scaled = part * scale
+    high = part * _SPLIT - (part * _SPLIT - part)
+    error = (high * scale - scaled) + (part - high) * scale
     tie = F.rint(scaled)
     side = (scaled - tie) + error
     down, up = (tie - 5) / 10, (tie + 5) / 10
     nearest = (
-        F.when(side > 0, up).when(side < 0, down)
+        F.when(tie % 10 != 5, F.floor((tie + 5) / 10).cast("double"))
+        .when(side > 0, up).when(side < 0, down)
         .when(down % 2 == 0, down).otherwise(up))
-    near_tie = (size < 1e9) & (tie % 10 == 5)
-    return F.when(near_tie, F.signum(column) * nearest / 10000.0).otherwise(F.round(column, 4))
+    # Whole and part together are an integer below 2**53, so one division rounds.
+    return F.when(size < float(2 ** 39), F.signum(column) * ((whole * 10000 + nearest) / 10000.0)).otherwise(column)

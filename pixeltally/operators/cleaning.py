@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pixeltally.functions.cleaning import na_to_null, release_year, to_number, truncate
-from pixeltally.schemas import NUMERIC_COLUMNS, TEXT_WIDTHS, UNKNOWN
+from pixeltally.functions.cleaning import DATE_FORMATS, na_to_null, release_year, to_number, truncate
+from pixeltally.schemas import NUMERIC_COLUMNS, UNKNOWN
 
 
 def normalized_name(name: str) -> str:
@@ -49,10 +49,10 @@ def coerce_numeric(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> D
     return df.withColumns({c: to_number(F.col(c), df.schema[c].dataType) for c in present}) if present else df
 
 
-def add_release_year(df: DataFrame) -> DataFrame:
+def add_release_year(df: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     if "release_date" not in df.columns:
         return conform(df, {"release_year": "int"})
-    return df.withColumn("release_year", release_year(F.col("release_date"), df.schema["release_date"].dataType))
+    return df.withColumn("release_year", release_year(F.col("release_date"), df.schema["release_date"].dataType, formats))
 
 
 def fill_defaults(df: DataFrame) -> DataFrame:
@@ -80,10 +80,13 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return df.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
 
 
-def truncate_texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Cut the listed columns that exist to their widths in the warehouse."""
-    present = [c for c in columns if c in df.columns]
-    return df.withColumns({c: truncate(F.col(c), TEXT_WIDTHS[c]) for c in present}) if present else df
+def truncate_texts(df: DataFrame, widths: Mapping[str, int]) -> DataFrame:
+    """Cut the listed columns that exist to their widths: a step of an export to a target that has widths.
+
+    Cut keys can meet, so this comes last, after rows are compared and joined.
+    """
+    present = {c: truncate(F.col(c), width) for c, width in widths.items() if c in df.columns}
+    return df.withColumns(present) if present else df
 
 
 def any_null(columns: Sequence[str]) -> Column:
@@ -102,30 +105,27 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).dropna().distinct()
 
 
-def clean_sales(df: DataFrame, order: Sequence[str], keys: Sequence[str] = ("title", "release_date")) -> DataFrame:
+def clean_sales(
+    df: DataFrame, order: Sequence[str], keys: Sequence[str] = ("title", "release_date"), formats: Sequence[str] = DATE_FORMATS,
+) -> DataFrame:
     """The clean wide table of a raw one: one row per key, typed, with year, platform and genre."""
     named = normalize_columns(df)
     return (
         drop_null_key(named)
         .transform(keep_first, [k for k in keys if k in named.columns], order)
         .transform(coerce_numeric)
-        .transform(add_release_year)
+        .transform(add_release_year, formats)
         .transform(fill_defaults))
 
 
-def clean_for_warehouse(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """The wide table as the warehouse takes it: one row per title, texts cut to width.
-
-    Titles are cut before they are compared, so two long titles cannot share a game.
-    """
+def clean_for_warehouse(df: DataFrame, order: Sequence[str], formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+    """The wide table as the warehouse takes it: one row per title, the whole of which is its key."""
     return (
         normalize_columns(df)
         .transform(drop_null_key)
-        .transform(truncate_texts, ["title"])
         .transform(keep_first, ["title"], order)
         .transform(conform, {"publisher": "string", "developer": "string", "critic_score": "double",
                              "user_score": "double", "total_sales": "double"})
         .transform(coerce_numeric)
-        .transform(add_release_year)
-        .transform(fill_defaults)
-        .transform(truncate_texts, ["publisher", "developer", "platform"]))
+        .transform(add_release_year, formats)
+        .transform(fill_defaults))

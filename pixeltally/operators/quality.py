@@ -73,17 +73,25 @@ def check_domain(df: DataFrame, table: str, not_null: Sequence[str] = (), domain
     return _labelled_counts(df, rules, "rule", "violations")
 
 
-def stage_metrics(raw: DataFrame, clean: DataFrame, long: DataFrame, keys: Sequence[str] = ("title", "release_date")) -> DataFrame:
-    """Rows read, duplicates removed, rows after cleaning and rows after the unpivot."""
-    counted = [
-        raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_read"),
-            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates_removed"),
-        ).unpivot([], ["rows_read", "duplicates_removed"], "stage", "rows"),
-        _labelled_counts(clean, {"rows_after_clean": F.count(F.lit(1))}, "stage", "rows"),
-        _labelled_counts(long, {"rows_after_unpivot": F.count(F.lit(1))}, "stage", "rows"),
-    ]
-    return _union(counted)
+def stage_metrics(raw: DataFrame, clean: DataFrame, long: DataFrame, key: str = "title") -> DataFrame:
+    """Rows read, rows without a key, duplicates removed, rows after cleaning and after the unpivot.
+
+    Counts only, so ``clean`` should be a stored table: what cleaning left out follows from them.
+    """
+    none = F.lit(0).cast("long")
+    counts = _union([
+        raw.agg(F.count(F.lit(1)).alias("rows_read"), F.count_if(F.col(key).isNull()).alias("rows_without_key"),
+                none.alias("rows_after_clean"), none.alias("rows_after_unpivot")),
+        clean.agg(none.alias("rows_read"), none.alias("rows_without_key"),
+                  F.count(F.lit(1)).alias("rows_after_clean"), none.alias("rows_after_unpivot")),
+        long.agg(none.alias("rows_read"), none.alias("rows_without_key"), none.alias("rows_after_clean"),
+                 F.count(F.lit(1)).alias("rows_after_unpivot")),
+    ])
+    names = ["rows_read", "rows_without_key", "rows_after_clean", "rows_after_unpivot"]
+    total = counts.agg(*[F.sum(name).alias(name) for name in names])
+    removed = F.col("rows_read") - F.col("rows_without_key") - F.col("rows_after_clean")
+    names.insert(2, "duplicates_removed")
+    return total.withColumn("duplicates_removed", removed).unpivot([], names, "stage", "rows")
 
 
 def load_progress(prepared: DataFrame, loaded: DataFrame) -> DataFrame:

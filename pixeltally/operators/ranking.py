@@ -77,7 +77,6 @@ def with_rank(rows: DataFrame, group: str, value: str, rank: str, ranks: DataFra
 def top_k(rows: DataFrame, group: str, value: str, rank: str, k: int) -> DataFrame:
     """Rows ranked ``k`` or better in their group, ties included.
 
-    The ranks to join are at most ``k`` rows per group and are broadcast.
+    The ranks to join are at most ``k`` rows per group; Spark broadcasts them where that is small.
     """
-    ranks = top_ranks_of_values(rows, group, value, rank, k)
-    return _attach(rows, F.broadcast(ranks), group, value)
+    return _attach(rows, top_ranks_of_values(rows, group, value, rank, k), group, value)

@@ -23,7 +23,7 @@ def top_totals(df: DataFrame, key: str, k: int = 10, measure: str = "total_sales
     return totals_by(df, key, measure).orderBy(F.desc(measure), key).limit(k)
 
 
-def yearly_totals(df: DataFrame, first: int = 1980, last: int = 2020) -> DataFrame:
+def yearly_totals(df: DataFrame, first: int, last: int) -> DataFrame:
     """Sales by release year, first and last year included."""
     year = release_year(F.col("release_date"), df.schema["release_date"].dataType)
     years = df.select(year.alias("release_year"), "total_sales")
@@ -35,11 +35,22 @@ def sales_by_continent(long: DataFrame) -> DataFrame:
 
 
 def dataset_summary(long: DataFrame) -> DataFrame:
-    """Rows, distinct titles, platforms, genres and continents, and the span of years."""
-    return long.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *[F.countDistinct(c).alias(f"distinct_{c}s") for c in ("title", "platform", "genre", "continent")],
-        F.min("release_year").alias("min_year"), F.max("release_year").alias("max_year"))
+    """Rows, distinct titles, platforms, genres and continents, and the span of years.
+
+    Rows are counted per title, the one large column; of the small ones only the combinations
+    that occur are left after each task's own grouping. Two column-pruned scans, so ``long``
+    should be a stored table.
+    """
+    titles = long.groupBy("title").agg(
+        F.count(F.lit(1)).alias("n"), F.min("release_year").alias("first"), F.max("release_year").alias("last"))
+    totals = titles.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"), F.count("title").alias("distinct_titles"),
+        F.min("first").alias("min_year"), F.max("last").alias("max_year"))
+    small = ["platform", "genre", "continent"]
+    kinds = long.select(*small).distinct().agg(*[F.countDistinct(c).alias(f"distinct_{c}s") for c in small])
+    names = ["total_rows", "distinct_titles", *[f"distinct_{c}s" for c in small], "min_year", "max_year"]
+    both = totals.unionByName(kinds, allowMissingColumns=True)
+    return both.agg(*[F.max(name).alias(name) for name in names])
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] = ("title", "console", "genre", "publisher")) -> DataFrame:

@@ -14,29 +14,26 @@ from pixeltally.functions.catalog import (
     best_match, detail_columns, enrichment_columns, first_result, parse_results,
 )
 from pixeltally.operators.cleaning import any_null
-from pixeltally.operators.joins import enrich_by_title, not_in, tag_source, union_previous
+from pixeltally.operators.joins import enrich_by_title, not_in, tag_source
 from pixeltally.schemas import ENRICHMENT
 from pixeltally.sources.files import stored
 
 # A row lacks something where one of these is null.
 WANTED = ["critic_score", "developer", "release_date"]
 
-# How many titles one run of a rate-limited catalogue client looks up, in input order.
-# Responses that are already a table need no such limit, so it is nowhere the default.
-TITLES_PER_RUN = 1000
-
 
 def incomplete_rows(sales: DataFrame) -> DataFrame:
     return sales.filter(any_null(WANTED))
 
 
-def first_titles(df: DataFrame, order: Sequence[str], limit: int | None = None) -> DataFrame:
-    """The distinct titles, or the first ``limit`` of them in input order."""
-    titles = df.filter(F.col("title").isNotNull())
-    if limit is None:
-        return titles.select("title").distinct()
-    first = titles.groupBy("title").agg(F.min(F.struct(*order)).alias("_first"))
-    return first.orderBy("_first").limit(limit).select("title")
+def distinct_titles(df: DataFrame) -> DataFrame:
+    return df.select("title").dropna().distinct()
+
+
+def first_titles(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Every title with where it comes first in the input: ``title`` and the columns of ``order``."""
+    first = df.dropna(subset=["title"]).groupBy("title").agg(F.min(F.struct(*order)).alias("_first"))
+    return first.select("title", "_first.*")
 
 
 def title_details(responses: DataFrame, titles: DataFrame) -> DataFrame:
@@ -65,27 +62,30 @@ def known_titles(previous: DataFrame) -> DataFrame:
         .agg(F.max(F.struct(*found)).alias("found")).select("title", "found.*"))
 
 
-def titles_to_look_up(
-    sales: DataFrame, order: Sequence[str], previous: DataFrame | None = None, limit: int | None = None,
-) -> DataFrame:
-    """Titles with an incomplete row, or the first ``limit`` of them, less those found earlier."""
-    titles = first_titles(incomplete_rows(sales), order, limit)
+def titles_to_look_up(sales: DataFrame, order: Sequence[str], previous: DataFrame | None = None) -> DataFrame:
+    """Titles with an incomplete row, less those found earlier, and where each comes first.
+
+    A client that can only ask for some takes the first by ``order``; the next run,
+    with what it found as ``previous``, goes on with the others.
+    """
+    titles = first_titles(incomplete_rows(sales), order)
     return titles if previous is None else not_in(titles, known_titles(previous), "title")
 
 
-def enrich(
-    sales: DataFrame, responses: DataFrame, order: Sequence[str],
-    previous: DataFrame | None = None, limit: int | None = None,
-) -> DataFrame:
+def enrich(sales: DataFrame, responses: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     """Sales with the catalogue columns and the source tag.
 
     Results of an earlier run (``previous``, its enriched table) are kept and not
-    looked up again. Write the result to a new path, not over ``previous``. What was
+    looked up again. Writing the result over ``previous`` is refused by ``write_parquet``. What was
     found is stored first: it is far smaller than the sales, which then need no shuffle
     where Spark can broadcast it.
     """
-    titles = titles_to_look_up(sales, order, previous, limit)
-    found = title_matches(responses.join(titles, "title", "left_semi"))
-    if previous is not None:
-        found = union_previous(known_titles(previous), found)
+    titles = distinct_titles(incomplete_rows(sales))
+    if previous is None:
+        found = title_matches(responses.join(titles, "title", "left_semi"))
+    else:
+        known = stored(known_titles(previous), "known")
+        # What is asked for is not known yet, so the two results have no title in common.
+        new = title_matches(responses.join(not_in(titles, known, "title"), "title", "left_semi"))
+        found = known.unionByName(new)
     return tag_source(enrich_by_title(sales, stored(found, "found")))

@@ -2,48 +2,71 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pixeltally.functions.cleaning import DATE_FORMATS
 from pixeltally.operators.cleaning import clean_sales
 from pixeltally.operators.joins import enrich_by_title
+from pixeltally.operators.quality import stage_metrics
+from pixeltally.operators.reports import dataset_summary, sales_by_continent
 from pixeltally.operators.reshape import unpivot_sales
-from pixeltally.plans.enrichment import first_titles, title_details
+from pixeltally.plans.enrichment import distinct_titles, title_details
+from pixeltally.session import require_settings, scratch_scope
 from pixeltally.sources.files import FILE_ORDER, read_csv, read_parquet, stored, write_parquet
-from pixeltally.sources.lake import rows_without_partition, write_lake
+from pixeltally.sources.lake import NO_KEY, rows_without_partition, write_lake
 
 
 @dataclass
 class Staged:
-    """What a staging run wrote: the raw copy, the long table and the lake; and how many rows the lake left out."""
+    """What a staging run wrote (the raw copy, the clean table, the long table and the lake), and reports on it."""
 
     raw: DataFrame
     clean: DataFrame
     long: DataFrame
     lake_path: str
     rows_without_partition: DataFrame
+    summary: DataFrame
+    continents: DataFrame
+    metrics: DataFrame
 
 
 def stage_sales(
     spark: SparkSession, csv_path: str, root: str, responses: DataFrame | None = None,
-    max_titles: int | None = None, multi_line: bool | None = None,
+    multi_line: bool | None = False, formats: Sequence[str] = DATE_FORMATS,
 ) -> Staged:
     """Copy the CSV to Parquet, clean and unpivot it, and write the long table and the lake below ``root``.
 
-    Each step reads what the one before wrote, so the CSV is parsed once. The raw
-    copy has one column more than the CSV, the input order. With catalogue
-    ``responses`` the long table gains the details of all titles, or of the first ``max_titles``.
+    Each step reads what the one before wrote, so the CSV is parsed once and rows are
+    de-duplicated once. The raw copy has one column more than the CSV, the input order.
+    With catalogue ``responses`` the long table gains the details of all titles. ``formats``
+    are the forms of dates; if no row has a date in one of them, it raises, since the lake
+    would stay empty.
     """
-    raw_path, staged_path, lake_path = f"{root}/raw", f"{root}/staged", f"{root}/partitioned"
+    require_settings(spark)
+    raw_path, clean_path, staged_path, lake_path = f"{root}/raw", f"{root}/clean", f"{root}/staged", f"{root}/partitioned"
     write_parquet(read_csv(spark, csv_path, multi_line, file_order=True), raw_path)
     raw = read_parquet(spark, raw_path)
-    clean = clean_sales(raw, [FILE_ORDER])
+    write_parquet(clean_sales(raw, [FILE_ORDER], formats=formats), clean_path)
+    clean = read_parquet(spark, clean_path).drop(FILE_ORDER)
     long = unpivot_sales(clean)
-    if responses is not None:
-        titles = first_titles(clean, [FILE_ORDER], max_titles)
-        long = enrich_by_title(long, stored(title_details(responses, titles), "details"))
-    write_parquet(long, staged_path)
+    with scratch_scope(spark):
+        if responses is not None:
+            long = enrich_by_title(long, stored(title_details(responses, distinct_titles(clean)), "details"))
+        write_parquet(long, staged_path)
     staged = read_parquet(spark, staged_path)
+    rows, left_out = staged.agg(F.count(F.lit(1)), F.count_if(F.expr(NO_KEY))).first()
+    if rows and rows == left_out:
+        raise ValueError(f"none of {rows} rows has a continent and a date in one of the forms {list(formats)}")
     write_lake(staged, lake_path)
-    return Staged(raw.drop(FILE_ORDER), clean.drop(FILE_ORDER), staged, lake_path, rows_without_partition(staged))
+    return Staged(
+        raw.drop(FILE_ORDER), clean, staged, lake_path, rows_without_partition(staged),
+        dataset_summary(staged), sales_by_continent(staged), stage_metrics(raw, clean, staged, _title(raw)))
+
+
+def _title(raw: DataFrame) -> str:
+    """The raw name of the title column."""
+    return next(c for c in raw.columns if c.strip().lower() == "title")

@@ -54,13 +54,29 @@ def yearly_global_sales(star: Star) -> DataFrame:
              F.max("sales_millions").alias("max_sales_m")))
 
 
-def _described_sales(star: Star) -> DataFrame:
+KEYS = {"game_id": "dim_game", "region_id": "dim_region", "platform_id": "dim_platform", "genre_id": "dim_genre"}
+
+
+def _known_sales(star: Star) -> DataFrame:
+    """Keys and sales of the facts that every dimension knows.
+
+    No column of a dimension comes along, and no join shuffles the facts: games are bucketed as
+    the facts are, the other dimensions are small.
+    """
+    rows = star["fact_sales"].select(*KEYS, "sales_millions")
+    for key, dimension in KEYS.items():
+        rows = rows.join(star[dimension].select(key), key, "left_semi")
+    return rows
+
+
+def _described(rows: DataFrame, star: Star) -> DataFrame:
+    """Ranked facts with the names of their dimensions."""
     return (
-        star["fact_sales"].join(star["dim_game"].select("game_id", "title"), "game_id")
-        .join(star["dim_region"].select("region_id", "region_label"), "region_id")
+        rows.join(star["dim_region"].select("region_id", "region_label"), "region_id")
         .join(star["dim_platform"].select("platform_id", "platform_name"), "platform_id")
         .join(star["dim_genre"].select("genre_id", "genre_name"), "genre_id")
-        .select("region_id", "region_label", "title", "platform_name", "genre_name", "sales_millions"))
+        .join(star["dim_game"].select("game_id", "title"), "game_id")
+        .select("region_label", "title", "platform_name", "genre_name", "sales_millions", "region_rank"))
 
 
 def game_ranking_by_region(star: Star, store_ranks: bool = False) -> DataFrame:
@@ -70,14 +86,14 @@ def game_ranking_by_region(star: Star, store_ranks: bool = False) -> DataFrame:
     at once, which saves the shuffle of all rows where they are few. A view to be kept
     goes without, so that it follows its tables.
     """
-    rows, ranked = _described_sales(star), ("region_id", "sales_millions", "region_rank")
+    rows, ranked = _known_sales(star), ("region_id", "sales_millions", "region_rank")
     ranks = stored(rank_of_values(rows, *ranked), "ranks") if store_ranks else None
-    return with_rank(rows, *ranked, ranks).drop("region_id")
+    return _described(with_rank(rows, *ranked, ranks), star)
 
 
 def top_games_per_region(star: Star, k: int = 10) -> DataFrame:
     """The games ranked ``k`` or better in each region."""
-    return top_k(_described_sales(star), "region_id", "sales_millions", "region_rank", k).drop("region_id")
+    return _described(top_k(_known_sales(star), "region_id", "sales_millions", "region_rank", k), star)
 
 
 def top_games_in_region(star: Star, region_code: str, k: int = 10) -> DataFrame:

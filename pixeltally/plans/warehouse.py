@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pixeltally.functions.cleaning import DATE_FORMATS
 from pixeltally.operators.cleaning import clean_for_warehouse, distinct_values
 from pixeltally.operators.joins import not_in
 from pixeltally.operators.keys import assign_ids
@@ -15,13 +18,14 @@ from pixeltally.operators.reshape import melt_sales
 from pixeltally.schemas import (
     CALENDAR_END, CALENDAR_START, NEW_GENRE_CATEGORY, SALES_REGIONS, genre_seed, platform_seed, region_seed,
 )
+from pixeltally.session import require_settings, scratch_scope
 from pixeltally.sources.files import FILE_ORDER, resolve_source, stored
 from pixeltally.sources.tables import Warehouse
 
 LOADED_TABLES = ["dim_game", "dim_genre", "dim_platform", "dim_region", "fact_sales"]
 
 
-def calendar_dimension(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:
+def calendar_dimension(spark: SparkSession, start: str, end: str) -> DataFrame:
     """One row per day; ISO week, day of week from 0 for Sunday, month name without padding."""
     days = spark.sql(
         "SELECT explode(sequence(date(:start), date(:end), INTERVAL 1 DAY)) AS full_date",
@@ -94,34 +98,74 @@ def build_fact_sales(
 
 
 def seed_tables(warehouse: Warehouse) -> None:
-    """Create missing tables and insert the reference rows that are not there yet."""
+    """Create missing tables and give the reference rows to those that have none yet."""
     spark = warehouse.spark
     warehouse.create_tables()
-    seeds = {
-        "dim_platform": (platform_seed(spark), "platform_code"),
-        "dim_region": (region_seed(spark), "region_code"),
-        "dim_genre": (genre_seed(spark), "genre_name"),
-        "dim_date": (calendar_dimension(spark), "date_id"),
-    }
-    for table, (rows, key) in seeds.items():
-        missing = not_in(rows, warehouse.table(table), key)
-        if not missing.isEmpty():
-            warehouse.append(missing, table)
+    seeds = {"dim_platform": platform_seed, "dim_region": region_seed, "dim_genre": genre_seed}
+    counts = dict(warehouse.counts([*seeds, "dim_date"]).collect())
+    for table, rows in seeds.items():
+        if not counts[table]:
+            warehouse.append(rows(spark), table)
+    if not counts["dim_date"]:
+        warehouse.append(calendar_dimension(spark, CALENDAR_START, CALENDAR_END), "dim_date")
+
+
+def extend_calendar(warehouse: Warehouse, clean: DataFrame) -> None:
+    """Add the days of the data's years that the calendar doesn't reach."""
+    low, high = clean.agg(F.min("release_year"), F.max("release_year")).first()
+    first, last = warehouse.table("dim_date").agg(F.min("full_date"), F.max("full_date")).first()
+    day = datetime.timedelta(days=1)
+    if high is not None and high > last.year:
+        warehouse.append(calendar_dimension(warehouse.spark, str(last + day), f"{high:04d}-12-31"), "dim_date")
+    if low is not None and low < first.year:
+        warehouse.append(calendar_dimension(warehouse.spark, f"{low:04d}-01-01", str(first - day)), "dim_date")
+
+
+def _facts(warehouse: Warehouse, clean: DataFrame) -> DataFrame:
+    dimensions = [warehouse.table(t) for t in ("dim_game", "dim_platform", "dim_genre", "dim_region")]
+    return build_fact_sales(clean, *dimensions)
 
 
 def load_facts(warehouse: Warehouse, clean: DataFrame) -> None:
     """Replace the facts, so a second run of the same load changes nothing."""
-    dimensions = [warehouse.table(t) for t in ("dim_game", "dim_platform", "dim_genre", "dim_region")]
-    warehouse.refresh(build_fact_sales(clean, *dimensions), "fact_sales")
+    warehouse.refresh(_facts(warehouse, clean), "fact_sales")
+
 
+def merge_facts(warehouse: Warehouse, clean: DataFrame) -> None:
+    """Bring the facts of the source's games up to date; those of other games stay.
 
-def load_warehouse(warehouse: Warehouse, sales: DataFrame, order: Sequence[str]) -> DataFrame:
+    A fact is told by game and region. New ones are appended. Only where the source changes or
+    lacks a fact that one of its games has, the table is rewritten without it. Run again, it
+    finds nothing to do; after a failure it goes on with what is missing.
+    """
+    key = ["game_id", "sale_id"]
+    new = stored(_facts(warehouse, clean), "facts")
+    known = warehouse.table("fact_sales")
+    games_now = warehouse.table("dim_game").join(clean.select("title"), "title", "left_semi").select("game_id")
+    same = reduce(lambda a, b: a & b, [F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")) for c in new.columns])
+    outdated = stored(
+        known.join(games_now, "game_id", "left_semi").alias("o").join(new.alias("n"), same, "left_anti").select(*key), "outdated")
+    current = known.join(outdated, key, "left_anti")
+    added = new.join(current, key, "left_anti")
+    if outdated.isEmpty():
+        warehouse.append(stored(added, "added"), "fact_sales")
+    else:
+        rows = current.unionByName(added.withColumn("ingested_at", F.current_timestamp()))
+        warehouse.refresh(stored(rows, "merged"), "fact_sales")
+
+
+def load_warehouse(
+    warehouse: Warehouse, sales: DataFrame, order: Sequence[str], formats: Sequence[str] = DATE_FORMATS,
+) -> DataFrame:
     """Full refresh: rebuild games, genres and facts from the sales; returns row counts per table."""
+    require_settings(warehouse.spark)
     seed_tables(warehouse)
-    clean = stored(clean_for_warehouse(sales, order), "clean")
-    warehouse.refresh(build_dim_game(clean), "dim_game")
-    warehouse.refresh(build_dim_genre(clean, genre_seed(warehouse.spark)), "dim_genre")
-    load_facts(warehouse, clean)
+    with scratch_scope(warehouse.spark):
+        clean = stored(clean_for_warehouse(sales, order, formats), "clean")
+        extend_calendar(warehouse, clean)
+        warehouse.refresh(build_dim_game(clean), "dim_game")
+        warehouse.refresh(build_dim_genre(clean, genre_seed(warehouse.spark)), "dim_genre")
+        load_facts(warehouse, clean)
     return warehouse.counts(LOADED_TABLES)
 
 
@@ -133,14 +177,19 @@ def merge_dimensions(warehouse: Warehouse, clean: DataFrame) -> None:
 
 def weekly_refresh(
     warehouse: Warehouse, enriched_path: str, csv_path: str, order: Sequence[str] | None = None,
+    formats: Sequence[str] = DATE_FORMATS,
 ) -> DataFrame:
-    """Find the source, add to the dimensions, replace the facts; returns the quality checks.
+    """Find the source, add to the dimensions, merge the facts; returns the quality checks.
 
-    Without ``order``, the first of several rows of a title is the first in the file.
+    Games that this week's source doesn't have keep their facts. Without ``order``, the first
+    of several rows of a title is the first in the file.
     """
+    require_settings(warehouse.spark)
     sales = resolve_source(warehouse.spark, enriched_path, csv_path, file_order=order is None)
     seed_tables(warehouse)
-    clean = stored(clean_for_warehouse(sales, order or [FILE_ORDER]).drop(FILE_ORDER), "clean")
-    merge_dimensions(warehouse, clean)
-    load_facts(warehouse, clean)
+    with scratch_scope(warehouse.spark):
+        clean = stored(clean_for_warehouse(sales, order or [FILE_ORDER], formats).drop(FILE_ORDER), "clean")
+        extend_calendar(warehouse, clean)
+        merge_dimensions(warehouse, clean)
+        merge_facts(warehouse, clean)
     return quality_checks(warehouse.table("fact_sales"), warehouse.table("dim_game"))

@@ -37,7 +37,7 @@ NEW_GENRE_CATEGORY = "Other"
 BASE_SOURCE = "vgchartz"
 ENRICHED_SOURCE = "vgchartz+rawg"
 
-# Text widths of the warehouse columns.
+# Text widths for an export to a warehouse that has some.
 TEXT_WIDTHS = {"title": 300, "publisher": 200, "developer": 200, "platform": 20}
 
 # CSV texts read as null (the default list of the pandas CSV reader).
@@ -108,7 +108,7 @@ GENRE_SEED = [
     ("Misc", "Other"),
 ]
 
-# The calendar dimension covers these days, both included.
+# The calendar covers these days at least, both included, and the years of the data beyond them.
 CALENDAR_START = "1970-01-01"
 CALENDAR_END = "2030-12-31"
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -14,7 +17,11 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Settings that results depend on.
+DECISIVE = ["spark.sql.ansi.enabled", "spark.sql.session.timeZone"]
+
 _scratch_roots: dict[str, str] = {}
+_scope: ContextVar[list[str] | None] = ContextVar("scratch folders to remove", default=None)
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
@@ -52,4 +59,37 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the scratch folder that no other call gets."""
-    return f"{scratch_root(spark)}/pixeltally-{uuid.uuid4().hex}/{name}"
+    folder = f"{scratch_root(spark)}/pixeltally-{uuid.uuid4().hex}"
+    if (folders := _scope.get()) is not None:
+        folders.append(folder)
+    return f"{folder}/{name}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch folders made within are removed at its end, also if it fails.
+
+    For work that ends in a write: a DataFrame that reads such a folder must not outlive it.
+    """
+    token = _scope.set([])
+    try:
+        yield
+    finally:
+        folders = _scope.get() or []
+        _scope.reset(token)
+        for folder in folders:
+            path, file_system = hadoop_path(spark, folder)
+            file_system.delete(path, True)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """Hadoop's path object and its file system, whatever store the path is in."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def require_settings(spark: SparkSession) -> None:
+    """Raise if the session has other settings than results rely on."""
+    wrong = {k: v for k in DECISIVE if (v := spark.conf.get(k)).lower() != SETTINGS[k].lower()}
+    if wrong:
+        raise RuntimeError(f"set {({k: SETTINGS[k] for k in wrong})}; the session has {wrong}")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pixeltally.sources.files import refuse_own_input
+
 PARTITIONS = ["continent", "year"]
 
 
@@ -40,13 +42,26 @@ def read_lake(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def publish(spark: SparkSession, source: str, target: str, partitions: list[str] | None = None) -> None:
-    """Copy a Parquet dataset to another place, for example an object store, keeping its folders."""
+def publish(spark: SparkSession, source: str, target: str, partitions: list[str] | None = None) -> DataFrame:
+    """Copy a Parquet dataset to another place, for example an object store, keeping its folders.
+
+    Returns the outcome: per folder the rows of the source, those of the target, and whether
+    they agree. A folder that only one side has, has 0 rows on the other.
+    """
     rows = spark.read.parquet(source)
+    refuse_own_input(rows, target)
+    partitions = partitions or []
     if partitions:
         rows.hint("rebalance", *partitions).write.mode("overwrite").partitionBy(*partitions).parquet(target)
     else:
         rows.write.mode("overwrite").parquet(target)
+    # The target's schema is the source's, so an empty copy can be read as well.
+    copied = spark.read.schema(rows.schema).parquet(target)
+    sides = rows.select(*partitions, F.lit(1).alias("s"), F.lit(0).alias("t")).unionByName(
+        copied.select(*partitions, F.lit(0).alias("s"), F.lit(1).alias("t")))
+    counts = sides.groupBy(*partitions).agg(
+        F.coalesce(F.sum("s"), F.lit(0)).alias("source_rows"), F.coalesce(F.sum("t"), F.lit(0)).alias("target_rows"))
+    return counts.withColumn("complete", F.col("source_rows") == F.col("target_rows"))
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:

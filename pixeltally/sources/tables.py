@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixeltally.schemas import TABLES
+from pixeltally.session import scratch_scope
+from pixeltally.sources.files import stored
 
 # The large tables are bucketed by the key that joins them and that views count
 # distinctly, so neither needs a shuffle of the facts.
@@ -19,11 +21,12 @@ class Warehouse:
         """``buckets`` defaults to the session's shuffle partitions, which are sized for the cluster.
 
         Reading a bucketed table takes one task per bucket, so choose enough of them
-        for a bucket to fit a task.
+        for a bucket to fit a task. Tables that exist keep the number they were made with.
         """
         self.spark = spark
         self.database = database
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self._buckets_of: dict[str, int] = {}
         place = f" LOCATION '{location}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
 
@@ -35,16 +38,26 @@ class Warehouse:
 
     def create_tables(self) -> None:
         """Create the tables that do not exist yet."""
+        there = {t.name for t in self.spark.catalog.listTables(self.database) if not t.isTemporary}
         for table, columns in TABLES.items():
+            if table in there:
+                continue
             key = BUCKETED_BY.get(table)
             buckets = f" CLUSTERED BY ({key}) INTO {self.buckets} BUCKETS" if key else ""
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) USING parquet{buckets}")
 
+    def buckets_of(self, table: str) -> int:
+        """The number of buckets that the table was made with."""
+        if table not in self._buckets_of:
+            about = self.spark.sql(f"DESCRIBE EXTENDED {self.name(table)}").filter("col_name = 'Num Buckets'").first()
+            self._buckets_of[table] = int(about["data_type"])
+        return self._buckets_of[table]
+
     def _insert(self, verb: str, rows: DataFrame, table: str) -> None:
         columns = ", ".join(rows.columns)
         if table in BUCKETED_BY:
             # The shuffle hashes as bucketing does, so each task writes one bucket's file.
-            rows = rows.repartition(self.buckets, BUCKETED_BY[table])
+            rows = rows.repartition(self.buckets_of(table), BUCKETED_BY[table])
         self.spark.sql(f"{verb} {self.name(table)} ({columns}) SELECT {columns} FROM {{rows}}", rows=rows)
 
     def append(self, rows: DataFrame, table: str) -> None:
@@ -55,6 +68,11 @@ class Warehouse:
         """Replace the table's rows. ``rows`` must not read the same table."""
         self._insert("INSERT OVERWRITE", rows, table)
 
+    def compact(self, table: str) -> None:
+        """Rewrite the table, so that many small appends become one file per bucket again."""
+        with scratch_scope(self.spark):
+            self.refresh(stored(self.table(table), table), table)
+
     def counts(self, tables: list[str] | None = None) -> DataFrame:
         return row_counts({t: self.table(t) for t in tables or list(TABLES)})
 

@@ -52,7 +52,7 @@ BLOCKS = {
           GROUP BY l_partkey, o_orderpriority) AS sums
         JOIN part ON l_partkey = p_partkey""",
     "clean_games": """
-        SELECT row_ord, substr(title, 1, 300) AS title, substr(coalesce(console, 'Unknown'), 1, 20) AS platform,
+        SELECT row_ord, title, coalesce(console, 'Unknown') AS platform,
           coalesce(genre, 'Unknown') AS genre, publisher, developer, critic_score, CAST(NULL AS DOUBLE) AS user_score,
           release_date, CAST(substr(release_date, 1, 4) AS INTEGER) AS release_year,
           na_sales, pal_sales, jp_sales, other_sales, total_sales
@@ -109,7 +109,7 @@ BLOCKS = {
           CASE WHEN c.p_size % 5 <> 0 THEN '20' || lpad(CAST(c.p_size AS VARCHAR), 2, '0') || '-06-01' END AS released,
           c.p_size + 50 AS metacritic, 'img/' || c.p_partkey || '.jpg' AS background_image,
           CASE WHEN c.p_size % 4 <> 0 THEN c.p_type END AS esrb, c.p_type || ', ' || c.p_brand AS genres,
-          c.p_name || ', ' || c.p_brand || ', ' || c.p_type || ', fourth, fifth' AS tags,
+          c.p_name || ', ' || c.p_brand || ', ' || c.p_type || ', fourth, fifth, sixth' AS tags,
           CASE WHEN c.p_size % 3 <> 0 THEN c.p_brand || ' Works, ' || c.p_type END AS developers
         FROM (SELECT *, unnest([-2, -1, 0, 1, 2]) AS offs FROM part WHERE p_size > 5) AS a
           JOIN part AS c ON c.p_partkey = a.p_partkey + a.offs

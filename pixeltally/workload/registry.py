@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pixeltally.functions import catalog, cleaning as text
 from pixeltally.operators import cleaning, joins, quality, reports, reshape
 from pixeltally.plans import enrichment, staging, views, warehouse as loads
-from pixeltally.schemas import GAME_COLUMNS, PLATFORM_TYPES, SALES_COLUMNS, platform_seed
+from pixeltally.schemas import (
+    CALENDAR_END, CALENDAR_START, GAME_COLUMNS, PLATFORM_TYPES, SALES_COLUMNS, TEXT_WIDTHS, platform_seed)
 from pixeltally.session import scratch_path
 from pixeltally.sources import files, lake
 from pixeltally.workload.oracles import sql
@@ -147,16 +148,17 @@ def default_fill(spark, sf_dir):
     return cleaning.fill_defaults(consoles).select("row_ord", "platform", "genre")
 
 
-@query("""SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN CAST(year(o_orderdate) AS INTEGER) END AS release_year
-    FROM orders""")
+@query("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 3 THEN NULL WHEN 4 THEN NULL ELSE CAST(year(o_orderdate) AS INTEGER) END AS iso_year,
+    CASE o_orderkey % 5 WHEN 3 THEN CAST(year(o_orderdate) AS INTEGER) END AS us_year FROM orders""")
 def release_year(spark, sf_dir):
+    """Dates in three ISO forms, in one that the caller names, and in one that none knows."""
     day = F.col("o_orderdate")
-    dated = table(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        F.when(F.col("o_orderstatus") == "O", F.date_format(day, "yyyy-MM-dd"))
-        .when(F.col("o_orderstatus") == "F", F.date_format(day, "MM/dd/yyyy"))
-        .otherwise(F.date_format(day, "yyyy")).alias("release_date"))
-    return cleaning.add_release_year(dated).select("o_orderkey", "release_year")
+    forms = ["yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss.SSS", "MM/dd/yyyy", "yyyy"]
+    written = F.coalesce(*[F.when(F.col("o_orderkey") % 5 == k, F.date_format(day, form)) for k, form in enumerate(forms)])
+    dated = table(spark, sf_dir, "orders").select("o_orderkey", written.alias("release_date"))
+    iso = cleaning.add_release_year(dated).withColumnRenamed("release_year", "iso_year")
+    both = cleaning.add_release_year(iso, ["MM/dd/yyyy"])
+    return both.select("o_orderkey", "iso_year", F.col("release_year").alias("us_year"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, CASE l_linenumber
@@ -196,7 +198,7 @@ def truncate_strings(spark, sf_dir):
     rows = wide_sales(spark, sf_dir).select(
         "row_ord", *[F.repeat(F.col(c), F.lit(30)).alias(c) for c in ("title", "publisher", "developer")],
         F.repeat(F.col("console"), F.lit(30)).alias("platform"))
-    return cleaning.truncate_texts(rows, ["title", "publisher", "developer", "platform"])
+    return cleaning.truncate_texts(rows, TEXT_WIDTHS)
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey,
@@ -234,11 +236,10 @@ def find_incomplete(spark, sf_dir):
     return rows.select("row_ord", "title", "critic_score", "developer", "release_date")
 
 
-@query("""SELECT title FROM (SELECT title, min(row_ord) AS first_row FROM incomplete GROUP BY title)
-    ORDER BY first_row LIMIT 1000""")
+@query("SELECT title, min(row_ord) AS row_ord FROM incomplete GROUP BY title")
 def first_titles_to_look_up(spark, sf_dir):
-    """The first 1,000 incomplete titles in input order: one run's look-ups."""
-    return enrichment.titles_to_look_up(wide_sales(spark, sf_dir), ORDER, limit=enrichment.TITLES_PER_RUN)
+    """Every incomplete title, and where it comes first in the input."""
+    return enrichment.titles_to_look_up(wide_sales(spark, sf_dir), ORDER)
 
 
 # ---- reshape ----------------------------------------------------------------
@@ -333,6 +334,16 @@ def build_fact_sales(spark, sf_dir):
     return loads.build_fact_sales(clean_games(spark, sf_dir), *dimensions)
 
 
+@query("""WITH long_titles AS (
+      SELECT repeat('x', 300) || title AS title, min_by(publisher, row_ord) AS publisher FROM wide GROUP BY ALL)
+    SELECT row_number() OVER (ORDER BY substr(md5(title), 1, 4), title) AS game_id, title FROM long_titles""")
+def build_dim_game_long_titles(spark, sf_dir):
+    """Titles that differ only beyond their first 300 characters are games of their own."""
+    wide = wide_sales(spark, sf_dir).withColumn("title", F.concat(F.lit("x" * 300), "title"))
+    clean = cleaning.clean_for_warehouse(wide, ORDER)
+    return loads.build_dim_game(files.stored(clean, "clean")).select("game_id", "title")
+
+
 _FIRST_LOAD = f"""
     WITH early AS (
       SELECT * FROM wide WHERE release_date < '{CUTOFF}'
@@ -340,10 +351,11 @@ _FIRST_LOAD = f"""
     loaded AS (
       SELECT row_number() OVER (ORDER BY substr(md5(title), 1, 4), title) AS game_id, title, publisher, developer, critic_score
       FROM early),
-    missing AS (SELECT * FROM clean_games WHERE title NOT IN (SELECT title FROM loaded))
+    missing AS (SELECT clean_games.* FROM clean_games ANTI JOIN loaded USING (title)),
+    first_load AS (SELECT count(*) AS n FROM loaded)
     SELECT * FROM loaded UNION ALL
-    SELECT (SELECT count(*) FROM loaded) + row_number() OVER (ORDER BY substr(md5(title), 1, 4), title),
-      title, publisher, developer, critic_score FROM missing"""
+    SELECT n + row_number() OVER (ORDER BY substr(md5(title), 1, 4), title),
+      title, publisher, developer, critic_score FROM missing, first_load"""
 
 
 @query(_FIRST_LOAD)
@@ -400,7 +412,7 @@ def calendar_dimension(spark, sf_dir):
         table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("full_date"))
         .agg(F.count(F.lit(1)).alias("n")))
     return (
-        loads.calendar_dimension(spark).join(orders, "full_date", "left")
+        loads.calendar_dimension(spark, CALENDAR_START, CALENDAR_END).join(orders, "full_date", "left")
         .withColumn("order_count", F.coalesce("n", F.lit(0))).drop("n"))
 
 
@@ -433,6 +445,23 @@ def weekly_refresh(spark, sf_dir):
     return checks
 
 
+@query("""SELECT title, region_code, platform_id, release_year, sales_millions, global_sales
+    FROM fact JOIN game USING (game_id) JOIN seed_region USING (region_id)""")
+def weekly_loads(spark, sf_dir):
+    """Two weeks without a title in common, the second loaded twice: all facts are there, once."""
+    root = scratch_path(spark, "weeks")
+    target, wide = new_warehouse(spark), wide_sales(spark, sf_dir)
+    for week in (0, 1, 1):
+        source = f"{root}/{week}"
+        if not files.is_complete(spark, source):
+            files.write_parquet(wide.filter(F.expr("row_ord div 5 % 2") == week), source)
+        loads.weekly_refresh(target, source, f"{root}/raw.csv", ORDER)
+    return (
+        target.table("fact_sales").join(target.table("dim_game").select("game_id", "title"), "game_id")
+        .join(target.table("dim_region").select("region_id", "region_code"), "region_id")
+        .select("title", "region_code", "platform_id", "release_year", "sales_millions", "global_sales"))
+
+
 @query("""SELECT 'dim_game' AS table_name, count(*) AS row_count FROM game
     UNION ALL SELECT 'dim_genre', count(*) FROM genre_dim
     UNION ALL SELECT 'dim_platform', count(*) FROM seed_platform
@@ -469,7 +498,7 @@ def top_titles(spark, sf_dir):
 @query("""SELECT CAST(substr(release_date, 1, 4) AS INTEGER) AS release_year, sum(total_sales) AS total_sales FROM wide
     WHERE release_date IS NOT NULL AND substr(release_date, 1, 4) BETWEEN '1980' AND '2020' GROUP BY 1""")
 def yearly_totals(spark, sf_dir):
-    return reports.yearly_totals(wide_sales(spark, sf_dir))
+    return reports.yearly_totals(wide_sales(spark, sf_dir), 1980, 2020)
 
 
 @query("SELECT continent, sum(sales_millions) AS sales_millions FROM long_sales GROUP BY continent ORDER BY 2 DESC")
@@ -481,7 +510,7 @@ def sales_by_continent(spark, sf_dir):
     count(DISTINCT genre) AS distinct_genres, count(DISTINCT continent) AS distinct_continents,
     min(release_year) AS min_year, max(release_year) AS max_year FROM long_sales""")
 def dataset_summary(spark, sf_dir):
-    return reports.dataset_summary(long_sales(spark, sf_dir))
+    return reports.dataset_summary(files.stored(long_sales(spark, sf_dir), "long"))
 
 
 @query("""SELECT count(DISTINCT title) AS distinct_titles, count(DISTINCT console) AS distinct_consoles,
@@ -491,7 +520,7 @@ def wide_distinct_counts(spark, sf_dir):
 
 
 def _enriched(spark, sf_dir) -> DataFrame:
-    return enrichment.enrich(wide_sales(spark, sf_dir), responses(spark, sf_dir), ORDER)
+    return enrichment.enrich(wide_sales(spark, sf_dir), responses(spark, sf_dir))
 
 
 @query("""SELECT count(*) AS total, count(rawg_id) AS matched, 100.0::DOUBLE * count(rawg_id) / count(*) AS match_rate_pct
@@ -557,7 +586,7 @@ def _earlier_run(spark, sf_dir) -> DataFrame:
     return joins.tag_source(joins.enrich_by_title(wide, found))
 
 
-@query(f"WITH {_EARLIER} SELECT DISTINCT title FROM incomplete WHERE title NOT IN (SELECT title FROM earlier)")
+@query(f"WITH {_EARLIER} SELECT title, min(row_ord) AS row_ord FROM incomplete ANTI JOIN earlier USING (title) GROUP BY title")
 def resume_anti_join(spark, sf_dir):
     return enrichment.titles_to_look_up(wide_sales(spark, sf_dir), ORDER, _earlier_run(spark, sf_dir))
 
@@ -567,7 +596,7 @@ def resume_anti_join(spark, sf_dir):
 def checkpoint_union(spark, sf_dir):
     """Earlier and new results; the earlier ones, marked here, win."""
     earlier = enrichment.known_titles(_earlier_run(spark, sf_dir)).withColumn("rawg_developers", F.lit("earlier"))
-    titles = enrichment.first_titles(enrichment.incomplete_rows(wide_sales(spark, sf_dir)), ORDER)
+    titles = enrichment.distinct_titles(enrichment.incomplete_rows(wide_sales(spark, sf_dir)))
     new = enrichment.title_matches(responses(spark, sf_dir).join(titles, "title", "left_semi"))
     return joins.union_previous(earlier, new)
 
@@ -585,7 +614,7 @@ def enrich_catalog(spark, sf_dir):
     wide, answers = wide_sales(spark, sf_dir), responses(spark, sf_dir)
     first = scratch_path(spark, "enriched")
     files.write_parquet(_earlier_run(spark, sf_dir).filter("developer IS NULL"), first)
-    return enrichment.enrich(wide, answers, ORDER, previous=files.read_parquet(spark, first))
+    return enrichment.enrich(wide, answers, previous=files.read_parquet(spark, first))
 
 
 # ---- quality ----------------------------------------------------------------
@@ -648,13 +677,14 @@ def check_domain(spark, sf_dir):
 @query("""WITH kept AS (SELECT * FROM wide WHERE title IS NOT NULL
       QUALIFY row_number() OVER (PARTITION BY title, release_date ORDER BY row_ord) = 1)
     SELECT 'rows_read' AS stage, count(*) AS "rows" FROM wide
+    UNION ALL SELECT 'rows_without_key', count(*) - count(title) FROM wide
     UNION ALL SELECT 'duplicates_removed', (SELECT count(*) FROM wide) - (SELECT count(*) FROM kept)
     UNION ALL SELECT 'rows_after_clean', count(*) FROM kept
     UNION ALL SELECT 'rows_after_unpivot', CAST(sum((coalesce(na_sales, 0) > 0)::INT + (coalesce(pal_sales, 0) > 0)::INT
       + (coalesce(jp_sales, 0) > 0)::INT + (coalesce(other_sales, 0) > 0)::INT) AS BIGINT) FROM kept""")
 def stage_metrics(spark, sf_dir):
     wide = wide_sales(spark, sf_dir)
-    clean = cleaning.clean_sales(wide, ORDER)
+    clean = files.stored(cleaning.clean_sales(wide, ORDER), "clean")
     return quality.stage_metrics(wide, clean, reshape.unpivot_sales(clean))
 
 
@@ -747,6 +777,34 @@ def file_manifest(spark, sf_dir):
     return lake.manifest(spark, path).groupBy(folder).agg((F.min("size_bytes") > 0).alias("has_bytes"))
 
 
+@query("""SELECT 'continent=' || continent || '/year=' || release_year AS folder, true AS files_agree, true AS bytes_agree,
+      count(*) AS row_count FROM long_sales WHERE release_year IS NOT NULL GROUP BY ALL""")
+def manifest_totals(spark, sf_dir):
+    """Files and bytes of each folder in the manifest against those that a read of the rows meets, and the rows."""
+    path = scratch_path(spark, "lake")
+    lake.write_lake(long_sales(spark, sf_dir), path)
+
+    def folder(name: str):
+        return F.url_decode(F.regexp_extract(name, "continent=[^/]+/year=[^/]+", 0)).alias("folder")
+
+    listed = lake.manifest(spark, path).groupBy(folder("path")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("size_bytes").alias("bytes"))
+    per_file = lake.read_lake(spark, path).groupBy("_metadata.file_path", "_metadata.file_size").agg(F.count(F.lit(1)).alias("n"))
+    met = per_file.groupBy(folder("file_path")).agg(
+        F.count(F.lit(1)).alias("met"), F.sum("file_size").alias("size"), F.sum("n").alias("row_count"))
+    return listed.join(met, "folder", "full").select(
+        "folder", F.col("files").eqNullSafe(F.col("met")).alias("files_agree"),
+        F.col("bytes").eqNullSafe(F.col("size")).alias("bytes_agree"), "row_count")
+
+
+@query("""SELECT continent, release_year AS "year", count(*) AS source_rows, count(*) AS target_rows, true AS complete
+    FROM long_sales WHERE release_year IS NOT NULL GROUP BY ALL""")
+def publish_outcome(spark, sf_dir):
+    source, target = scratch_path(spark, "lake"), scratch_path(spark, "published")
+    lake.write_lake(long_sales(spark, sf_dir), source)
+    return lake.publish(spark, source, target, lake.PARTITIONS)
+
+
 @query(f"""WITH kept AS (SELECT * FROM wide WHERE title IS NOT NULL
       QUALIFY row_number() OVER (PARTITION BY title, release_date ORDER BY row_ord) = 1),
     cells AS (SELECT *, 'NA' AS region_code, na_sales AS sales_millions FROM kept WHERE na_sales > 0
