@@ -11,9 +11,14 @@ TABLES = """region nation customer supplier part orders lineitem events document
     pages benchmark labels conversations""".split()
 
 
-def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+def connect(sf_dir: str, folder: str | None = None) -> duckdb.DuckDBPyConnection:
+    """A connection of its own, bounded so that it lives beside a Spark session."""
     connection = duckdb.connect()
     connection.execute("SET TimeZone = 'UTC'")
+    connection.execute("SET threads = 2")
+    connection.execute("SET memory_limit = '3GB'")
+    if folder:
+        connection.execute(f"SET temp_directory = '{folder}'")
     for name in TABLES:
         if os.path.exists(f"{sf_dir}/{name}.parquet"):
             connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")

@@ -1,3 +1,4 @@
+import os
 import re
 import sys
 from pathlib import Path
@@ -14,7 +15,7 @@ from pixeltally.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session(
-        8, shuffle_partitions=4,
+        os.environ.get("TEST_CPUS", "8"), shuffle_partitions=4,
         **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
     yield session

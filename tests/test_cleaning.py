@@ -35,9 +35,14 @@ def test_nan_becomes_null(spark):
 
 
 def test_release_year(spark):
-    dates = ["2008-11-21", "2008-1-5", "11/21/2009", "2010", "bad", "2008-02-30", "2008-01-05 10:00", "9999-01-01", "1500-01-01", None]
-    df = column(spark, dates).withColumnRenamed("v", "release_date")
-    assert values(cleaning.add_release_year(df), "release_year") == [2008, 2008] + [None] * 8
+    dates = {
+        "2008-11-21": 2008, "2008-1-5": 2008, "2008-01-05 10:00": 2008, "2008-11-21 00:00:00": 2008, "2008-11-21T00:00:00": 2008,
+        "2008-11-21T10:11:12.345Z": 2008, "9999-01-01": 9999, "1600-01-01": 1600,
+        "11/21/2009": None, "2010": None, "bad": None, "2008-02-30": None, None: None}
+    df = column(spark, list(dates)).withColumnRenamed("v", "release_date")
+    assert values(cleaning.add_release_year(df).orderBy("i"), "release_year") == list(dates.values())
+    given = cleaning.add_release_year(df, ["MM/dd/yyyy", "yyyy"]).filter("release_year IS NOT NULL").orderBy("i")
+    assert values(given, "release_date", "release_year") == [("11/21/2009", 2009), ("2010", 2010)]
 
 
 def test_na_tokens(spark):
@@ -96,6 +101,11 @@ def test_round4_is_exact(spark):
     beside = [math.nextafter(x, to) for x in ties for to in (0.0, math.inf)]
     exact_ties = [random.randrange(2**24) / 32 for _ in range(2000)]
     others = [random.uniform(0, 1e6) for _ in range(2000)] + [0.0, 1e9, 1e15, 123456789.00005]
+    # Every size on both sides of a tie, up to where a double has no fourth place.
+    sizes = [10.0 ** k for k in range(-5, 16)] + [2.0 ** k for k in range(25, 45)]
+    others += [x + t for x in sizes for t in (0.00005, 0.00015, 0.0003, 0.5, 0.00025)] + [1e9 + 0.00005, 2e9 + 0.00015, 1e15 + 0.25]
+    others += [random.uniform(1, 10) * x for x in sizes for _ in range(50)]
+    others += [math.nextafter(x, to) for x in sizes for to in (0.0, math.inf)] + [2.0 ** k + m / 2 ** 14 for k in range(25, 39) for m in (1, 3, 5, 7)]
     numbers = ties + beside + exact_ties + others
     numbers += [-x for x in numbers]
     df = spark.createDataFrame(pd.DataFrame({"v": numbers}))
@@ -112,10 +122,26 @@ def test_match_rate_of_nothing(spark):
     assert values(reports.match_rate(df), "total", "matched", "match_rate_pct") == [(0, 0, None)]
 
 
-def test_titles_are_cut_before_they_are_compared(spark):
+def test_whole_titles_are_compared(spark):
     rows = [("x" * 300 + "a", 1), ("x" * 300 + "b", 2), (None, 3)]
     df = spark.createDataFrame(rows, "title string, n int")
-    assert values(cleaning.clean_for_warehouse(df, ["n"]), "title", "n") == [("x" * 300, 1)]
+    clean = cleaning.clean_for_warehouse(df, ["n"])
+    assert sorted(values(clean, "title", "n")) == rows[:2]
+    assert values(cleaning.truncate_texts(clean, {"title": 300, "no": 1}), "title") == ["x" * 300] * 2
+
+
+def test_years_outside_the_range_are_left_out_on_request_only(spark):
+    rows = [(f"{year}-05-05", 1.0) for year in (1979, 1980, 2000, 2020, 2021)]
+    df = spark.createDataFrame(rows, "release_date string, total_sales double")
+    assert sorted(values(reports.yearly_totals(df, 1980, 2020), "release_year")) == [1980, 2000, 2020]
+    assert sorted(values(reports.yearly_totals(df, 1, 9999), "release_year")) == [1979, 1980, 2000, 2020, 2021]
+
+
+def test_summary(spark):
+    rows = [("a", "P", "G", "C", 2000), ("a", "Q", "G", None, 2001), (None, "P", None, "C", None), ("b", "P", "G", "D", 1999)]
+    df = spark.createDataFrame(rows, "title string, platform string, genre string, continent string, release_year int")
+    assert reports.dataset_summary(df).collect() == [(4, 2, 2, 1, 2, 1999, 2001)]
+    assert reports.dataset_summary(df.limit(0)).collect() == [(0, 0, 0, 0, 0, None, None)]
 
 
 def test_clean_sales(spark):

@@ -38,9 +38,10 @@ def test_projections(spark):
     columns = [*catalog.detail_columns(game), *catalog.enrichment_columns(game)[1:]]
     first, second = df.select(*columns).collect()
     assert first.asDict() == {
-        "rawg_id": 1, "rawg_rating": None, "rawg_genres": "", "rawg_tags": "t0, t1, t2, t3, t4", "esrb_rating": "Teen",
+        "rawg_id": 1, "rawg_rating": None, "rawg_genres": "", "rawg_tags": "t0, t1, t2, t3, t4, t5, t6", "esrb_rating": "Teen",
         "background_img": "u", "rawg_released": "2001-02-03", "rawg_metacritic": 80, "rawg_developers": "D1, D2"}
     assert (second.rawg_tags, second.rawg_developers, second.esrb_rating) == ("", None, None)
+    assert df.select(*catalog.detail_columns(game, tags=2)).first().rawg_tags == "t0, t1"
 
 
 SALES = [
@@ -56,26 +57,45 @@ def sales(spark):
 
 def test_titles_to_look_up(sales):
     titles = enrichment.titles_to_look_up(sales, ["n"])
-    assert sorted(r.title for r in titles.collect()) == ["a", "b", "e"]
-    assert [r.title for r in enrichment.titles_to_look_up(sales, ["n"], limit=2).collect()] == ["a", "b"]
+    assert sorted(titles.collect()) == [("a", 1), ("b", 2), ("e", 6)]
+
+
+def test_resume_until_nothing_is_left(spark, sales):
+    """A client that asks for one title in each run comes to all of them."""
+    answers = {t: response(t.upper()) for t in "abce"}
+    schema = "title string, payload string"
+    enriched = enrichment.enrich(sales, spark.createDataFrame([], schema))
+    asked = []
+    while (first := enrichment.titles_to_look_up(sales, ["n"], enriched).orderBy("n").first()) is not None:
+        asked.append(first.title)
+        enriched = enrichment.enrich(sales, spark.createDataFrame([(first.title, answers[first.title])], schema), enriched)
+    assert asked == ["a", "b", "e"]
+    assert {r.title for r in enriched.filter("rawg_id IS NOT NULL").collect()} == {"a", "b", "e"}
+
+
+def test_resuming_joins_known_titles_once(spark, sales, plan_of):
+    responses = spark.createDataFrame([("a", response("A"))], "title string, payload string")
+    first = enrichment.enrich(sales, responses)
+    titles = enrichment.titles_to_look_up(sales, ["n"], first)
+    assert plan_of(titles).count("LeftAnti") == 1
 
 
 def test_enrich_and_resume(spark, sales):
     responses = spark.createDataFrame(
         [(t, response(t.upper(), metacritic=50)) for t in "abc"] + [("e", '{"results": []}')], "title string, payload string")
-    first = enrichment.enrich(sales, responses, ["n"], limit=1)
+    first = enrichment.enrich(sales, responses.filter("title = 'a'"))
     assert {r.n: r.data_source for r in first.collect()} == {
         1: "vgchartz+rawg", **{n: "vgchartz" for n in (2, 3, 4, 5, 6)}}
     # The second run keeps what the first one found, though the catalogue now says otherwise.
     changed = responses.withColumn("payload", F.replace("payload", F.lit('"id": 1'), F.lit('"id": 9')))
-    again = enrichment.enrich(sales, changed, ["n"], previous=first)
+    again = enrichment.enrich(sales, changed, previous=first)
     assert {r.n: r.rawg_id for r in again.collect()} == {1: 1, 2: 9, 3: 9, 4: None, 5: None, 6: None}
     assert again.count() == len(SALES)
 
 
 def test_enrich_without_any_match(spark, sales):
     none = spark.createDataFrame([], "title string, payload string")
-    rows = enrichment.enrich(sales, none, ["n"]).collect()
+    rows = enrichment.enrich(sales, none).collect()
     assert len(rows) == len(SALES) and {r.data_source for r in rows} == {"vgchartz"}
 
 

@@ -35,9 +35,77 @@ def test_csv(spark, csv):
 def test_records_over_several_lines_are_found(spark, tmp_path, csv):
     path = tmp_path / "lines.csv"
     path.write_text('title,console\n"two\nlines",PC\nplain,"a ""quoted"" word"\n')
-    assert files.has_multiline_records(spark, str(path))
-    assert not files.has_multiline_records(spark, csv)
-    assert sorted(files.read_csv(spark, str(path)).collect()) == [("plain", 'a "quoted" word'), ("two\nlines", "PC")]
+    assert [f.endswith("lines.csv") for f in files.files_with_line_breaks(spark, str(path))] == [True]
+    assert files.files_with_line_breaks(spark, csv) == []
+    whole = [("plain", 'a "quoted" word'), ("two\nlines", "PC")]
+    assert sorted(files.read_csv(spark, str(path), multi_line=None).collect()) == whole
+    assert sorted(files.read_csv(spark, str(path), multi_line=True).collect()) == whole
+    with pytest.raises(Exception, match="line break in quotes"):
+        files.read_csv(spark, str(path)).collect()
+
+
+@pytest.fixture
+def folder(tmp_path):
+    def write(**texts):
+        place = tmp_path / "folder"
+        place.mkdir()
+        for name, text in texts.items():
+            (place / f"{name}.csv").write_text(text)
+        return str(place)
+    return write
+
+
+def test_line_breaks_are_looked_for_per_file(spark, settings, folder):
+    path = folder(one='n,text\n1,"a\nb"\n', two="n,text\n" + "".join(f"{i},x\n" for i in range(2, 3000)))
+    settings({"spark.sql.files.maxPartitionBytes": "4000", "spark.sql.files.openCostInBytes": "0"})
+    rows = files.read_csv(spark, path, multi_line=None)
+    assert rows.count() == 2999 and rows.filter("text = 'a\nb'").count() == 1
+    assert rows.rdd.getNumPartitions() > 4  # the other file is still split
+
+
+def test_a_break_in_the_last_column_is_found(spark, folder):
+    with pytest.raises(Exception, match="line break in quotes"):
+        files.read_csv(spark, folder(one='n,text\n1,"a\nb"\n')).collect()
+
+
+def test_a_stray_quote_is_text(spark, folder):
+    path = folder(one='title,console\n7" vinyl,PC\nplain,a "b" c\n')
+    assert files.files_with_line_breaks(spark, path) == []
+    assert sorted(files.read_csv(spark, path).collect()) == [('7" vinyl', "PC"), ("plain", 'a "b" c')]
+
+
+def test_files_with_other_headers_are_refused(spark, folder):
+    path = folder(one="title,console\na,PC\n", two="console,title\nPC,b\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, path).collect()
+
+
+def test_surplus_fields(spark, folder):
+    path = folder(one="title,console\na,PC\nb,PC,more\nshort\n")
+    for columns in (["title"], ["title", "console"]):
+        with pytest.raises(Exception, match="more fields"):
+            files.read_csv(spark, path).select(*columns).collect()
+    assert sorted(files.read_csv(spark, path, cut_surplus=True).collect(), key=str) == [("a", "PC"), ("b", "PC"), ("short", None)]
+
+
+def test_unfinished_datasets_are_no_source(spark, tmp_path, csv):
+    enriched = tmp_path / "enriched"
+    enriched.mkdir()
+    assert files.resolve_source(spark, str(enriched), csv).count() == 5
+    files.write_parquet(spark.range(2), str(enriched))
+    assert files.resolve_source(spark, str(enriched), csv).count() == 2
+    (enriched / "_SUCCESS").unlink()
+    assert files.resolve_source(spark, str(enriched), csv).count() == 5
+
+
+def test_own_inputs_are_not_overwritten(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    files.write_parquet(spark.range(2), path)
+    for target in (path, str(tmp_path), f"file://{path}/"):
+        with pytest.raises(ValueError, match="input"):
+            files.write_parquet(files.read_parquet(spark, path), target)
+    files.write_parquet(files.read_parquet(spark, path), f"{path}2")
+    assert files.read_parquet(spark, path).count() == 2
 
 
 def test_file_order_is_the_order_of_the_lines(spark, settings, tmp_path):
@@ -97,13 +165,14 @@ def test_manifest_and_publish(spark, tmp_path):
     source, target = str(tmp_path / "lake"), str(tmp_path / "published")
     df = spark.createDataFrame([("A", 2000, 1.0), ("B", 2001, 3.0)], "continent string, release_year int, sales double")
     lake.write_lake(df, source)
-    lake.publish(spark, source, target, lake.PARTITIONS)
+    outcome = lake.publish(spark, source, target, lake.PARTITIONS)
+    assert sorted(outcome.collect()) == [("A", 2000, 1, 1, True), ("B", 2001, 1, 1, True)]
     listed = lake.manifest(spark, target)
     assert {"/".join(r.path.split("/")[-3:-1]) for r in listed.collect()} == {"continent=A/year=2000", "continent=B/year=2001"}
     totals = lake.manifest_totals(listed).first()
     assert totals.files == 2
     assert totals.total_mb == round(sum(r.size_bytes for r in listed.collect()) / 1024 / 1024, 2)
-    lake.publish(spark, f"{source}/continent=A", str(tmp_path / "one"))
+    assert lake.publish(spark, f"{source}/continent=A", str(tmp_path / "one")).collect() == [(1, 1, True)]
     assert spark.read.parquet(str(tmp_path / "one")).count() == 1
 
 
@@ -113,14 +182,25 @@ def test_stage_sales(spark, csv, tmp_path):
     assert staged.raw.count() == 5 and staged.clean.count() == 3
     assert staged.rows_without_partition.collect() == [(0,)]
     assert lake.read_lake(spark, staged.lake_path).count() == 3
+    assert staged.summary.first().total_rows == 3 and staged.summary.first().distinct_titles == 2
+    assert {r.continent for r in staged.continents.collect()} == {"Americas", "Europe"}
+    assert dict(staged.metrics.collect()) == {
+        "rows_read": 5, "rows_without_key": 1, "duplicates_removed": 1, "rows_after_clean": 3, "rows_after_unpivot": 3}
+
+
+def test_stage_sales_with_other_dates(spark, csv, tmp_path):
+    text = CSV.replace("2001-03-04", "04.03.2001").replace("2002-01-01", "01.01.2002")
+    other = tmp_path / "other.csv"
+    other.write_text(text)
+    with pytest.raises(ValueError, match="date"):
+        stage_sales(spark, str(other), str(tmp_path / "none"))
+    staged = stage_sales(spark, str(other), str(tmp_path / "some"), formats=["dd.MM.yyyy"])
+    assert lake.read_lake(spark, staged.lake_path).count() == 3
 
 
 def test_stage_sales_with_details(spark, csv, tmp_path):
     payload = '{"results": [{"id": 5, "rating": 4.5, "genres": [{"name": "A"}, {"name": "B"}], "tags": null}, {"id": 6}]}'
     responses = spark.createDataFrame([("Beta", payload), ("Gamma", payload)], "title string, payload string")
-    for limit, found in ((None, 5), (1, None)):
-        staged = stage_sales(spark, csv, str(tmp_path / f"out{limit}"), responses, max_titles=limit)
-        beta = staged.long.filter("title = 'Beta'").first()
-        assert beta.rawg_id == found
-        if found:
-            assert (beta.rawg_rating, beta.rawg_genres, beta.rawg_tags, beta.esrb_rating) == (4.5, "A, B", "", None)
+    staged = stage_sales(spark, csv, str(tmp_path / "out"), responses)
+    beta = staged.long.filter("title = 'Beta'").first()
+    assert (beta.rawg_id, beta.rawg_rating, beta.rawg_genres, beta.rawg_tags, beta.esrb_rating) == (5, 4.5, "A, B", "", None)

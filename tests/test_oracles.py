@@ -6,15 +6,16 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import connect, differences
+from pixeltally.workload.registry import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
 
 
-@pytest.fixture(scope="module")
-def duck():
-    return connect(SF_DIR)
+@pytest.fixture
+def duck(tmp_path):
+    """One for each test: a failure in one can't spoil the next."""
+    with connect(SF_DIR, str(tmp_path / "duck")) as connection:
+        yield connection
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -26,6 +27,7 @@ def test_query(spark, duck, name):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
 
 
 def test_entry(spark):

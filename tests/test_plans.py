@@ -34,6 +34,21 @@ def test_top_k_limits_before_the_shuffle(large_games, plan_of):
     assert "SortMergeJoin [region_id" not in plan
 
 
+@pytest.mark.parametrize("ranked", [lambda s: views.top_games_per_region(s, 3), lambda s: views.game_ranking_by_region(s)])
+def test_ranks_come_before_titles_and_labels(large_games, plan_of, ranked):
+    plan = plan_of(ranked(large_games))
+    lines = plan.split("\n")
+    attach = next(n for n, line in enumerate(lines) if re.search(r"Join .*_group", line))
+    depth = len(re.match(r"[ :+-]*", lines[attach]).group())
+    below = lines[attach + 1:]
+    end = next((n for n, line in enumerate(below) if len(re.match(r"[ :+-]*", line).group()) <= depth), len(below))
+    scans = [line for line in below[:end] if "FileScan" in line]
+    assert len(scans) >= 5
+    assert not any(re.search("title|label|_name", line.split("ReadSchema")[1]) for line in scans)
+    # No join of the counting pass shuffles the facts: they meet games bucket by bucket.
+    assert not any("Exchange hashpartitioning(game_id" in line for line in below[:end])
+
+
 def test_keep_first_limits_before_the_shuffle(spark, plan_of):
     plan = plan_of(cleaning.keep_first(wide_sales(spark, SF_DIR), ["title"], ["row_ord"]))
     assert re.search(r"WindowGroupLimit \[title.*row_number\(\), 1, Partial", plan)

@@ -5,10 +5,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from pixeltally import session
 from pixeltally.operators import quality
 from pixeltally.operators.joins import insert_ignore
 from pixeltally.plans import views, warehouse as loads
+from pixeltally.schemas import CALENDAR_END, CALENDAR_START
 from pixeltally.sources.files import write_parquet
+from pixeltally.sources.tables import Warehouse
 from pixeltally.workload.tables import new_warehouse
 
 SCHEMA = "title string, console string, genre string, publisher string, critic_score double, release_date string, " \
@@ -73,6 +76,69 @@ def test_weekly_refresh_keeps_ids(warehouse, sales, tmp_path):
     assert dict(warehouse.counts(["dim_date", "dim_genre"]).collect()) == {"dim_date": 22280, "dim_genre": 23}
 
 
+def week(warehouse, sales, tmp_path, name, rows):
+    path = str(tmp_path / name)
+    write_parquet(sales(rows).coalesce(1), path)
+    loads.weekly_refresh(warehouse, path, str(tmp_path / "none.csv"))
+    titles = {r.game_id: r.title for r in warehouse.table("dim_game").collect()}
+    return {(titles[f.game_id], f.region_id): f.sales_millions for f in warehouse.table("fact_sales").collect()}
+
+
+def test_weeks_add_up(warehouse, sales, tmp_path):
+    first = week(warehouse, sales, tmp_path, "one", WEEK1)
+    both = week(warehouse, sales, tmp_path, "two", WEEK2[3:])
+    assert both == {**first, ("c", 2): 4.0}
+    assert week(warehouse, sales, tmp_path, "again", WEEK2[3:]) == both
+    # A later week that has other sales of a known game brings its facts up to date.
+    changed = [("a", "PS5", "Action", "P", 8.0, "2001-01-01", 1.5, None, 3.0, 1)]
+    assert week(warehouse, sales, tmp_path, "changed", changed) == {
+        **{k: v for k, v in both.items() if k[0] != "a"}, ("a", 1): 1.5}
+    assert warehouse.table("fact_sales").count() == warehouse.table("fact_sales").select("sale_id").distinct().count()
+
+
+def test_long_titles_have_games_of_their_own(warehouse, sales, tmp_path):
+    rows = [("x" * 300 + end, "PC", "Action", "P", 1.0, "2001-01-01", amount, None, amount, n) for n, (end, amount) in enumerate([("a", 1.0), ("b", 2.0)])]
+    assert {(t[-1], v) for (t, _), v in week(warehouse, sales, tmp_path, "long", rows).items()} == {("a", 1.0), ("b", 2.0)}
+
+
+def test_the_calendar_reaches_as_far_as_the_data(warehouse, sales):
+    rows = [("a", "PC", "G", "P", 1.0, "2041-05-05", 1.0, None, 1.0, 1), ("b", "PC", "G", "P", 1.0, "1969-05-05", 1.0, None, 1.0, 2)]
+    for _ in range(2):
+        loads.load_warehouse(warehouse, sales(rows), ["n"])
+    days = warehouse.table("dim_date").agg(F.min("full_date"), F.max("full_date"), F.count("*"), F.countDistinct("full_date")).first()
+    assert (days[0], days[1]) == (dt.date(1969, 1, 1), dt.date(2041, 12, 31)) and days[2] == days[3] == (days[1] - days[0]).days + 1
+
+
+def test_no_scratch_folder_stays(warehouse, sales, tmp_path, monkeypatch):
+    scratch = tmp_path / "scratch"
+    scratch.mkdir()
+    monkeypatch.setattr(session, "scratch_root", lambda spark: str(scratch))
+    loads.load_warehouse(warehouse, sales(WEEK1), ["n"])
+    week(warehouse, sales, tmp_path, "one", WEEK2)
+    assert list(scratch.iterdir()) == []
+    # A load that fails leaves none either, and can be run again.
+    with pytest.raises(Exception, match="no_such_column"):
+        loads.load_warehouse(warehouse, sales(WEEK1), ["no_such_column"])
+    assert list(scratch.iterdir()) == []
+    assert dict(loads.load_warehouse(warehouse, sales(WEEK1), ["n"]).collect())["fact_sales"] == 3
+
+
+def test_a_reopened_warehouse_keeps_its_buckets(spark, warehouse, sales):
+    loads.load_warehouse(warehouse, sales(WEEK1), ["n"])
+    again = Warehouse(spark, warehouse.database, buckets=7)
+    assert again.buckets_of("fact_sales") == warehouse.buckets != 7
+    before = fact_rows(again)
+    again.append(again.table("fact_sales").drop("ingested_at"), "fact_sales")
+    again.compact("fact_sales")
+    assert fact_rows(again) == sorted(before * 2)
+
+
+def test_other_settings_are_refused(spark, warehouse, sales, settings):
+    settings({"spark.sql.session.timeZone": "Asia/Tokyo"})
+    with pytest.raises(RuntimeError, match="timeZone"):
+        loads.load_warehouse(warehouse, sales(WEEK1), ["n"])
+
+
 def test_weekly_refresh_without_source(warehouse, tmp_path):
     with pytest.raises(FileNotFoundError):
         loads.weekly_refresh(warehouse, str(tmp_path / "no"), str(tmp_path / "no.csv"))
@@ -110,7 +176,7 @@ def test_views(warehouse, sales):
 
 
 def test_calendar(spark):
-    days = loads.calendar_dimension(spark)
+    days = loads.calendar_dimension(spark, CALENDAR_START, CALENDAR_END)
     assert days.count() == 22280
     day = {r.full_date: r for r in days.filter("full_date IN ('1970-01-01', '2021-01-03')").collect()}
     assert tuple(day[dt.date(1970, 1, 1)]) == (19700101, dt.date(1970, 1, 1), 1970, 1, 1, "January", 1, 4, False)
@@ -138,4 +204,4 @@ def test_failing_checks(spark):
 def test_metrics(spark):
     raw = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", None), (None, None), (None, None)], "title string, release_date string")
     got = dict(quality.stage_metrics(raw, raw.limit(2), raw.limit(1)).collect())
-    assert got == {"rows_read": 5, "duplicates_removed": 2, "rows_after_clean": 2, "rows_after_unpivot": 1}
+    assert got == {"rows_read": 5, "rows_without_key": 2, "duplicates_removed": 1, "rows_after_clean": 2, "rows_after_unpivot": 1}
