@@ -41,7 +41,7 @@ _TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attributes>(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|</?[a-z][^>]*+>|<[!?][^>]*+>|(?P<text>[^<]++|<)", re.I | re.S)
 _NAMES = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 _PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _SPACE = re.compile(r"\s+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？]")
@@ -61,14 +61,15 @@ class Block:
     text: str
 
 
-def element(tag: str, attributes: str, inside_article: bool) -> Element:
+def element(tag: str, attributes: str) -> Element:
     names, article = [], tag in SEMANTIC
-    for kind, *values in _NAMES.findall(attributes):
+    # What the whole page is called says which parts it has, not that it is one.
+    for kind, *values in _NAMES.findall(attributes) if tag not in ("html", "body") else ():
         value = "".join(values)
         names += [(kind.lower(), part.lower()) for part in _PART.findall(value)]
         article = article or value.lower().replace("-", "") in ARTICLE_PARTS
     other = tag in BOILERPLATE or any(part in OTHER_PARTS for _, part in names) or bool(_HIDDEN.search(attributes))
-    # A header within an article may hold its title; blocks decide there, see `blocks`.
+    other = other and tag not in ("html", "body")
     classes = ".".join(part for kind, part in names if kind == "class")
     return Element(tag, f"{tag}.{classes}" if classes else tag, other, article and not other)
 
@@ -113,7 +114,7 @@ def blocks(page: str) -> list[Block]:
                 stack.pop()
         if token["attributes"].rstrip().endswith("/") and tag not in ("p", "div", "section", "article", "main", "body"):
             continue
-        stack.append(element(tag, token["attributes"], any(e.article for e in stack)))
+        stack.append(element(tag, token["attributes"]))
     flush()
     return found
 
@@ -154,7 +155,7 @@ def article(page: list[Block], share: float = 0.5) -> list[str]:
     """The texts of the article's blocks, in order."""
     page = [block for block in page if not _other(block.path)]
     if not page:
-        return []
+        return []  # menus and the like only
     scores = path_scores(page)
     threshold = share * scores.mean()
     # The container of each path over the threshold: the innermost article it is in, or its parent.

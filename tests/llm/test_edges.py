@@ -298,6 +298,17 @@ def test_html_without_an_article():
         "The & title\n\nFirst paragraph, with bold words.\n\nSecond <one>, unclosed, with a link.\n\nitem one\n\nitem two\n\nQuoted, at some length.")
 
 
+def test_html_of_an_article_among_other_parts():
+    page = """<html class="has-sidebar"><body class="single comments-open with-sidebar"><div class="overflow-hidden wrap">
+        <aside class="left"><p>Side, long enough to look like text, with commas, and a full stop.</p></aside>
+        <main><article class="post"><header class="entry"><h1>Title</h1><p>By a writer</p></header><p>Short.</p><p>One more, a bit longer, block.</p>
+        <div class="ad">Buy this, buy that, and buy all the rest as well, today.</div><p hidden>Hidden text.</p>
+        <ul class="share-links"><li>Share</li></ul><pre>code  here</pre></article>
+        <section class="comments"><article><p>A comment that is much longer than the article, on and on, and on.</p></article></section></main>
+        </div><div id="cookie_notice">Cookies!</div><footer>End.</footer></body></html>"""
+    assert html_extract.main_text(page) == "Title\n\nShort.\n\nOne more, a bit longer, block.\n\ncode here"
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "<script>", "</p></p>", "<nav>x</nav>", "<p a='>", "<br/><br>"])
 def test_html_of_broken_pages(page):
     assert "\n\n\n" not in html_extract.main_text(page)
