@@ -13,25 +13,31 @@ from pixeltally.session import scratch_path
 # A word is a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# While a scratch table is written: its shuffle files go when it ends, not when the driver collects
+# its garbage, and Python workers get long texts in batches of a few MB.
+_WHILE_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
 
 
 @contextmanager
-def _shuffles_freed(spark: SparkSession):
-    """Shuffle files of a write go when it ends, not when the driver collects its garbage."""
-    before = spark.conf.get(_FREE_SHUFFLES, None)
-    spark.conf.set(_FREE_SHUFFLES, "true")
+def _settings(spark: SparkSession, values: dict[str, str]):
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(_FREE_SHUFFLES) if before is None else spark.conf.set(_FREE_SHUFFLES, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back; its lineage ends there."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    with _shuffles_freed(spark):
+    with _settings(spark, _WHILE_WRITING):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

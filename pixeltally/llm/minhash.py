@@ -3,8 +3,9 @@
 A document is its set of word shingles. One permutation scatters the shingles; a second one,
 shifted by one place for each coordinate, orders them, and the least is the coordinate. Bands
 of coordinates put likely pairs in a bucket. Links are confirmed on the full sets. Of a bucket
-only pairs with its first member are tried at first; pairs of members that are then still
-unconnected follow, so a group of copies costs a pair for each member and no link is lost.
+only pairs with its first member are tried at first, so a group of copies costs a pair for each
+member. Members that are then still unconnected meet in blocks of a bounded size, where their
+pairs are tried on the full sets and only links come out, so none is lost.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ PERCENT = 80
 BAND_ROWS = 5
 # A pair at the threshold is missed in all bands with less than this probability.
 MISS = 1e-6
-BLOCK = 1024
+BLOCK = 256  # members of a bucket that meet as many others in one group
 _ELEMENTS = 1 << 16
 
 
@@ -178,24 +179,70 @@ def _sizes_fit(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
 
 
-def _unconnected(percent: int):
-    """Of two blocks of a bucket the pairs of different components that aren't ruled out."""
-    def pairs(group: pa.Table) -> pa.Table:
-        low, high = group["low"][0].as_py(), group["high"][0].as_py()
-        block = group["block"].to_numpy()
-        node, label, size = (group[name].to_numpy() for name in ("node", "label", "n_shingles"))
-        marks = np.frombuffer(b"".join(group["marks"].to_pylist()), np.uint8).reshape(len(node), -1)
-        a, b = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        left, right = [], []
-        for i in a.tolist():
-            other = b[(label[b] != label[i]) & _sizes_fit(size[b], size[i], percent)]
-            if low == high:
-                other = other[node[other] > node[i]]
-            other = other[_alike(marks[other], marks[i], percent)] if len(other) else other
-            left += [node[i]] * len(other)
-            right += node[other].tolist()
-        return pa.table({"u": pa.array(left, pa.int64()), "v": pa.array(right, pa.int64())})
-    return pairs
+_BLOCKED = "band long, number int, low int, high int, block int, node long, label long, n_shingles long, marks binary"
+
+
+def _candidates(group: pa.Table, percent: int, rows: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Of two blocks of a bucket, for each member of one those of the other that are in
+    another component and that sizes and signatures don't rule out. A pair that shares
+    several bands is a candidate in the first of them only."""
+    low, high, number = (group[name][0].as_py() for name in ("low", "high", "number"))
+    block, node, label, size = (group[name].to_numpy() for name in ("block", "node", "label", "n_shingles"))
+    marks = np.frombuffer(b"".join(group["marks"].to_pylist()), np.uint8).reshape(len(node), -1)
+    a, b = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    for i in a.tolist():
+        other = b[(label[b] != label[i]) & _sizes_fit(size[b], size[i], percent)]
+        if low == high:
+            other = other[node[other] > node[i]]
+        if len(other):
+            other = other[_alike(marks[other], marks[i], percent)]
+            same = (marks[other] == marks[i]).reshape(len(other), marks.shape[1] // rows, rows).all(axis=2)
+            other = other[same.argmax(axis=1) == number]
+        if len(other):
+            yield i, other
+
+
+def _with_partner(percent: int, rows: int):
+    """The members that are in any candidate pair; the pairs themselves go nowhere."""
+    def keep(group: pa.Table) -> pa.Table:
+        wanted = np.zeros(group.num_rows, bool)
+        for i, other in _candidates(group, percent, rows):
+            wanted[i] = True
+            wanted[other] = True
+        return group.filter(pa.array(wanted))
+    return keep
+
+
+def _links_between(percent: int, rows: int):
+    """Links between components, confirmed on the full sets where they meet; one that connects
+    nothing new is left out."""
+    def confirm(group: pa.Table) -> pa.Table:
+        node, label = group["node"].to_pylist(), group["label"].to_pylist()
+        sets = [np.frombuffer(s, np.uint64) for s in group["shingles"].to_pylist()]
+        bounds = np.cumsum([0] + [len(s) for s in sets]).tolist()
+        elements, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        held = np.zeros(len(elements), bool)
+        root = {x: x for x in label}
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        found = []
+        for i, others in _candidates(group, percent, rows):
+            own = flat[bounds[i]:bounds[i + 1]]
+            held[own] = True
+            for j in others.tolist():
+                if (mine := find(label[i])) != (theirs := find(label[j])):
+                    common = int(held[flat[bounds[j]:bounds[j + 1]]].sum())
+                    if 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                        found.append((node[i], node[j]))
+                        root[max(mine, theirs)] = min(mine, theirs)
+            held[own] = False
+        return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
+    return confirm
 
 
 def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, percent: int = PERCENT,
@@ -220,7 +267,7 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
         sketch.filter("doc_id IS NOT NULL AND digest IS NOT NULL").groupBy("digest").agg(
             F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("marks").alias("marks"),
             F.first("bands").alias("bands")), "nodes")
-    keyed = nodes.select("node", F.explode("bands").alias("band"))
+    keyed = nodes.select("node", F.posexplode("bands").alias("number", "band"))
     buckets = stored(
         keyed.groupBy("band").agg(F.min("node").alias("first"), F.count("*").alias("members")).filter("members > 1"), "buckets")
     members = stored(keyed.join(buckets, "band"), "members")
@@ -238,18 +285,20 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
 
     # Buckets whose members aren't all connected by now: their other pairs, block by block.
     labelled = members.join(labels, "node", "left").select(
-        "band", "node", "members", F.coalesce("component", "node").alias("label"))
+        "band", "number", "node", "members", F.coalesce("component", "node").alias("label"))
     mixed = stored(
         labelled.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a < b").select("band"), "mixed")
     split = labelled.join(mixed, "band").join(about, "node").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     split = split.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     split = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    split = split.select("band", "node", "label", "n_shingles", "marks", "block",
-                         F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    rest = stored(
-        split.groupBy("band", "low", "high").applyInArrow(_unconnected(percent), "u long, v long").distinct(), "rest")
+    split = split.select("band", "number", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                         "block", "node", "label", "n_shingles", "marks")
+    pair = ["band", "low", "high"]
+    rest = stored(split.groupBy(*pair).applyInArrow(_with_partner(percent, rows), _BLOCKED), "rest")
     if not rest.isEmpty():
-        links = links.unionByName(confirmed(rest, "rest"))
+        sets = _sets_of(named, rest.select("node"), "rest", shingle).withColumnRenamed("doc_id", "node")
+        more = rest.join(sets, "node").groupBy(*pair).applyInArrow(_links_between(percent, rows), "u long, v long")
+        links = links.unionByName(stored(more, "rest-links"))
         labels = stored(components(links), "labels")
 
     grouped = stored(
@@ -262,12 +311,17 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
         .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
 
 
-def _confirmed(named: DataFrame, pairs: DataFrame, name: str, shingle: int, percent: int) -> DataFrame:
-    """The links among ``pairs``, by the full sets of the documents in them."""
-    wanted = stored(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), f"{name}-wanted")
-    sets = stored(
+def _sets_of(named: DataFrame, ids: DataFrame, name: str, shingle: int) -> DataFrame:
+    """``doc_id, shingles`` of the documents in ``ids``."""
+    wanted = stored(ids.toDF("doc_id").distinct(), f"{name}-wanted")
+    return stored(
         named.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets(shingle), "doc_id long, shingles binary")
         .filter("octet_length(shingles) > 0"), f"{name}-sets")
+
+
+def _confirmed(named: DataFrame, pairs: DataFrame, name: str, shingle: int, percent: int) -> DataFrame:
+    """The links among ``pairs``, by the full sets of the documents in them."""
+    sets = _sets_of(named, pairs.select(F.explode(F.array("u", "v"))), name, shingle)
     with_v = pairs.join(sets.toDF("v", "shingles_v"), "v")
     both = with_v.join(sets.toDF("u", "shingles_u"), "u").select("u", "v", "shingles_u", "shingles_v")
     return stored(both.mapInArrow(_linked(percent), "u long, v long").distinct(), f"{name}-links")
