@@ -6,8 +6,8 @@ that two documents share hold a whole block of either, so a repeat has an anchor
 Around anchors the hits are extended: the thirteen-word windows that contain one are compared
 exactly, and neighbouring repeated windows join to maximal exact repeats.
 
-Hashes travel in blocks of bytes, a row per task's share of a bucket, so neither a word nor a
-hash is a row. A hash that several documents of one task share is sent once for all of them.
+Hashes travel in blocks of bytes, a row per task's share of a bucket, and their answers a row per
+bucket's share of a group of documents, so neither a word nor a hash is a row. A hash that several documents of one task share is sent once for all of them.
 """
 
 from __future__ import annotations
@@ -20,14 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pixeltally.llm.common import stored
-from pixeltally.llm.words import Words, chunks
+from pixeltally.llm.words import Words, chunks, mix64
 
 WINDOW = 13
 UNIT_BYTES = 8 << 20
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 8 << 20
 
 _SHIPPED = "bucket int, known boolean, ids binary, keys binary, doc binary, pos binary, low binary, high binary, flags binary"
-_HITS = "doc_id long, key long, pos binary"
+_FOUND = "grp int, ids binary, keys binary, doc binary, pos binary"
+_PLACES = "doc_id long, key long, places binary"
 _ALIGNED, _SHARED = 1, 2
 
 
@@ -146,13 +147,12 @@ def _windows(block: int, window: int, buckets: int) -> Callable:
             if not len(whole):
                 continue
             near = np.zeros(len(unit.hashes[0]) + 1, np.int32)
-            for number, blobs in enumerate(anchors):
+            for number, blob in enumerate(anchors):
                 first, last = unit.words.first[number], unit.words.first[number + 1]
-                for blob in blobs:
-                    # A window holds an anchor at `p` if it starts from p - (window - block) to p.
-                    p = np.frombuffer(blob, "<u4").astype(np.int64)
-                    np.add.at(near, first + np.maximum(p - (window - block), 0), 1)
-                    np.add.at(near, np.minimum(first + p + 1, last), -1)
+                # A window holds an anchor at `p` if it starts from p - (window - block) to p.
+                p = np.frombuffer(blob, "<u4").astype(np.int64)
+                np.add.at(near, first + np.maximum(p - (window - block), 0), 1)
+                np.add.at(near, np.minimum(first + p + 1, last), -1)
             chosen = np.cumsum(near)[whole] > 0
             at, doc = whole[chosen], doc[chosen]
             if not len(at):
@@ -189,8 +189,8 @@ def _repeats(low, high, ids, doc, flags) -> np.ndarray:
     return order[ids[order] > least]
 
 
-def _resolved(decide: Callable) -> Callable:
-    """For a bucket: the places of its hits, a row per document."""
+def _resolved(decide: Callable, groups: int) -> Callable:
+    """For a bucket: the places of its hits, a row per group of documents."""
     def resolve(group: pa.Table) -> pa.Table:
         parts: dict[str, list[np.ndarray]] = {name: [] for name in ("low", "high", "doc", "pos", "flags", "ids", "keys")}
         known: list[tuple] = []
@@ -215,18 +215,47 @@ def _resolved(decide: Callable) -> Callable:
             hits = decide(joined["low"], joined["high"], joined["ids"][doc], doc, joined["flags"])
             doc, pos = doc[hits], pos[hits]
         doc, pos = np.concatenate([doc, *[k[0] for k in known]]), np.concatenate([pos, *[k[1] for k in known]])
-        order = np.lexsort((pos, doc))
-        doc, pos = doc[order], pos[order].astype("<u4")
-        starts = _runs(doc) if len(doc) else np.zeros(0, np.int64)
-        offsets = (np.append(starts, len(doc)) * 4).astype(np.int32)
-        places = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(pos.tobytes())])
-        return pa.table({
-            "doc_id": pa.array(joined["ids"][doc[starts]], pa.int64()), "key": pa.array(joined["keys"][doc[starts]], pa.int64()), "pos": places})
+        rows = []
+        if len(doc):
+            ids, keys = joined["ids"], joined["keys"]
+            group_of = (mix64(ids.view(np.uint64)) % np.uint64(groups)).astype(np.int32)[doc]
+            order = np.lexsort((pos, doc, group_of))
+            doc, pos, group_of = doc[order], pos[order], group_of[order]
+            starts = _runs(group_of)
+            for a, b in zip(starts, np.append(starts[1:], len(doc))):
+                there, number = np.unique(doc[a:b], return_inverse=True)
+                rows.append((int(group_of[a]), ids[there].tobytes(), keys[there].tobytes(), _planes(number, 4), _planes(pos[a:b], 4)))
+        types = [pa.int32()] + [pa.binary()] * 4
+        return pa.table({name: pa.array([r[k] for r in rows], types[k]) for k, name in enumerate(("grp", "ids", "keys", "doc", "pos"))})
     return resolve
 
 
-def _per_document(hits: DataFrame, name: str) -> DataFrame:
-    return stored(hits.groupBy("doc_id", "key").agg(F.collect_list("pos").alias("places")), name)
+def _merged(group: pa.Table) -> pa.Table:
+    """For a group of documents a row each, with all its places in order."""
+    ids, keys, docs, places, base = [], [], [], [], 0
+    for row in group.to_pylist():
+        ids.append(np.frombuffer(row["ids"], np.int64))
+        keys.append(np.frombuffer(row["keys"], np.int64))
+        docs.append(_values(row["doc"], 4).astype(np.int64) + base)
+        places.append(_values(row["pos"], 4))
+        base += len(ids[-1])
+    ids, keys, doc, pos = (np.concatenate(x) for x in (ids, keys, docs, places))
+    order = np.lexsort((keys, ids))
+    starts = _runs(ids[order], keys[order])
+    number = np.empty(len(ids), np.int64)
+    number[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(ids))))
+    ids, keys = ids[order[starts]], keys[order[starts]]
+    doc = number[doc]
+    order = np.lexsort((pos, doc))
+    pos = pos[order].astype("<u4")
+    offsets = np.searchsorted(doc[order], np.arange(len(ids) + 1)).astype(np.int32) * 4
+    blobs = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(pos.tobytes())])
+    return pa.table({"doc_id": pa.array(ids, pa.int64()), "key": pa.array(keys, pa.int64()), "places": blobs})
+
+
+def _per_document(sent: DataFrame, decide: Callable, groups: int, name: str) -> DataFrame:
+    found = sent.groupBy("bucket").applyInArrow(_resolved(decide, groups), _FOUND)
+    return stored(found.groupBy("grp").applyInArrow(_merged, _PLACES), name)
 
 
 def _kept(window: int) -> Callable:
@@ -236,9 +265,9 @@ def _kept(window: int) -> Callable:
             totals, removed, texts, spans = [], [], [], []
             for text, places in zip(batch.column(1), batch.column(2)):
                 words = (text.as_py() or b"").split()
-                blobs = places.as_py()
-                if blobs:
-                    at = np.frombuffer(b"".join(blobs), "<u4").astype(np.int64)
+                blob = places.as_py()
+                if blob:
+                    at = np.frombuffer(blob, "<u4").astype(np.int64)
                     cover = np.zeros(len(words) + 1, np.int64)
                     np.add.at(cover, at, 1)
                     np.add.at(cover, at + window, -1)
@@ -271,7 +300,8 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wi
 
     Candidates are found by 64-bit hashes, which may give a few too many; windows are compared by
     104 bits or more of two hashes. The index and the probes are split into buckets by hash, as many as
-    the size of the texts asks for; a very common passage reaches its bucket once per task.
+    the size of the texts asks for; a very common passage reaches its bucket once per unit of
+    ``UNIT_BYTES``, and answers go back by group of documents.
     """
     block = (window + 1) // 2
     rows = docs.select(
@@ -282,9 +312,9 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wi
     buckets = max(1, -(-size // BUCKET_BYTES))
 
     probes = named.mapInArrow(_probes(block, buckets), _SHIPPED)
-    anchors = _per_document(probes.groupBy("bucket").applyInArrow(_resolved(_anchors), _HITS), "anchors")
+    anchors = _per_document(probes, _anchors, buckets, "anchors")
     windows = named.join(anchors, ["doc_id", "key"]).select("doc_id", "key", "text", "places").mapInArrow(
         _windows(block, window, buckets), _SHIPPED)
-    repeats = _per_document(windows.groupBy("bucket").applyInArrow(_resolved(_repeats), _HITS), "repeats")
+    repeats = _per_document(windows, _repeats, buckets, "repeats")
     return rows.join(repeats, ["doc_id", "key"], "left").select("doc_id", "text", "places").mapInArrow(
         _kept(window), "doc_id long, n_words long, n_removed long, text string, removed array<struct<start: long, end: long>>")
