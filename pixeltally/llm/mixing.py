@@ -22,7 +22,7 @@ CYCLE = (3, 1, 2)
 SHARE = 1.5
 PASSES = 2
 BLOCK_WORDS = 16
-SHARD_WORDS = 4_000_000
+SHARD_WORDS = 250_000
 MOST_SHARDS = 100_000
 
 
