@@ -179,16 +179,17 @@ def _sizes_fit(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
 
 
-_BLOCKED = "band long, number int, low int, high int, block int, node long, label long, n_shingles long, marks binary"
+_BLOCKED = "band long, number int, low int, high int, block int, node long, label long, n_shingles long, marks binary, keys array<long>"
 
 
-def _candidates(group: pa.Table, percent: int, rows: int) -> Iterator[tuple[int, np.ndarray]]:
+def _candidates(group: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """Of two blocks of a bucket, for each member of one those of the other that are in
     another component and that sizes and signatures don't rule out. A pair that shares
-    several bands is a candidate in the first of them only."""
+    several bands is a candidate in the first of them only, by the keys that make the buckets."""
     low, high, number = (group[name][0].as_py() for name in ("low", "high", "number"))
     block, node, label, size = (group[name].to_numpy() for name in ("block", "node", "label", "n_shingles"))
     marks = np.frombuffer(b"".join(group["marks"].to_pylist()), np.uint8).reshape(len(node), -1)
+    keys = group["keys"].combine_chunks().flatten().to_numpy().reshape(len(node), -1)
     a, b = np.flatnonzero(block == low), np.flatnonzero(block == high)
     for i in a.tolist():
         other = b[(label[b] != label[i]) & _sizes_fit(size[b], size[i], percent)]
@@ -196,24 +197,23 @@ def _candidates(group: pa.Table, percent: int, rows: int) -> Iterator[tuple[int,
             other = other[node[other] > node[i]]
         if len(other):
             other = other[_alike(marks[other], marks[i], percent)]
-            same = (marks[other] == marks[i]).reshape(len(other), marks.shape[1] // rows, rows).all(axis=2)
-            other = other[same.argmax(axis=1) == number]
+            other = other[(keys[other] == keys[i]).argmax(axis=1) == number]
         if len(other):
             yield i, other
 
 
-def _with_partner(percent: int, rows: int):
+def _with_partner(percent: int):
     """The members that are in any candidate pair; the pairs themselves go nowhere."""
     def keep(group: pa.Table) -> pa.Table:
         wanted = np.zeros(group.num_rows, bool)
-        for i, other in _candidates(group, percent, rows):
+        for i, other in _candidates(group, percent):
             wanted[i] = True
             wanted[other] = True
         return group.filter(pa.array(wanted))
     return keep
 
 
-def _links_between(percent: int, rows: int):
+def _links_between(percent: int):
     """Links between components, confirmed on the full sets where they meet; one that connects
     nothing new is left out."""
     def confirm(group: pa.Table) -> pa.Table:
@@ -231,7 +231,7 @@ def _links_between(percent: int, rows: int):
             return x
 
         found = []
-        for i, others in _candidates(group, percent, rows):
+        for i, others in _candidates(group, percent):
             own = flat[bounds[i]:bounds[i + 1]]
             held[own] = True
             for j in others.tolist():
@@ -288,16 +288,16 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
         "band", "number", "node", "members", F.coalesce("component", "node").alias("label"))
     mixed = stored(
         labelled.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a < b").select("band"), "mixed")
-    split = labelled.join(mixed, "band").join(about, "node").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    split = labelled.join(mixed, "band").join(nodes.select("node", "n_shingles", "marks", F.col("bands").alias("keys")), "node").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     split = split.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     split = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     split = split.select("band", "number", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                         "block", "node", "label", "n_shingles", "marks")
+                         "block", "node", "label", "n_shingles", "marks", "keys")
     pair = ["band", "low", "high"]
-    rest = stored(split.groupBy(*pair).applyInArrow(_with_partner(percent, rows), _BLOCKED), "rest")
+    rest = stored(split.groupBy(*pair).applyInArrow(_with_partner(percent), _BLOCKED), "rest")
     if not rest.isEmpty():
         sets = _sets_of(named, rest.select("node"), "rest", shingle).withColumnRenamed("doc_id", "node")
-        more = rest.join(sets, "node").groupBy(*pair).applyInArrow(_links_between(percent, rows), "u long, v long")
+        more = rest.join(sets, "node").groupBy(*pair).applyInArrow(_links_between(percent), "u long, v long")
         links = links.unionByName(stored(more, "rest-links"))
         labels = stored(components(links), "labels")
 

@@ -3,6 +3,8 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from pixeltally.llm import (
@@ -171,6 +173,24 @@ def test_near_families(spark, monkeypatch, size, percent, block):
     assert found == brute_near(rows, size, percent)
 
 
+def test_near_pair_meets_where_only_low_bytes_agree_before():
+    # Three bands: the first agrees in the low bytes alone, the second and third are shared.
+    signature = np.arange(2 * 15, dtype=np.uint32).reshape(2, 15) % 15 + 1
+    signature[1, :5] += np.uint32(256)
+    keys = minhash.band_keys(signature, 5).view(np.int64)
+    assert (keys[0] == keys[1]).tolist() == [False, True, True]
+
+    def links(number):
+        group = pa.table({
+            "band": [keys[0][number].item()] * 2, "number": [number] * 2, "low": [0, 0], "high": [0, 0], "block": [0, 0], "node": [5, 6],
+            "label": [5, 6], "n_shingles": [20, 19], "marks": [s.astype(np.uint8).tobytes() for s in signature], "keys": keys.tolist(),
+            "shingles": [np.arange(n, dtype=np.uint64).tobytes() for n in (20, 19)]})
+        return minhash._links_between(85)(group).to_pylist()
+
+    assert links(1) == [{"u": 5, "v": 6}]
+    assert links(2) == []
+
+
 def test_components(spark):
     dice = random.Random(3)
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + k) for k in range(30)] + [(dice.randrange(200, 300), dice.randrange(200, 300)) for _ in range(60)]
