@@ -2,8 +2,8 @@
 
 Each block of text has a path of block tags from the root. Per path the text length and the
 punctuation for each block are aggregated, smoothed over the page's blocks in order, fused,
-and compared with a threshold. What is over it lies in the article's container, and all
-blocks of that container are the article, but for parts that say they are something else.
+and compared with a threshold. What is over it lies in the article's containers, and all blocks
+of those are the article, but for parts that say they are something else and leave an article.
 """
 
 from __future__ import annotations
@@ -51,8 +51,9 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？]")
 class Element:
     tag: str
     label: str       # the tag with its class, as it stands in the path
-    other: bool      # says that it is not part of an article
+    other: bool      # is no part of an article, by its tag or because it is hidden
     article: bool    # says that it is an article
+    names: frozenset[str] = frozenset()  # words in its names that other parts have
 
 
 @dataclass
@@ -68,10 +69,11 @@ def element(tag: str, attributes: str) -> Element:
         value = "".join(values)
         names += [(kind.lower(), part.lower()) for part in _PART.findall(value)]
         article = article or value.lower().replace("-", "") in ARTICLE_PARTS
-    other = tag in BOILERPLATE or any(part in OTHER_PARTS for _, part in names) or bool(_HIDDEN.search(attributes))
+    other = tag in BOILERPLATE or bool(_HIDDEN.search(attributes))
     other = other and tag not in ("html", "body")
     classes = ".".join(part for kind, part in names if kind == "class")
-    return Element(tag, f"{tag}.{classes}" if classes else tag, other, article and not other)
+    return Element(tag, f"{tag}.{classes}" if classes else tag, other, article and not other,
+                   frozenset(part for _, part in names if part in OTHER_PARTS))
 
 
 def blocks(page: str) -> list[Block]:
@@ -119,12 +121,20 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
+def _own_header(path: tuple[Element, ...], at: int) -> bool:
+    """Whether a block is a heading in the header of an article. It is part of the article."""
+    header = path[at].tag == "header" or path[at].names == {"header"}
+    return header and path[-1].tag in HEADINGS and any(a.article for a in path[:at])
+
+
 def _other(path: tuple[Element, ...]) -> bool:
-    """Whether a block is in a part that is not the article. The headings of an article's own header are."""
-    for at, e in enumerate(path):
-        if e.other and not (e.tag == "header" and path[-1].tag in HEADINGS and any(a.article for a in path[:at])):
-            return True
-    return False
+    """Whether a block is in a part that is not the article, by tags and what is hidden."""
+    return any(e.other and not _own_header(path, at) for at, e in enumerate(path))
+
+
+def _named(path: tuple[Element, ...]) -> set[tuple[str, frozenset[str]]]:
+    """The tags and names on a path that say that a block is in another part."""
+    return {(e.tag, e.names) for at, e in enumerate(path) if e.names and not _own_header(path, at)}
 
 
 def _labels(path: Sequence[Element]) -> tuple[str, ...]:
@@ -151,9 +161,40 @@ def path_scores(page: list[Block], radius: int = 1) -> np.ndarray:
     return np.sqrt(ratios * smooth).prod(axis=1)
 
 
+def _without_named(page: list[Block], share: float) -> list[Block]:
+    """The blocks that are in no part with another part's name, where such parts leave the article.
+
+    They do if what stays has a path over the threshold and a tenth of the text or more, or if an
+    article stays that the best block left out is not in. Else the names on the best block's path
+    are those of wrappers and say nothing on this page. On a page that marks articles only blocks
+    in them count.
+    """
+    if not page:
+        return page
+    scores = path_scores(page)
+    marks = [next((e for e in reversed(block.path) if e.article), None) for block in page]
+    names = [_named(block.path) for block in page]
+    counted = [at for at in range(len(page)) if marks[at] or not any(marks)]
+    threshold = share * scores[counted].mean()
+    everything = sum(len(page[at].text) for at in counted)
+    wrappers: set = set()
+    while True:
+        stays = [found <= wrappers for found in names]
+        rest = [at for at in counted if stays[at] and page[at].path[-1:] and page[at].path[-1].tag not in HEADINGS]
+        out = [at for at in counted if not stays[at]]
+        if not out:
+            break
+        best = max(out, key=scores.__getitem__)
+        apart = any(marks[at] and all(e is not marks[at] for e in page[best].path) for at in rest)
+        if apart or any(scores[at] >= threshold for at in rest) and 10 * sum(len(page[at].text) for at in rest) >= everything:
+            break
+        wrappers |= names[best]
+    return [block for block, held in zip(page, stays) if held]
+
+
 def article(page: list[Block], share: float = 0.5) -> list[str]:
     """The texts of the article's blocks, in order."""
-    page = [block for block in page if not _other(block.path)]
+    page = _without_named([block for block in page if not _other(block.path)], share)
     if not page:
         return []  # menus and the like only
     scores = path_scores(page)

@@ -329,6 +329,22 @@ def test_html_of_an_article_among_other_parts():
     assert html_extract.main_text(page) == "Title\n\nShort.\n\nOne more, a bit longer, block.\n\ncode here"
 
 
+TITLE_AND_TEXT = "<h1>Title</h1><p>A first sentence, with commas, of some length.</p><p>Short.</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f'<main class="with-sidebar">{TITLE_AND_TEXT}</main>',
+    f'<div class="content has-sidebar"><article>{TITLE_AND_TEXT}</article></div>',
+    f'<article class="post related-topic">{TITLE_AND_TEXT}</article>',
+    f'<main><p>On 5 May.</p><div class="widget">{TITLE_AND_TEXT * 4}</div></main>',
+    f'<div class="elementor-widget-container">{TITLE_AND_TEXT}</div>',
+    f'<div class="content has-sidebar"><article>{TITLE_AND_TEXT}</article><div class="sidebar"><p>Side, of some length.</p></div></div>'])
+def test_html_names_of_wrappers_exclude_nothing(page):
+    text = html_extract.main_text(f"<body><nav><a href=/>Home</a></nav>{page}<footer>End.</footer></body>")
+    assert "Title\n\nA first sentence, with commas, of some length.\n\nShort." in text
+    assert not any(word in text for word in ("Home", "Side", "End"))
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "<script>", "</p></p>", "<nav>x</nav>", "<p a='>", "<br/><br>"])
 def test_html_of_broken_pages(page):
     assert "\n\n\n" not in html_extract.main_text(page)
