@@ -13,6 +13,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -208,14 +209,16 @@ def article(page: list[Block], share: float = 0.5) -> list[str]:
         anchors.append((bool(inner), anchor))
         if score >= threshold:
             containers[bool(inner), anchor] += score * len(block.text)
-    marked = [key for key in containers if key[0]] or list(containers)
-    best = max(marked, key=containers.__getitem__)
-    if best[0]:
-        return [block.text for block, anchor in zip(page, anchors) if anchor == best]
-    # Without a marked article: the whole of the best container, and other paths over the threshold beside it.
-    inside = [_labels(block.path)[:len(best[1])] == best[1] for block in page]
-    return [block.text for block, held, score, anchor in zip(page, inside, scores, anchors)
-            if held or score >= threshold and containers[anchor] >= 0.1 * containers[best]]
+    marked = {anchor for own, anchor in containers if own}
+    if marked:
+        # All marked articles over the threshold, and those beside them.
+        beside = {anchor[:-1] for anchor in marked}
+        return [block.text for block, (own, anchor) in zip(page, anchors) if own and anchor[:-1] in beside]
+    # Without a marked article: the whole of what encloses the containers, but for light ones.
+    least = 0.1 * max(containers.values())
+    heavy = [anchor for (_, anchor), weight in containers.items() if weight >= least]
+    inside = tuple(labels[0] for labels in takewhile(lambda labels: len(set(labels)) == 1, zip(*heavy)))
+    return [block.text for block in page if _labels(block.path)[:len(inside)] == inside]
 
 
 def main_text(page: str | None) -> str:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -345,6 +346,15 @@ def test_html_names_of_wrappers_exclude_nothing(page):
     assert not any(word in text for word in ("Home", "Side", "End"))
 
 
+@pytest.mark.parametrize("tag", ["article", "div", "section"])
+def test_html_of_an_article_in_several_sections(tag):
+    parts = ["<p>One sentence, with commas, of some length, and more.</p>" * n + f"<h2>Heading {n}</h2><p>Short.</p>" for n in (1, 4, 0)]
+    page = "".join(f'<{tag} class="part-{"abc"[n]}">{part}</{tag}>' for n, part in enumerate(parts))
+    expected = "\n\n".join(re.sub(r"<[^>]+>", "\n", page).strip().split("\n"))
+    expected = "\n\n".join(line for line in expected.split("\n") if line)
+    assert html_extract.main_text(f"<body><nav>Menu</nav><div>{page}</div></body>") == expected
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "<script>", "</p></p>", "<nav>x</nav>", "<p a='>", "<br/><br>"])
 def test_html_of_broken_pages(page):
     assert "\n\n\n" not in html_extract.main_text(page)
