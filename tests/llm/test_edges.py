@@ -384,6 +384,15 @@ def test_mixing_of_odd_rows(odd):
         assert {r["source_size"] for r in own} == {sum(r["size"] for r in own)}
 
 
+def test_lines_around_the_ratio_on_several_hosts(spark):
+    planted = {"a": (500, 43), "b": (500, 66), "c": (40, 4), "d": (160, 11), "e": (160, 10), "f": (500, 24), "g": (3, 3), "h": (4, 4), "i": (2, 2)}
+    rows = [(len(planted) * i + at, ("menu\n" if i < n else "") + f"own {host} {i}", host)
+            for at, (host, (pages, n)) in enumerate(planted.items()) for i in range(pages)]
+    found = line_dedup.drop_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    removed = {host: sum(r["n_removed"] for r in found if r["host"] == host) for host in planted}
+    assert removed == {"a": 43, "b": 66, "c": 4, "d": 11, "e": 0, "f": 0, "g": 3, "h": 4, "i": 0}
+
+
 def test_lines_of_odd_rows(spark):
     rows = [(i, f"menu\nmenu\n\nown {i}\n " if i else None, "h") for i in range(10)] + [(20, "menu", "small"), (21, "menu", None)]
     found = {r["doc_id"]: r for r in line_dedup.drop_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
