@@ -104,9 +104,14 @@ class Scanner:
         for notice, spans in self.candidates(text).items():
             label = self.notices[notice][0]
             for low, high in spans:
-                for match in self.patterns[notice].finditer(text, low, high):
-                    edits = sum(match.fuzzy_counts)
-                    found.append((label, match.start(), match.end(), edits, 1 - edits / len(notice)))
+                parts = [(low, high)]
+                while parts:
+                    # The best match of a stretch is found first; others stand before and after it.
+                    start, end = parts.pop()
+                    if match := self.patterns[notice].search(text, start, end):
+                        edits = sum(match.fuzzy_counts)
+                        found.append((label, match.start(), match.end(), edits, 1 - edits / len(notice)))
+                        parts += [(start, match.start()), (match.end(), end)]
         return sorted(found, key=lambda f: f[1:3])
 
 

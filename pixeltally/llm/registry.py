@@ -33,7 +33,7 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
+    return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

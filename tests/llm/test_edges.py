@@ -220,6 +220,13 @@ def test_license_with_edits(spark):
     assert rows[6]["n_base"] == 0
 
 
+def test_license_spans_of_close_notices():
+    text = "gnu generel public license and gnu general public license or gnu generol public license"
+    spans = license_scan.scan_text(text, license_scan.BASE, license_scan.Scanner(license_scan.NOTICES))[-1]
+    assert [(s["label"], s["edits"]) for s in spans] == [("gpl", 1), ("gpl", 0), ("gpl", 1)]
+    assert [f" {text} "[s["start"]:s["end"]] for s in spans] == re.split(" and | or ", text)
+
+
 def test_language_without_letters(odd):
     rows = OPERATORS["language"](odd).collect()
     for row in rows:
