@@ -43,7 +43,17 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles and a similarity of 0.8 or more the smallest id stays."""
+    """Of rows linked by five-word shingles and a similarity of 0.8 or more one of the smallest id stays.
+
+    Rows that repeat an id or have none are told apart by a number of their own.
+    """
+    if not docs.groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1 OR doc_id IS NULL").isEmpty():
+        numbered = stored(_with_row(docs).select(F.monotonically_increasing_id().alias("place"), ROW), "numbered")
+        rows = numbered.select("place", F.col(ROW)["doc_id"].alias("its_id"), F.col(ROW)["text"].alias("text"))
+        groups = minhash.near_groups(rows, doc_id="place").select(F.col("doc_id").alias("place"), "component_id")
+        order = F.struct(F.col("its_id").isNull(), "its_id", F.md5(F.col("text").cast("binary")), "place")
+        least = rows.join(groups, "place").groupBy("component_id").agg(F.min(order).alias("least"))
+        return _documents(numbered.join(stored(least.select("least.place"), "least"), "place", "left_semi"), docs)
     dropped = stored(minhash.near_groups(docs).filter("NOT kept").select("doc_id").distinct(), "near-duplicates")
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
 

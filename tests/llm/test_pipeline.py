@@ -52,6 +52,16 @@ def test_near_stage(steps):
     assert sorted(r["doc_id"] for r in steps[3]) == sorted(i for i, (_, least) in groups.items() if i == least)
 
 
+def test_near_stage_keeps_a_row_of_each_group(spark):
+    copy, unique, third = (" ".join(f"{name}{k}" for k in range(40)) for name in ("copy", "unique", "third"))
+    rows = [(1, copy), (2, copy + " more"), (2, unique), (3, third), (3, third), (None, third), (None, "alone " + unique[:60]),
+            (None, "alone " + unique[:60]), (None, None), (4, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR).collect()
+    assert Counter(map(tuple, found)) == Counter(
+        [(1, copy), (2, unique), (3, third), (None, "alone " + unique[:60]), (None, None), (4, None), (4, "")])
+
+
 def test_mixing_stage(steps):
     sizes = defaultdict(int)
     for r in steps[3]:
