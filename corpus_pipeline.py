@@ -7,6 +7,7 @@ operators that they call do.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +31,13 @@ def _documents(rows: DataFrame, docs: DataFrame, text: str | None = None) -> Dat
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter or of ambiguous language go; the others stay as they are."""
+    """Documents without a letter or of ambiguous language go; the others stay as they are.
+
+    Where no row has a language to learn from, no text is ambiguous.
+    """
     model = language_id.fit(docs.filter(~language_id.held_out()))
+    if not model.languages:
+        model = language_id.Model(["any"], np.ones((1, 1)), np.zeros((language_id.FEATURES, 1)), np.zeros(1), np.ones(1))
     found = language_id.predict(_with_row(docs), model, carry=[ROW])
     return _documents(found.filter((F.col("lang_pred") != language_id.UNKNOWN) & ~F.col("ambiguous")), docs)
 

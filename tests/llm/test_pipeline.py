@@ -34,6 +34,12 @@ def test_language_stage_keeps_what_has_words(steps):
     assert all(any(c.isalpha() for c in r["text"]) for r in steps[1])
 
 
+def test_language_stage_without_labels(spark):
+    rows = [(1, "some words", None), (2, "12 !?", None), (3, None, None), (4, "ein Text", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs, SF_DIR).collect()) == [1, 4]
+
+
 def test_line_stage(steps):
     pages, lines = Counter(r["source"] for r in steps[1]), Counter()
     for r in steps[1]:
