@@ -1,15 +1,50 @@
-"""Ranks within a few large groups."""
+"""Ranks within a few large groups, and row numbers over a whole table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pixeltally.sources.files import stored
+
 # Width of a band of values. Sales have 4 decimal places, so a band holds at most
 # BAND * 10,000 different values, however many rows there are.
 BAND = 10.0
 
 
+# monotonically_increasing_id gives the partition above these bits, and the row in it below.
+_ROW_BITS = 33
+
+
+def _in_ranges(rows: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """``rows`` sorted and stored, with ``_part``, the number of the range, and ``_row``, the place in it.
+
+    The ranges are sampled, so they hold about as many rows each however the values are spread.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = stored(ranges.withColumn("_place", F.monotonically_increasing_id()), "ranges")
+    return placed.select(
+        *rows.columns, F.shiftright("_place", _ROW_BITS).alias("_part"),
+        F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("_row"))
+
+
+def number_in_order(rows: DataFrame, order: Sequence[Column], number: str) -> DataFrame:
+    """Rows numbered from 1 in a global order, which no task sees whole.
+
+    ``rows`` are read twice, to sample and to sort, so they should be a stored table. The number of
+    a row is its place in its range and the sizes of the ranges before: one row per range.
+    """
+    placed = _in_ranges(rows, order)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")))
+    return placed.join(starts, "_part").select(*rows.columns, (F.col("_start") + F.col("_row") + 1).alias(number))
+
+
 def _value_counts(rows: DataFrame, group: str, value: str) -> DataFrame:
     return rows.groupBy(group, value).agg(F.count(F.lit(1)).alias("_count"))
 
