@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixeltally.llm import (
-    exact_dedup, fingerprint, html_extract, language_id, license_scan, line_dedup, minhash, mixing, packing, substring_dedup)
+    exact_dedup, fingerprint, html_extract, language_id, license_scan, line_dedup, minhash, mixing, packing, resampling,
+    substring_dedup)
 from pixeltally.llm.common import lower_ascii, sha256_text
 
 # Where the vocabularies of public tokenizers lie, on every worker.
@@ -74,6 +75,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"))
 
 
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark's texts are the target."""
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -85,6 +92,7 @@ QUERIES = {
     "op8_html_extract": op8_html_extract,
     "op9_mixing": op9_mixing,
     "op10_line_dedup": op10_line_dedup,
+    "op13_resampling": op13_resampling,
 }
 
 ORACLES = {
@@ -139,4 +147,40 @@ ORACLES = {
         SELECT doc_id, host, coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(len(lines) - len(kept), 0)::BIGINT AS n_removed,
             array_to_string(kept, chr(10)) AS text
         FROM k""",
+    # CRC-32 by its table of 256, over the bytes of each different feature.
+    "op13_resampling": f"""
+        WITH RECURSIVE bits AS (
+            SELECT range AS i, range AS c, 0 AS k FROM range(256)
+            UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+        crc AS (SELECT list(c ORDER BY i) AS tab FROM bits WHERE k = 8),
+        texts AS (SELECT doc_id, text, true AS own FROM documents UNION ALL SELECT item_id, text, false FROM benchmark),
+        w AS (SELECT doc_id, own, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM texts),
+        f AS (
+            SELECT doc_id, own, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM w),
+        different AS (SELECT f, hex(encode(f)) AS h FROM f GROUP BY f),
+        bucket AS (
+            SELECT f, xor(4294967295, list_reduce(
+                [4294967295::BIGINT] || list_transform(range(0, len(h) // 2), lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::BIGINT),
+                lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]::BIGINT))) % {resampling.BUCKETS} AS b
+            FROM different, crc),
+        counted AS (SELECT b, count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t FROM f JOIN bucket USING (f) GROUP BY b),
+        total AS (SELECT coalesce(sum(s), 0)::DOUBLE AS all_s, coalesce(sum(t), 0)::DOUBLE AS all_t FROM counted),
+        gain AS (
+            SELECT b, floor(1000 * ln(((t + 1)::DOUBLE * (all_s + {resampling.BUCKETS}.0)) / ((s + 1)::DOUBLE * (all_t + {resampling.BUCKETS}.0))))::BIGINT AS g
+            FROM counted, total),
+        weighed AS (
+            SELECT doc_id, count(*) AS n, sum(g)::BIGINT AS g FROM f JOIN bucket USING (f) JOIN gain USING (b) WHERE own GROUP BY doc_id),
+        scored AS (
+            SELECT doc_id, len(w) AS words, coalesce(n, 0) AS n_features,
+                coalesce((g - ((g % n) + n) % n) // n, 0)::BIGINT AS weight,
+                floor(-1000 * ln(-ln((('0x' || sha256('{resampling.SEED}:' || doc_id)[1:8])::BIGINT + 0.5) / 4294967296.0)))::BIGINT AS noise
+            FROM w LEFT JOIN weighed USING (doc_id) WHERE own),
+        ranked AS (
+            SELECT doc_id, row_number() OVER (ORDER BY weight + noise DESC, doc_id) AS rank, count(*) OVER () AS n
+            FROM scored WHERE words >= {resampling.LEAST_WORDS})
+        SELECT doc_id, n_features::BIGINT AS n_features, weight, (weight + noise)::BIGINT AS score,
+            CASE WHEN rank <= {resampling.PERCENT} * n // 100 THEN rank END AS rank
+        FROM scored LEFT JOIN ranked USING (doc_id)""",
 }
