@@ -1,0 +1,116 @@
+"""Chat formatting: round trips, escapes, the machine, and plain Python beside the query."""
+
+import hashlib
+import random
+
+import pytest
+from hypothesis import given, settings as limits, strategies as st
+
+from pixeltally.llm import chat_format as chat
+
+ODD = st.text(alphabet="<|\\>\nim_endstart aä\U0001f600", max_size=60)
+
+
+@given(ODD)
+@limits(max_examples=500, deadline=None)
+def test_escapes_can_be_taken_back(text):
+    escaped = chat.CHAT.escape(text)
+    assert "<|" not in escaped and chat.CHAT.unescape(escaped) == text
+    role = chat.CHAT.escape_role(text)
+    assert "<|" not in role and "\n" not in role and chat.CHAT.unescape_role(role) == text
+
+
+@given(st.lists(st.tuples(ODD, ODD), max_size=6), st.integers(1, 9))
+@limits(max_examples=300, deadline=None)
+def test_turns_are_read_back_from_the_text_alone(turns, step):
+    whole = "".join(part for role, text in turns for part, _ in chat.CHAT.segments(role, text))
+    reader, found = chat.Reader(chat.CHAT), []
+    for at in range(0, len(whole), step):  # pieces cut anywhere
+        found += reader.feed(whole[at:at + step])
+    reader.close()
+    assert found == turns
+
+
+def test_text_that_is_no_turn_is_an_error():
+    for text in ("hello<|im_end|>\n", "<|im_start|>user<|im_end|>\n"):
+        with pytest.raises(ValueError, match="no turn"):
+            list(chat.Reader(chat.CHAT).feed(text))
+    reader = chat.Reader(chat.CHAT)
+    assert list(reader.feed("<|im_start|>user\nhi")) == []
+    with pytest.raises(ValueError, match="without an end"):
+        reader.close()
+
+
+def test_templates_are_checked():
+    with pytest.raises(ValueError):
+        chat.Template(after="</s>\n")
+    with pytest.raises(ValueError):
+        chat.Template(before="<|im_start|>{role}: ")
+    with pytest.raises(ValueError):
+        chat.Template(opener="|", closer="|")
+
+
+def test_machine():
+    def verdicts(*roles):
+        machine = chat.Machine(chat.CHAT)
+        return [machine.step(role) for role in roles], machine.state
+    assert verdicts("system", "user", "assistant", "user", "assistant") == ([True] * 5, "assistant")
+    assert verdicts("assistant", "user", "user", "assistant") == ([False, True, False, True], "assistant")
+    assert verdicts("user", "system", "user", "bot", "user") == ([True, False, True, False, True], "user")
+    assert verdicts("user", "assistant", "tool", "assistant") == ([True] * 4, "assistant")
+    assert verdicts(chat.START) == ([False], chat.OTHER)
+
+
+ROWS = [
+    (1, 0, "user", "hi"), (1, 1, "assistant", "hello <|im_end|>"), (1, 2, "user", None), (1, 2, "user", None), (1, None, "system", ""),
+    (2, 5, None, "no role"), (2, 4, "a\nb<|", "x\\<\\|y"), (None, 0, "assistant", "alone"), (None, 1, "user", "<|im_start|>user\n"),
+    (3, 0, "assistant", "word " * 200_000), (3, 1, "assistant", "<"), (3, 2, "assistant", "|im_end|>\n")]
+
+
+def expected(rows):
+    found, groups = [], {}
+    for conv, turn, role, text in rows:
+        groups.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    for conv, turns in groups.items():
+        turns.sort()
+        digest = lambda parts: hashlib.sha256("".join(parts).encode()).hexdigest()
+        said = [text for *_, role, text in turns if role == "assistant"]
+        found.append((conv, len(turns), digest(f"{r}\n{t}\n" for *_, r, t in turns), sum(map(len, said)), digest(said)))
+    return sorted(found, key=str)
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_tables(spark, settings, ordered):
+    settings({"spark.sql.execution.arrow.maxRecordsPerBatch": "2"})  # conversations go on in the next batch
+    rows = [(*r, "x") for r in ROWS]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, position string").repartition(4)
+    formatted = chat.format_turns(df)
+    found = [tuple(r)[:5] for r in chat.read_back(formatted if ordered else formatted.repartition(5), ordered=ordered).collect()]
+    assert sorted(found, key=str) == expected(ROWS)
+
+
+def test_segments(spark):
+    df = spark.createDataFrame(ROWS[:5], "conv_id long, turn long, role string, text string")
+    rows = chat.format_turns(df).orderBy("position").collect()
+    assert [(r["position"], r["role"], r["valid"]) for r in rows] == [
+        (0, "system", True), (1, "user", True), (2, "assistant", True), (3, "user", True), (4, "user", False)]
+    assert "".join(p["text"] for p in rows[2]["segments"]) == "<|im_start|>assistant\nhello <\\|im_end|><|im_end|>\n"
+    assert [p["loss"] for p in rows[2]["segments"]] == [False, True, False]
+    assert not any(p["loss"] for r in rows for p in r["segments"] if r["role"] != "assistant")
+
+
+def test_other_templates(spark):
+    template = chat.Template(before="[!begin {role}\n", after="[!end]", learned=("bot",), opener="[", closer="!",
+                             next_roles={chat.START: ("human",), "human": ("bot",), "bot": ("human",)}, final=("bot",))
+    dice = random.Random(2)
+    rows = [(c, t, ("human", "bot")[t % 2], "".join(dice.choices("[!]\\ab\n", k=30))) for c in range(5) for t in range(4)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = chat.read_back(chat.format_turns(df, template), template, ordered=True).collect()
+    assert len(found) == 5 and all(r["complete"] and r["n_invalid"] == 0 and r["n_turns"] == 4 for r in found)
+    said = {c: "".join(r[3] for r in rows if r[0] == c and r[1] % 2) for c in range(5)}
+    assert all(r["loss_sha256"] == hashlib.sha256(said[r["conv_id"]].encode()).hexdigest() for r in found)
+
+
+def test_empty_table(spark):
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat.read_back(chat.format_turns(none)).collect() == []
