@@ -126,17 +126,13 @@ def _facts(warehouse: Warehouse, clean: DataFrame) -> DataFrame:
     return build_fact_sales(clean, *dimensions)
 
 
-def load_facts(warehouse: Warehouse, clean: DataFrame) -> None:
-    """Replace the facts, so a second run of the same load changes nothing."""
-    warehouse.refresh(_facts(warehouse, clean), "fact_sales")
-
-
 def merge_facts(warehouse: Warehouse, clean: DataFrame) -> None:
     """Bring the facts of the source's games up to date; those of other games stay.
 
-    A fact is told by game and region. New ones are appended. Only where the source changes or
-    lacks a fact that one of its games has, the table is rewritten without it. Run again, it
-    finds nothing to do; after a failure it goes on with what is missing.
+    A fact is told by game and region. Where the source changes or lacks a fact that one of its games has,
+    the slices with such facts are written anew and then replaced; no other slice is. All other new facts are
+    appended. A failure leaves the former rows of each slice or its new ones, and the same merge goes on
+    with what is missing; run again after its end, it finds nothing to do.
     """
     key = ["game_id", "sale_id"]
     new = stored(_facts(warehouse, clean), "facts")
@@ -145,27 +141,32 @@ def merge_facts(warehouse: Warehouse, clean: DataFrame) -> None:
     same = reduce(lambda a, b: a & b, [F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")) for c in new.columns])
     outdated = stored(
         known.join(games_now, "game_id", "left_semi").alias("o").join(new.alias("n"), same, "left_anti").select(*key), "outdated")
-    current = known.join(outdated, key, "left_anti")
-    added = new.join(current, key, "left_anti")
-    if outdated.isEmpty():
-        warehouse.append(stored(added, "added"), "fact_sales")
-    else:
-        rows = current.unionByName(added.withColumn("ingested_at", F.current_timestamp()))
-        warehouse.refresh(stored(rows, "merged"), "fact_sales")
+    touched = warehouse.slices_with(outdated, "fact_sales")
+    if touched:
+        current = warehouse.read_slices("fact_sales", touched).join(outdated, key, "left_anti")
+        added = new.filter(warehouse.slice_of("fact_sales", "game_id").isin(touched)).join(current, key, "left_anti")
+        rows = current.unionByName(added.withColumn("ingested_at", F.current_timestamp()), allowMissingColumns=True)
+        warehouse.refresh(rows, "fact_sales", touched)
+    warehouse.append(stored(new.join(warehouse.table("fact_sales"), key, "left_anti"), "added"), "fact_sales")
 
 
 def load_warehouse(
     warehouse: Warehouse, sales: DataFrame, order: Sequence[str], formats: Sequence[str] = DATE_FORMATS,
 ) -> DataFrame:
-    """Full refresh: rebuild games, genres and facts from the sales; returns row counts per table."""
+    """Full refresh: rebuild games, genres and facts from the sales; returns row counts per table.
+
+    All three are written first and made current after that, so a load that fails leaves the former ones.
+    """
     require_settings(warehouse.spark)
     seed_tables(warehouse)
     with scratch_scope(warehouse.spark):
         clean = stored(clean_for_warehouse(sales, order, formats), "clean")
         extend_calendar(warehouse, clean)
-        warehouse.refresh(build_dim_game(clean), "dim_game")
-        warehouse.refresh(build_dim_genre(clean, genre_seed(warehouse.spark)), "dim_genre")
-        load_facts(warehouse, clean)
+        game = warehouse.stage(build_dim_game(clean), "dim_game")
+        genre = warehouse.stage(build_dim_genre(clean, genre_seed(warehouse.spark)), "dim_genre")
+        fixed = [warehouse.table(t) for t in ("dim_platform", "dim_region")]
+        facts = warehouse.stage(build_fact_sales(clean, game.rows, fixed[0], genre.rows, fixed[1]), "fact_sales")
+        warehouse.publish(game, genre, facts)
     return warehouse.counts(LOADED_TABLES)
 
 

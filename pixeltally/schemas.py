@@ -135,6 +135,11 @@ TABLES = {
         ingested_at TIMESTAMP DEFAULT current_timestamp()""",
 }
 
+# What the ledger of loads has.
+LEDGER = (
+    "load_id STRING NOT NULL, table_name STRING NOT NULL, state STRING NOT NULL, "
+    "recorded_at TIMESTAMP DEFAULT current_timestamp()")
+
 # The parts of a catalogue response that are read.
 _NAMED = T.ArrayType(T.StructType([T.StructField("name", T.StringType())]))
 CATALOG_RESPONSE = T.StructType([

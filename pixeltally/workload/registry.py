@@ -14,7 +14,7 @@ from pixeltally.plans import enrichment, staging, views, warehouse as loads
 from pixeltally.schemas import (
     CALENDAR_END, CALENDAR_START, GAME_COLUMNS, PLATFORM_TYPES, SALES_COLUMNS, TEXT_WIDTHS, platform_seed)
 from pixeltally.session import scratch_path
-from pixeltally.sources import files, lake
+from pixeltally.sources import files, lake, tables
 from pixeltally.workload.oracles import sql
 from pixeltally.workload.tables import (
     build_wide, new_warehouse, responses, star, star_warehouse, table, wide_sales,
@@ -462,6 +462,40 @@ def weekly_loads(spark, sf_dir):
         .select("title", "region_code", "platform_id", "release_year", "sales_millions", "global_sales"))
 
 
+# Games whose sales a later source corrects.
+_CORRECTED = "CAST(regexp_extract(title, '[(]([0-9]+)[)]$', 1) AS BIGINT) % 100 = 7"
+
+
+@query(f"""SELECT sale_id, game_id, platform_id, region_id, release_year, global_sales,
+      CASE WHEN {_CORRECTED} AND region_code = 'NA' THEN sales_millions + 1 ELSE sales_millions END AS sales_millions
+    FROM fact JOIN game USING (game_id) JOIN seed_region USING (region_id) WHERE NOT ({_CORRECTED} AND region_code = 'JP')""")
+def merge_changed_facts(spark, sf_dir):
+    """A full load, then a source of some games: one of their facts has changed, one has gone, the rest stay."""
+    root = scratch_path(spark, "corrections")
+    target, wide = new_warehouse(spark), wide_sales(spark, sf_dir)
+    loads.load_warehouse(target, wide, ORDER)
+    corrected = wide.filter(_CORRECTED).withColumns({"na_sales": F.col("na_sales") + 1, "jp_sales": F.lit(None).cast("double")})
+    files.write_parquet(corrected, f"{root}/corrected")
+    for _ in range(2):
+        loads.weekly_refresh(target, f"{root}/corrected", f"{root}/raw.csv", ORDER)
+    return facts(target.table("fact_sales")).drop("genre_id")
+
+
+@query("""SELECT game_id, title, CASE WHEN critic_score IS NULL THEN 'unscored' ELSE 'scored' END AS load_id FROM game""")
+def append_once(spark, sf_dir):
+    """Two loads with an id, each repeated; one of them was interrupted when a part of its rows was written."""
+    rows = star(spark, sf_dir)["dim_game"].select("game_id", "title", "critic_score")
+    target = new_warehouse(spark)
+    target.create_tables()
+    scored, unscored = rows.filter("critic_score IS NOT NULL"), rows.filter("critic_score IS NULL")
+    target.begin("scored", "dim_game")
+    target.append(scored.filter("game_id % 3 = 0").withColumn(tables.LOAD, F.lit("scored")), "dim_game")
+    for _ in range(2):
+        target.append(scored, "dim_game", load_id="scored")
+        target.append(unscored, "dim_game", load_id="unscored")
+    return spark.table(target.name("dim_game")).select("game_id", "title", tables.LOAD)
+
+
 @query("""SELECT 'dim_game' AS table_name, count(*) AS row_count FROM game
     UNION ALL SELECT 'dim_genre', count(*) FROM genre_dim
     UNION ALL SELECT 'dim_platform', count(*) FROM seed_platform
