@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Sequence
+from contextlib import nullcontext
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pixeltally.operators.joins import not_in
 from pixeltally.operators.keys import assign_ids
 from pixeltally.operators.quality import quality_checks
 from pixeltally.operators.reshape import melt_sales
+from pixeltally.plans import rollup
 from pixeltally.schemas import (
     CALENDAR_END, CALENDAR_START, NEW_GENRE_CATEGORY, SALES_REGIONS, genre_seed, platform_seed, region_seed,
 )
@@ -132,7 +134,8 @@ def merge_facts(warehouse: Warehouse, clean: DataFrame) -> None:
     A fact is told by game and region. Where the source changes or lacks a fact that one of its games has,
     the slices with such facts are written anew and then replaced; no other slice is. All other new facts are
     appended. A failure leaves the former rows of each slice or its new ones, and the same merge goes on
-    with what is missing; run again after its end, it finds nothing to do.
+    with what is missing; run again after its end, it finds nothing to do. The rollup, where the warehouse
+    keeps one, follows; if that was interrupted, the next merge builds it from all facts.
     """
     key = ["game_id", "sale_id"]
     new = stored(_facts(warehouse, clean), "facts")
@@ -140,14 +143,22 @@ def merge_facts(warehouse: Warehouse, clean: DataFrame) -> None:
     games_now = warehouse.table("dim_game").join(clean.select("title"), "title", "left_semi").select("game_id")
     same = reduce(lambda a, b: a & b, [F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")) for c in new.columns])
     outdated = stored(
-        known.join(games_now, "game_id", "left_semi").alias("o").join(new.alias("n"), same, "left_anti").select(*key), "outdated")
-    touched = warehouse.slices_with(outdated, "fact_sales")
-    if touched:
-        current = warehouse.read_slices("fact_sales", touched).join(outdated, key, "left_anti")
-        added = new.filter(warehouse.slice_of("fact_sales", "game_id").isin(touched)).join(current, key, "left_anti")
-        rows = current.unionByName(added.withColumn("ingested_at", F.current_timestamp()), allowMissingColumns=True)
-        warehouse.refresh(rows, "fact_sales", touched)
-    warehouse.append(stored(new.join(warehouse.table("fact_sales"), key, "left_anti"), "added"), "fact_sales")
+        known.join(games_now, "game_id", "left_semi").alias("o").join(new.alias("n"), same, "left_anti").select("o.*"), "outdated")
+    added = stored(new.join(known.join(outdated, key, "left_anti"), key, "left_anti"), "added")
+    keeps = rollup.keeps_rollup(warehouse)
+    current = keeps and rollup.is_current(warehouse)
+    with warehouse.noted(rollup.TABLE) if keeps else nullcontext():
+        touched = warehouse.slices_with(outdated, "fact_sales")
+        its_slice = warehouse.slice_of("fact_sales", "game_id")
+        if touched:
+            kept = warehouse.read_slices("fact_sales", touched).join(outdated, key, "left_anti")
+            there = added.filter(its_slice.isin(touched)).withColumn("ingested_at", F.current_timestamp())
+            warehouse.refresh(kept.unionByName(there, allowMissingColumns=True), "fact_sales", touched)
+        warehouse.append(added.filter(~its_slice.isin(touched)) if touched else added, "fact_sales")
+        if current:
+            rollup.update_rollup(warehouse, added, outdated)
+        elif keeps:
+            rollup.refresh_rollup(warehouse)
 
 
 def load_warehouse(
@@ -166,7 +177,10 @@ def load_warehouse(
         genre = warehouse.stage(build_dim_genre(clean, genre_seed(warehouse.spark)), "dim_genre")
         fixed = [warehouse.table(t) for t in ("dim_platform", "dim_region")]
         facts = warehouse.stage(build_fact_sales(clean, game.rows, fixed[0], genre.rows, fixed[1]), "fact_sales")
-        warehouse.publish(game, genre, facts)
+        with warehouse.noted(rollup.TABLE) if rollup.keeps_rollup(warehouse) else nullcontext():
+            warehouse.publish(game, genre, facts)
+            if rollup.keeps_rollup(warehouse):
+                rollup.refresh_rollup(warehouse)
     return warehouse.counts(LOADED_TABLES)
 
 

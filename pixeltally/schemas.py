@@ -140,6 +140,13 @@ LEDGER = (
     "load_id STRING NOT NULL, table_name STRING NOT NULL, state STRING NOT NULL, "
     "recorded_at TIMESTAMP DEFAULT current_timestamp()")
 
+# Tables that are derived from others, made where they are asked for.
+DERIVED = {
+    "sales_rollup": """
+        region_id BIGINT, platform_id BIGINT, genre_id BIGINT, release_year INT, known BOOLEAN, block BIGINT,
+        games BINARY, sales DOUBLE, n_sales BIGINT, most DOUBLE, scores DOUBLE, n_scores BIGINT""",
+}
+
 # The parts of a catalogue response that are read.
 _NAMED = T.ArrayType(T.StructType([T.StructField("name", T.StringType())]))
 CATALOG_RESPONSE = T.StructType([

@@ -10,13 +10,14 @@ writes and changes those alone.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixeltally.schemas import LEDGER, TABLES
+from pixeltally.schemas import DERIVED, LEDGER, TABLES
 from pixeltally.session import hadoop_path
 
 # The large tables are bucketed by the key that joins them and that views count
@@ -68,17 +69,17 @@ class Warehouse:
         """The table's rows. What was resolved before a replacement reads the former rows until the next one."""
         return self.spark.table(self.name(table)).drop(LOAD, SLICE)
 
-    def create_tables(self) -> None:
+    def create_tables(self, tables: Sequence[str] = tuple(TABLES)) -> None:
         """Create the tables that do not exist yet."""
         there = {t.name for t in self.spark.catalog.listTables(self.database) if not t.isTemporary}
-        for table in TABLES:
+        for table in tables:
             if table not in there:
                 self._create(self.name(table), table, f"{self.root}/{table}/{_new_name()}", self.buckets)
 
     def _create(self, name: str, table: str, place: str, buckets: int) -> None:
         key = BUCKETED_BY.get(table)
         sliced = table in SLICED
-        columns = f"{TABLES[table]}, {LOAD} STRING" + (f", {SLICE} INT" if sliced else "")
+        columns = f"{({**TABLES, **DERIVED})[table]}, {LOAD} STRING" + (f", {SLICE} INT" if sliced else "")
         layout = (f" PARTITIONED BY ({SLICE})" if sliced else "") + (f" CLUSTERED BY ({key}) INTO {buckets} BUCKETS" if key else "")
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{layout} LOCATION '{place}'")
 
@@ -217,6 +218,14 @@ class Warehouse:
         """Note that a load begins to write; ``append`` does so itself."""
         self._record(load_id, table, BEGUN)
 
+    @contextmanager
+    def noted(self, table: str) -> Iterator[None]:
+        """Note in the ledger that work on a table begins and, unless it fails, that it ended."""
+        work = uuid.uuid4().hex
+        self._record(work, table, BEGUN)
+        yield
+        self._record(work, table, DONE)
+
     def _withdraw(self, load_id: str, table: str) -> None:
         """Take out the rows of a load: only the slices that have any are rewritten."""
         rows = self.spark.table(self.name(table))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pixeltally.functions import catalog, cleaning as text
 from pixeltally.operators import cleaning, joins, quality, reports, reshape
-from pixeltally.plans import enrichment, staging, views, warehouse as loads
+from pixeltally.plans import enrichment, rollup, staging, views, warehouse as loads
 from pixeltally.schemas import (
     CALENDAR_END, CALENDAR_START, GAME_COLUMNS, PLATFORM_TYPES, SALES_COLUMNS, TEXT_WIDTHS, platform_seed)
 from pixeltally.session import scratch_path
@@ -115,6 +115,48 @@ def views_by_sql(spark, sf_dir):
         FROM vw_sales_continent_genre GROUP BY continent""")
 
 
+def _rollup(spark, sf_dir) -> DataFrame:
+    tables_of = star(spark, sf_dir)
+    return rollup.build(tables_of["fact_sales"], tables_of["dim_game"])
+
+
+@query("SELECT * FROM v_continent_genre")
+def rollup_continent_genre(spark, sf_dir):
+    """The view from bitmaps of games."""
+    return rollup.sales_continent_genre(_rollup(spark, sf_dir), star(spark, sf_dir))
+
+
+@query("SELECT * FROM v_platforms")
+def rollup_platforms(spark, sf_dir):
+    return rollup.top_platforms_by_region(_rollup(spark, sf_dir), star(spark, sf_dir))
+
+
+@query("SELECT * FROM v_yearly")
+def rollup_yearly(spark, sf_dir):
+    return rollup.yearly_global_sales(_rollup(spark, sf_dir))
+
+
+@query("""SELECT release_year, count(DISTINCT fact.game_id) AS nb_games_released, sum(amount) AS total_sales_m,
+      avg(amount) AS avg_sales_per_game_m, max(amount) AS max_sales_m
+    FROM (SELECT *, CASE WHEN row_ord // 5 % 3 = 1 AND region_code = 'NA' THEN sales_millions + 1 ELSE sales_millions END AS amount
+      FROM fact JOIN game USING (game_id) JOIN seed_region USING (region_id) JOIN (SELECT title, min(row_ord) AS row_ord FROM wide GROUP BY title) USING (title)
+      WHERE NOT (row_ord // 5 % 3 = 1 AND region_code = 'JP')) AS fact
+    WHERE release_year IS NOT NULL GROUP BY release_year""")
+def rollup_weekly(spark, sf_dir):
+    """A kept rollup after a first week, a week of new games, and a week that corrects some of them."""
+    root = scratch_path(spark, "rollup-weeks")
+    target, wide = new_warehouse(spark), wide_sales(spark, sf_dir)
+    part = F.expr("row_ord div 5 % 3")
+    corrected = {"na_sales": F.col("na_sales") + 1, "jp_sales": F.lit(None).cast("double")}
+    weeks = [wide.filter(part == 0), wide.filter(part > 0), wide.filter(part == 1).withColumns(corrected)]
+    for number, week in enumerate(weeks):
+        files.write_parquet(week, f"{root}/{number}")
+        loads.weekly_refresh(target, f"{root}/{number}", f"{root}/raw.csv", ORDER)
+        if number == 0:
+            rollup.refresh_rollup(target)
+    return rollup.yearly_global_sales(target.table(rollup.TABLE))
+
+
 # ---- cleaning ---------------------------------------------------------------
 
 
