@@ -13,8 +13,25 @@ from pixeltally.schemas import NA_TOKENS
 # Fixed value: what counts as number text.
 NUMBER_TEXT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)\s*$"
 
-# Forms of a date that are tried in turn: ISO days, alone or with a time.
-DATE_FORMATS = ("yyyy-M-d", "yyyy-M-d H:m[:s][.SSSSSS][XXX]", "yyyy-M-d'T'H:m[:s][.SSSSSS][XXX]")
+# ISO days, alone or with a time.
+ISO = "yyyy-M-d[ H:m[:s][.SSSSSS][XXX]]['T'H:m[:s][.SSSSSS][XXX]]"
+DATE_FORMATS = (ISO,)
+
+# Forms that a file may have its dates in, one per file, and what text of each looks like: text
+# of another shape is not parsed, since a parser that fails costs more than one that succeeds. Of forms
+# that read as many dates of a file the first counts, so months come before days.
+_MONTH, _DAY, _YEAR = r"(0?[1-9]|1[0-2])", r"(0?[1-9]|[12]\d|3[01])", r"\d{4}"
+DATE_SHAPES = {
+    ISO: rf"^{_YEAR}-\d{{1,2}}-\d{{1,2}}([ T]|$)",
+    "M/d/yyyy": rf"^{_MONTH}/{_DAY}/{_YEAR}$",
+    "d/M/yyyy": rf"^{_DAY}/{_MONTH}/{_YEAR}$",
+    "M-d-yyyy": rf"^{_MONTH}-{_DAY}-{_YEAR}$",
+    "d-M-yyyy": rf"^{_DAY}-{_MONTH}-{_YEAR}$",
+    "yyyy/M/d": rf"^{_YEAR}/{_MONTH}/{_DAY}$",
+    "MMM d, yyyy": rf"^[A-Z][a-z]{{2}} {_DAY}, {_YEAR}$",
+    "MMMM d, yyyy": rf"^[A-Z][a-z]{{2,8}} {_DAY}, {_YEAR}$",
+    "d MMM yyyy": rf"^{_DAY} [A-Z][a-z]{{2}} {_YEAR}$",
+}
 
 # Whitespace as Unicode defines it, plus the four ASCII separators.
 _SPACE = r"[\s\x1c-\x1f]"
@@ -47,7 +64,17 @@ def release_year(column: Column, data_type: T.DataType, formats: Sequence[str] =
     """Year of a date, of text in the first of the given forms that fits; null where none does."""
     if not isinstance(data_type, T.StringType):
         return F.year(column.cast("date"))
-    return F.year(F.coalesce(*[F.try_to_timestamp(column, F.lit(form)) for form in formats]))
+    return F.coalesce(*[_year_in(column, form) for form in formats])
+
+
+def _year_in(column: Column, form: str) -> Column:
+    year = F.year(F.try_to_timestamp(column, F.lit(form)))
+    return F.when(column.rlike(DATE_SHAPES[form]), year) if form in DATE_SHAPES else year
+
+
+def years_by_form(column: Column) -> Column:
+    """The year that each of the forms reads, in the order of ``DATE_SHAPES``, null where it doesn't."""
+    return F.array(*[_year_in(column, form) for form in DATE_SHAPES])
 
 
 def clean_title(column: Column) -> Column:

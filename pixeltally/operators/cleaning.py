@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pixeltally.functions.cleaning import DATE_FORMATS, na_to_null, release_year, to_number, truncate
+from pixeltally.functions.cleaning import (
+    DATE_FORMATS, DATE_SHAPES, na_to_null, release_year, to_number, truncate, years_by_form)
 from pixeltally.schemas import NUMERIC_COLUMNS, UNKNOWN
 
 
@@ -49,12 +50,46 @@ def coerce_numeric(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> D
     return df.withColumns({c: to_number(F.col(c), df.schema[c].dataType) for c in present}) if present else df
 
 
-def add_release_year(df: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+# The years that each form of dates reads, until one form is elected.
+YEARS = "_years"
+
+
+def add_release_year(df: DataFrame, formats: Sequence[str] | None = DATE_FORMATS) -> DataFrame:
+    """The year of the release date, by the given forms; without any, what ``elect_year`` chooses from."""
     if "release_date" not in df.columns:
         return conform(df, {"release_year": "int"})
+    if formats is None and isinstance(df.schema["release_date"].dataType, T.StringType):
+        return df.withColumn(YEARS, years_by_form(F.col("release_date")))
+    formats = formats or DATE_FORMATS
     return df.withColumn("release_year", release_year(F.col("release_date"), df.schema["release_date"].dataType, formats))
 
 
+def elect_form(df: DataFrame) -> int | None:
+    """The number of the form that reads most dates, of equal ones the first; null if there is no date.
+
+    Dates that no form reads at all are an error. One aggregate over the years that the forms have read, so
+    ``df`` should be a stored table.
+    """
+    counts = [F.count(F.col(YEARS)[n]).alias(f"n{n}") for n in range(len(DATE_SHAPES))]
+    dated, *read = df.agg(F.count("release_date").alias("dated"), *counts).first()
+    if dated and not any(read):
+        raise ValueError(f"none of {dated} dates in release_date has one of the forms {list(DATE_SHAPES)}")
+    return read.index(max(read)) if dated else None
+
+
+def elect_year(df: DataFrame) -> DataFrame:
+    """The release year as the form that fits the column reads it; dates in other forms get none.
+
+    A column is in one form, as a file is: which of them a single date is in often can't be told, but
+    a day over 12 anywhere tells months from days for all.
+    """
+    if YEARS not in df.columns:
+        return df
+    form = elect_form(df)
+    year = F.lit(None).cast("int") if form is None else F.col(YEARS)[form]
+    return df.withColumn("release_year", year).drop(YEARS)
+
+
 def fill_defaults(df: DataFrame) -> DataFrame:
     """Platform from ``console`` if that column exists, else from ``platform``; no null platform or genre.
 
@@ -106,7 +141,8 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def clean_sales(
-    df: DataFrame, order: Sequence[str], keys: Sequence[str] = ("title", "release_date"), formats: Sequence[str] = DATE_FORMATS,
+    df: DataFrame, order: Sequence[str], keys: Sequence[str] = ("title", "release_date"),
+    formats: Sequence[str] | None = DATE_FORMATS,
 ) -> DataFrame:
     """The clean wide table of a raw one: one row per key, typed, with year, platform and genre."""
     named = normalize_columns(df)
@@ -118,7 +154,7 @@ def clean_sales(
         .transform(fill_defaults))
 
 
-def clean_for_warehouse(df: DataFrame, order: Sequence[str], formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+def clean_for_warehouse(df: DataFrame, order: Sequence[str], formats: Sequence[str] | None = DATE_FORMATS) -> DataFrame:
     """The wide table as the warehouse takes it: one row per title, the whole of which is its key."""
     return (
         normalize_columns(df)

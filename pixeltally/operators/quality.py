@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -94,6 +94,13 @@ def stage_metrics(raw: DataFrame, clean: DataFrame, long: DataFrame, key: str =
     return total.withColumn("duplicates_removed", removed).unpivot([], names, "stage", "rows")
 
 
+def metrics_of(spark: SparkSession, read: int, without_key: int, clean: int, unpivoted: int) -> DataFrame:
+    """``stage_metrics`` from counts that are known, as those of observed writes."""
+    rows = {"rows_read": read, "rows_without_key": without_key, "duplicates_removed": read - without_key - clean,
+            "rows_after_clean": clean, "rows_after_unpivot": unpivoted}
+    return spark.createDataFrame(list(rows.items()), "stage string, rows long")
+
+
 def load_progress(prepared: DataFrame, loaded: DataFrame) -> DataFrame:
     """How many of the prepared rows a table holds, in percent."""
     counts = _union([

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pixeltally.sources.files import stored
 
-# Width of a band of values. Sales have 4 decimal places, so a band holds at most
-# BAND * 10,000 different values, however many rows there are.
-BAND = 10.0
-
+# Bands of values that ranks are counted by. A band has about that part of all different values.
+BANDS = 1024
 
 # monotonically_increasing_id gives the partition above these bits, and the row in it below.
 _ROW_BITS = 33
@@ -49,14 +49,36 @@ def _value_counts(rows: DataFrame, group: str, value: str) -> DataFrame:
     return rows.groupBy(group, value).agg(F.count(F.lit(1)).alias("_count"))
 
 
-def rank_of_values(rows: DataFrame, group: str, value: str, rank: str) -> DataFrame:
+def bounds_of_bands(values: DataFrame, value: str, bands: int = BANDS) -> list[float]:
+    """Ascending values that cut the column into bands of about as many rows each: quantiles, whatever its spread is.
+
+    One pass over ``values``, which should have a row for each different value; at most ``bands`` numbers return.
+    """
+    numbers = values.select(F.col(value).cast("double").alias("_value"))
+    quantiles = numbers.approxQuantile("_value", [k / bands for k in range(1, bands)], 1 / (4 * bands))
+    return sorted({q for q in quantiles if math.isfinite(q)})
+
+
+def _with_band(counts: DataFrame, value: str, bounds: Sequence[float]) -> DataFrame:
+    """The band of each value: null for null, the highest for NaN, which Spark puts above all numbers."""
+    cut = Bucketizer(splits=[-math.inf, *bounds, math.inf], inputCol="_number", outputCol="_band", handleInvalid="keep")
+    banded = cut.transform(counts.withColumn("_number", F.col(value).cast("double")))
+    return banded.withColumn("_band", F.when(F.col(value).isNotNull(), F.col("_band"))).drop("_number")
+
+
+def rank_of_values(rows: DataFrame, group: str, value: str, rank: str, store: bool = False) -> DataFrame:
     """The descending rank of each different value in its group: (group, value, rank), nulls first.
 
     A window over the group would bring a third of all rows to one task. Instead
     equal values are counted (mostly before the shuffle), and the rank is one plus
-    the counts of the higher bands plus the counts of the higher values in the band.
+    the counts of the higher bands plus the counts of the higher values in the band. The bounds of the bands
+    are quantiles of the values as they are now; any bounds give right ranks, so a view may go on with
+    them when its rows change. With ``store`` the counts are stored first, for they are read again.
     """
-    counts = _value_counts(rows, group, value).withColumn("_band", F.floor(F.col(value) / BAND))
+    counts = _value_counts(rows, group, value)
+    if store:
+        counts = stored(counts, "values")
+    counts = _with_band(counts, value, bounds_of_bands(counts, value))
     bands = counts.groupBy(group, "_band").agg(F.sum("_count").alias("_count"))
     higher_bands = (
         Window.partitionBy(group).orderBy(F.desc_nulls_first("_band"))

@@ -58,6 +58,49 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] = ("title", "console",
     return df.agg(*[F.countDistinct(c).alias(f"distinct_{c}s") for c in columns])
 
 
+# A sketch keeps 2**LG_K registers of a column, whatever the number of rows is.
+LG_K = 12
+
+
+def distinct_sketches(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), lg_k: int = LG_K) -> DataFrame:
+    """A sketch of the different values of each column, per group: a few KB each, to be kept and merged."""
+    return df.groupBy(*by).agg(*[F.hll_sketch_agg(c, F.lit(lg_k)).alias(c) for c in columns])
+
+
+def merge_sketches(sketches: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """The sketches of coarser groups, or of several tables put together, from those of finer ones."""
+    return sketches.groupBy(*by).agg(*[F.hll_union_agg(c).alias(c) for c in columns])
+
+
+def sketched_counts(sketches: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """About how many different values each column has; nulls are not counted."""
+    return sketches.select(*by, *[F.hll_sketch_estimate(c).alias(f"distinct_{c}s") for c in columns])
+
+
+def sketch_error(lg_k: int = LG_K) -> float:
+    """The relative error of a merged sketch that is exceeded in one of some hundred cases: three standard errors."""
+    return 3 * 1.04 / 2 ** (lg_k / 2)
+
+
+def totals_by_each(df: DataFrame, keys: Sequence[str], measure: str = "sales_millions") -> DataFrame:
+    """The sums of each key's values, of all keys in one scan: ``dimension, value, measure``, and a row for the whole.
+
+    Nulls of a key are left out; a value with only null measures sums to zero.
+    """
+    grouped = df.groupingSets([*[[k] for k in keys], []], *keys).agg(
+        F.coalesce(F.sum(measure), F.lit(0.0)).alias(measure), F.grouping_id().alias("_set"))
+    # The bits of the set tell which key it is about, the first key in the highest; in the whole, all are set.
+    every = 2 ** len(keys) - 1
+    named = F.lit("all")
+    value = F.lit(None).cast("string")
+    for n, key in enumerate(reversed(keys)):
+        is_its_set = F.col("_set") == every - 2 ** n
+        named = F.when(is_its_set, F.lit(key)).otherwise(named)
+        value = F.when(is_its_set, F.col(key).cast("string")).otherwise(value)
+    found = grouped.select(named.alias("dimension"), value.alias("value"), measure)
+    return found.filter((F.col("dimension") == "all") | F.col("value").isNotNull())
+
+
 def match_rate(df: DataFrame) -> DataFrame:
     """How many rows the catalogue enriched, and their share in percent (null for no rows)."""
     matched = F.count_if(F.col("data_source").contains("rawg"))

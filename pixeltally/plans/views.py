@@ -87,7 +87,7 @@ def game_ranking_by_region(star: Star, store_ranks: bool = False) -> DataFrame:
     goes without, so that it follows its tables.
     """
     rows, ranked = _known_sales(star), ("region_id", "sales_millions", "region_rank")
-    ranks = stored(rank_of_values(rows, *ranked), "ranks") if store_ranks else None
+    ranks = stored(rank_of_values(rows, *ranked, store=True), "ranks") if store_ranks else None
     return _described(with_rank(rows, *ranked, ranks), star)
 
 

@@ -10,8 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixeltally.functions.cleaning import DATE_FORMATS
-from pixeltally.operators.cleaning import clean_for_warehouse, distinct_values
+from pixeltally.operators.cleaning import clean_for_warehouse, distinct_values, elect_year
 from pixeltally.operators.joins import not_in
 from pixeltally.operators.keys import assign_ids
 from pixeltally.operators.quality import quality_checks
@@ -162,16 +161,19 @@ def merge_facts(warehouse: Warehouse, clean: DataFrame) -> None:
 
 
 def load_warehouse(
-    warehouse: Warehouse, sales: DataFrame, order: Sequence[str], formats: Sequence[str] = DATE_FORMATS,
+    warehouse: Warehouse, sales: DataFrame, order: Sequence[str], formats: Sequence[str] | None = None,
 ) -> DataFrame:
     """Full refresh: rebuild games, genres and facts from the sales; returns row counts per table.
 
+    ``formats`` are the forms of dates, tried in turn; without any, the form that reads most dates is
+    elected, and dates that none reads are an error.
+
     All three are written first and made current after that, so a load that fails leaves the former ones.
     """
     require_settings(warehouse.spark)
     seed_tables(warehouse)
     with scratch_scope(warehouse.spark):
-        clean = stored(clean_for_warehouse(sales, order, formats), "clean")
+        clean = elect_year(stored(clean_for_warehouse(sales, order, formats), "clean"))
         extend_calendar(warehouse, clean)
         game = warehouse.stage(build_dim_game(clean), "dim_game")
         genre = warehouse.stage(build_dim_genre(clean, genre_seed(warehouse.spark)), "dim_genre")
@@ -192,18 +194,18 @@ def merge_dimensions(warehouse: Warehouse, clean: DataFrame) -> None:
 
 def weekly_refresh(
     warehouse: Warehouse, enriched_path: str, csv_path: str, order: Sequence[str] | None = None,
-    formats: Sequence[str] = DATE_FORMATS,
+    formats: Sequence[str] | None = None,
 ) -> DataFrame:
     """Find the source, add to the dimensions, merge the facts; returns the quality checks.
 
     Games that this week's source doesn't have keep their facts. Without ``order``, the first
-    of several rows of a title is the first in the file.
+    of several rows of a title is the first in the file. ``formats`` as in ``load_warehouse``.
     """
     require_settings(warehouse.spark)
     sales = resolve_source(warehouse.spark, enriched_path, csv_path, file_order=order is None)
     seed_tables(warehouse)
     with scratch_scope(warehouse.spark):
-        clean = stored(clean_for_warehouse(sales, order or [FILE_ORDER], formats).drop(FILE_ORDER), "clean")
+        clean = elect_year(stored(clean_for_warehouse(sales, order or [FILE_ORDER], formats).drop(FILE_ORDER), "clean"))
         extend_calendar(warehouse, clean)
         merge_dimensions(warehouse, clean)
         merge_facts(warehouse, clean)

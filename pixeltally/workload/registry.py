@@ -203,6 +203,23 @@ def release_year(spark, sf_dir):
     return both.select("o_orderkey", "iso_year", F.col("release_year").alias("us_year"))
 
 
+@query("""SELECT form, row_ord, release_year FROM (
+      SELECT row_ord, CAST(substr(release_date, 1, 4) AS INTEGER) AS release_year, row_ord % 50 = 3 AS odd FROM wide),
+      (SELECT unnest(['M/d/yyyy', 'd/M/yyyy', 'MMM d, yyyy', 'yyyy-MM-dd HH:mm']) AS form) WHERE NOT odd
+    UNION ALL SELECT form, row_ord, NULL FROM wide, (SELECT unnest(['M/d/yyyy', 'd/M/yyyy', 'MMM d, yyyy', 'yyyy-MM-dd HH:mm']) AS form)
+    WHERE row_ord % 50 = 3""")
+def elected_year(spark, sf_dir):
+    """The same dates in four files, each in a form of its own that no caller names, with some that are in none."""
+    wide = wide_sales(spark, sf_dir).select("row_ord", F.to_date("release_date").alias("day"))
+
+    def file(form: str) -> DataFrame:
+        text = F.when(F.expr("row_ord % 50 = 3"), F.lit("to be announced")).otherwise(F.date_format("day", form))
+        read = files.stored(cleaning.add_release_year(wide.select("row_ord", text.alias("release_date")), None), "years")
+        return cleaning.elect_year(read).select(F.lit(form).alias("form"), "row_ord", "release_year")
+
+    return reduce(DataFrame.unionByName, map(file, ["M/d/yyyy", "d/M/yyyy", "MMM d, yyyy", "yyyy-MM-dd HH:mm"]))
+
+
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, CASE l_linenumber
       WHEN 1 THEN l_quantity WHEN 2 THEN l_quantity WHEN 3 THEN l_quantity * 1000 END AS total_sales
     FROM lineitem""")
@@ -595,6 +612,32 @@ def wide_distinct_counts(spark, sf_dir):
     return reports.distinct_counts(wide_sales(spark, sf_dir))
 
 
+@query("""SELECT 'title' AS column_name, count(DISTINCT title) AS exact_count, true AS within_error FROM wide
+    UNION ALL SELECT 'console', count(DISTINCT console), true FROM wide
+    UNION ALL SELECT 'genre', count(DISTINCT genre), true FROM wide
+    UNION ALL SELECT 'publisher', count(DISTINCT publisher), true FROM wide""")
+def sketched_distinct_counts(spark, sf_dir):
+    """Different values by sketches per console, merged, beside the exact counts."""
+    columns, wide = ["title", "console", "genre", "publisher"], wide_sales(spark, sf_dir)
+    parts = reports.distinct_sketches(wide, columns, [F.expr("row_ord % 7").alias("part"), F.col("console").alias("of")])
+    about = reports.sketched_counts(reports.merge_sketches(parts, columns), columns)
+    names = [f"distinct_{c}s" for c in columns]
+    rows = [df.unpivot([], names, "name", kind) for df, kind in ((reports.distinct_counts(wide, columns), "exact_count"), (about, "estimate"))]
+    within = F.abs(F.col("estimate") - F.col("exact_count")) <= reports.sketch_error() * F.col("exact_count")
+    return rows[0].join(rows[1], "name").select(
+        F.regexp_extract("name", "distinct_(.*)s", 1).alias("column_name"), "exact_count", within.alias("within_error"))
+
+
+@query("""SELECT 'genre' AS dimension, genre AS value, sum(sales_millions) AS sales_millions FROM long_sales GROUP BY genre
+    UNION ALL SELECT 'platform', platform, sum(sales_millions) FROM long_sales GROUP BY platform
+    UNION ALL SELECT 'continent', continent, sum(sales_millions) FROM long_sales GROUP BY continent
+    UNION ALL SELECT 'release_year', CAST(release_year AS VARCHAR), sum(sales_millions) FROM long_sales WHERE release_year IS NOT NULL GROUP BY release_year
+    UNION ALL SELECT 'all', NULL, sum(sales_millions) FROM long_sales""")
+def totals_by_each(spark, sf_dir):
+    """Totals by genre, platform, continent and year from one scan."""
+    return reports.totals_by_each(long_sales(spark, sf_dir), ["genre", "platform", "continent", "release_year"])
+
+
 def _enriched(spark, sf_dir) -> DataFrame:
     return enrichment.enrich(wide_sales(spark, sf_dir), responses(spark, sf_dir))
 
@@ -750,14 +793,17 @@ def check_domain(spark, sf_dir):
         quality.check_domain(star(spark, sf_dir)["fact_sales"], "fact_sales", ["game_id", "region_id", "platform_id"]))
 
 
-@query("""WITH kept AS (SELECT * FROM wide WHERE title IS NOT NULL
+_METRICS = """WITH kept AS (SELECT * FROM wide WHERE title IS NOT NULL
       QUALIFY row_number() OVER (PARTITION BY title, release_date ORDER BY row_ord) = 1)
     SELECT 'rows_read' AS stage, count(*) AS "rows" FROM wide
     UNION ALL SELECT 'rows_without_key', count(*) - count(title) FROM wide
     UNION ALL SELECT 'duplicates_removed', (SELECT count(*) FROM wide) - (SELECT count(*) FROM kept)
     UNION ALL SELECT 'rows_after_clean', count(*) FROM kept
     UNION ALL SELECT 'rows_after_unpivot', CAST(sum((coalesce(na_sales, 0) > 0)::INT + (coalesce(pal_sales, 0) > 0)::INT
-      + (coalesce(jp_sales, 0) > 0)::INT + (coalesce(other_sales, 0) > 0)::INT) AS BIGINT) FROM kept""")
+      + (coalesce(jp_sales, 0) > 0)::INT + (coalesce(other_sales, 0) > 0)::INT) AS BIGINT) FROM kept"""
+
+
+@query(_METRICS)
 def stage_metrics(spark, sf_dir):
     wide = wide_sales(spark, sf_dir)
     clean = files.stored(cleaning.clean_sales(wide, ORDER), "clean")
@@ -897,3 +943,11 @@ def stage_sales(spark, sf_dir):
     write_raw_csv(spark, sf_dir, f"{root}/raw.csv")
     staged = staging.stage_sales(spark, f"{root}/raw.csv", f"{root}/out")
     return staged.long.select(*[c for c in GAME_COLUMNS if c != "user_score"], "region_code", "region_label", "continent", "sales_millions")
+
+
+@query(_METRICS)
+def observed_metrics(spark, sf_dir):
+    """What the writes of a staging run counted."""
+    root = scratch_path(spark, "staging")
+    write_raw_csv(spark, sf_dir, f"{root}/raw.csv")
+    return staging.stage_sales(spark, f"{root}/raw.csv", f"{root}/out").metrics

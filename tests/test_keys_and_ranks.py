@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pixeltally.operators.keys import assign_ids
-from pixeltally.operators.ranking import rank_of_values, top_k, with_rank
+from pixeltally.operators import ranking
+from pixeltally.operators.ranking import number_in_order, rank_of_values, top_k, with_rank
 from pixeltally.plans.warehouse import new_rows
 
 
@@ -75,3 +76,43 @@ def test_no_window_holds_a_whole_group(spark, plan_of):
     plan = plan_of(rank_of_values(df, "g", "v", "rank"))
     for line in plan.split("Window [")[1:]:
         assert "HashAggregate" in line
+
+
+@pytest.mark.parametrize("spread", ["id * 0.00005", "exp(id / 10000.0)", "-id * 1e-9", "CASE WHEN id % 2 = 0 THEN 5.0 ELSE id / 1e6 END"])
+def test_bands_follow_the_values(spark, spread):
+    """200,000 values, nearly all different: no band is above three times the median, however they are spread."""
+    df = spark.sql(f"SELECT id % 2 AS g, CAST({spread} AS DOUBLE) AS v FROM range(200000)")
+    counts = ranking._value_counts(df, "g", "v")
+    banded = ranking._with_band(counts, "v", ranking.bounds_of_bands(counts, "v", 64))
+    sizes = sorted(r["count"] for r in banded.groupBy("g", "_band").count().collect())
+    assert len(sizes) >= 60 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+
+
+def test_ranks_of_raw_doubles(spark):
+    """Unrounded values, infinities and NaN, which is above all numbers; null first."""
+    dice = random.Random(3)
+    values = [dice.gauss(0, 1) for _ in range(500)] + [float("inf"), float("-inf"), 0.0, -0.0, 1e-300, None, None]
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(values)] + [(2, 9999, float("nan")), (2, 9998, float("inf"))], "g int, i int, v double")
+    found = {r.i: r["rank"] for r in with_rank(df, "g", "v", "rank").collect()}
+    assert [(i, found[i]) for i in range(len(values))] == [(i, k) for _, i, k in python_ranks([(1, i, v) for i, v in enumerate(values)])]
+    assert (found[9999], found[9998]) == (1, 2)
+    stored_ranks = rank_of_values(df, "g", "v", "rank", store=True)
+    assert {r.i: r["rank"] for r in with_rank(df, "g", "v", "rank", stored_ranks).collect()} == found
+
+
+@pytest.mark.parametrize("bounds", [[], [0.0], [-3.0, 11.0, 12.5, 59.0]])
+def test_any_bounds_give_right_ranks(spark, sales, monkeypatch, bounds):
+    """A view goes on with the bounds of its first rows."""
+    monkeypatch.setattr(ranking, "bounds_of_bands", lambda *_: bounds)
+    ranked = with_rank(spark.createDataFrame(sales, "g int, i int, v double"), "g", "v", "rank")
+    assert sorted(map(tuple, ranked.select("g", "i", "rank").collect())) == python_ranks(sales)
+
+
+def test_numbers_in_order(spark):
+    rows = [(i, i * 7919 % 1000 if i % 10 else None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "i int, v int").repartition(5)
+    found = number_in_order(df, [F.desc_nulls_last("v"), F.asc("i")], "n").collect()
+    expected = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    assert [(r.i, r.v) for r in sorted(found, key=lambda r: r.n)] == expected
+    assert sorted(r.n for r in found) == list(range(1, 3001))
+    assert number_in_order(df.limit(0), [F.asc("i")], "n").collect() == []
