@@ -61,7 +61,8 @@ def bounds_of_bands(values: DataFrame, value: str, bands: int = BANDS) -> list[f
 
 def _with_band(counts: DataFrame, value: str, bounds: Sequence[float]) -> DataFrame:
     """The band of each value: null for null, the highest for NaN, which Spark puts above all numbers."""
-    cut = Bucketizer(splits=[-math.inf, *bounds, math.inf], inputCol="_number", outputCol="_band", handleInvalid="keep")
+    # Two bands at least: Spark's Bucketizer takes no fewer.
+    cut = Bucketizer(splits=[-math.inf, *(bounds or [0.0]), math.inf], inputCol="_number", outputCol="_band", handleInvalid="keep")
     banded = cut.transform(counts.withColumn("_number", F.col(value).cast("double")))
     return banded.withColumn("_band", F.when(F.col(value).isNotNull(), F.col("_band"))).drop("_number")
 
