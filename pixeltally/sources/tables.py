@@ -3,8 +3,8 @@
 A table's rows lie in generations: folders beside each other, of which the catalogue names the current
 one. A replacement writes a generation of its own and then changes the name in the catalogue, so a
 write that fails, at whatever point, leaves the rows that were there. The facts are also
-partitioned in slices of games, whose folders are named one by one: a replacement of some slices
-writes and changes those alone.
+partitioned, by region, so that a question about a region reads its folders alone, and in slices of games.
+Folders of partitions are named one by one: a replacement of some slices writes and changes those alone.
 """
 
 from __future__ import annotations
@@ -24,10 +24,10 @@ from pixeltally.session import hadoop_path
 # distinctly, so neither needs a shuffle of the facts.
 BUCKETED_BY = {"dim_game": "game_id", "fact_sales": "game_id"}
 
-# Partitioned as well, by groups of buckets, each replaceable on its own.
-SLICED = {"fact_sales"}
+# Partitioned as well, by these and by groups of buckets, each replaceable on its own.
+SLICED = {"fact_sales": ["region_id"]}
 SLICE = "slice"
-MOST_SLICES = 1024
+MOST_SLICES = 256
 
 # The load that a row came with, in every table; null for rows of loads without an id.
 LOAD = "load_id"
@@ -80,7 +80,7 @@ class Warehouse:
         key = BUCKETED_BY.get(table)
         sliced = table in SLICED
         columns = f"{({**TABLES, **DERIVED})[table]}, {LOAD} STRING" + (f", {SLICE} INT" if sliced else "")
-        layout = (f" PARTITIONED BY ({SLICE})" if sliced else "") + (f" CLUSTERED BY ({key}) INTO {buckets} BUCKETS" if key else "")
+        layout = (f" PARTITIONED BY ({', '.join([*SLICED[table], SLICE])})" if sliced else "") + (f" CLUSTERED BY ({key}) INTO {buckets} BUCKETS" if key else "")
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{layout} LOCATION '{place}'")
 
     def buckets_of(self, table: str) -> int:
@@ -143,20 +143,22 @@ class Warehouse:
         for new in generations:
             name = self.name(new.table)
             if new.table in SLICED:
-                filled, there = self._slices(new.staging), self._slices(name)
+                filled, there = self._partitions(new.staging), self._partitions(name)
                 for part in sorted(filled):
                     verb = "" if part in there else "ADD "
                     to = "SET LOCATION" if part in there else "LOCATION"
-                    self.spark.sql(f"ALTER TABLE {name} {verb}PARTITION ({SLICE}={part}) {to} '{new.place}/{SLICE}={part}'")
-                for part in sorted((there if new.slices is None else there & set(new.slices)) - filled):
-                    self.spark.sql(f"ALTER TABLE {name} DROP PARTITION ({SLICE}={part})")
+                    self.spark.sql(f"ALTER TABLE {name} {verb}PARTITION ({part.replace('/', ', ')}) {to} '{new.place}/{part}'")
+                for part in sorted(there - filled):
+                    if new.slices is None or int(part.rpartition("=")[2]) in new.slices:
+                        self.spark.sql(f"ALTER TABLE {name} DROP PARTITION ({part.replace('/', ', ')})")
             else:
                 self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{new.place}'")
             self.spark.sql(f"DROP TABLE {new.staging}")  # the name; its files are the table's now
             self.spark.catalog.refreshTable(name)
 
-    def _slices(self, name: str) -> set[int]:
-        return {int(row[0].split("=")[1]) for row in self.spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    def _partitions(self, name: str) -> set[str]:
+        """As their folders are called, for example ``region_id=1/slice=7``."""
+        return {row[0] for row in self.spark.sql(f"SHOW PARTITIONS {name}").collect()}
 
     def refresh(self, rows: DataFrame, table: str, slices: list[int] | None = None) -> None:
         """Replace the table's rows, or those of some slices; if writing fails, the former rows stay."""
@@ -181,7 +183,10 @@ class Warehouse:
             used = {_folder(name.rsplit("/", 1)[0]) for name in self.spark.table(self.name(table)).inputFiles()}
             unused = []
             for folder in folders:
-                parts = [s.getPath() for s in file_system.listStatus(folder) if s.getPath().getName().startswith(f"{SLICE}=")]
+                parts = [folder]
+                for column in [*SLICED[table], SLICE]:
+                    below = [s.getPath() for part in parts for s in file_system.listStatus(part)]
+                    parts = [path for path in below if path.getName().startswith(f"{column}=")]
                 gone = [part for part in parts if _folder(part.toString()) not in used]
                 # The table's own folder stays, for slices to come.
                 unused += gone if len(gone) < len(parts) or _folder(folder.toString()) == current else [folder]

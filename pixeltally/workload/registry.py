@@ -880,6 +880,29 @@ def partitioned_write_prune(spark, sf_dir):
     return lake.read_lake(spark, path).filter("continent = 'Europe' AND year = 1997")
 
 
+@query(f"""SELECT {_LONG}, continent, release_year AS "year" FROM long_sales
+    WHERE release_year IS NOT NULL AND platform = 'PC' AND title BETWEEN 'f' AND 'p'""")
+def clustered_read(spark, sf_dir):
+    """The lake along a Z-curve of platform and title, asked for a range of both through its zone map."""
+    path = scratch_path(spark, "clustered")
+    lake.write_lake(files.stored(long_sales(spark, sf_dir).drop("user_score"), "long"), path, cluster=["platform", "title"])
+    return lake.read_where(spark, path, {"platform": "PC", "title": ("f", "p")})
+
+
+@query("""SELECT continent, release_year AS "year", count(*) AS row_count, min(title) AS least_title, max(title) AS most_title,
+      min(platform) AS least_platform, max(platform) AS most_platform
+    FROM long_sales WHERE release_year IS NOT NULL GROUP BY ALL""")
+def zone_map(spark, sf_dir):
+    """The zones of all files, put together by folder."""
+    path = scratch_path(spark, "clustered")
+    lake.write_lake(files.stored(long_sales(spark, sf_dir), "long"), path, cluster=["platform", "title"])
+    zones = spark.read.parquet(f"{path}/{lake.ZONES}")
+    return zones.groupBy(
+        F.url_decode(F.regexp_extract("path", "continent=([^/]+)", 1)).alias("continent"),
+        F.regexp_extract("path", "year=([0-9]+)", 1).cast("int").alias("year")).agg(
+        F.sum("row_count").alias("row_count"), *[f(f"{n}_{c}").alias(f"{n}_{c}") for c in ("title", "platform") for n, f in (("least", F.min), ("most", F.max))])
+
+
 @query(f"""SELECT {_LONG}, continent, release_year AS "year" FROM long_sales WHERE release_year IS NOT NULL""")
 def publish_lake(spark, sf_dir):
     """The lake copied to another place with its folders."""

@@ -28,6 +28,13 @@ def test_facts_meet_games_without_a_shuffle(large_games, plan_of):
     assert [m for m in re.findall(r" Exchange hashpartitioning\((\w+)", plan)] == ["continent"]
 
 
+def test_a_region_reads_its_folders_alone(spark, plan_of):
+    """The region is known by its code, so its folders are found while the query runs."""
+    plan = plan_of(views.top_games_in_region(star(spark, SF_DIR), "EU"))
+    scan = next(line for line in plan.split("\n") if "FileScan" in line and "sales_millions" in line)
+    assert "dynamicpruningexpression(region_id" in scan
+
+
 def test_top_k_limits_before_the_shuffle(large_games, plan_of):
     plan = plan_of(views.top_games_per_region(large_games, 3))
     assert re.search(r"WindowGroupLimit \[region_id.*row_number\(\), 3, Partial", plan)

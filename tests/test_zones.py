@@ -1,0 +1,85 @@
+"""The clustered lake and its zone map."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from pixeltally.sources import lake
+from pixeltally.sources.files import stored
+
+NULL_TITLE = "CASE WHEN id % 977 = 0 THEN NULL ELSE concat(substr(md5(string(id % 5003)), 1, 5), ' game') END"
+
+
+@pytest.fixture(scope="module")
+def sales(spark):
+    """Half of the rows are one title's."""
+    return stored(spark.sql(f"""SELECT id, CASE WHEN id % 2 = 0 THEN 'hot' ELSE {NULL_TITLE} END AS title, concat('P', id div 2 % 40) AS platform,
+        'Europe' AS continent, 2000 + int(id % 6 div 5) AS release_year FROM range(40000)"""), "sales")
+
+
+@pytest.fixture(scope="module")
+def clustered(spark, sales, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("lake") / "clustered")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    lake.write_lake(sales, path, cluster=["platform", "title"])
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    return path
+
+
+def ids(df):
+    return sorted(r.id for r in df.select("id").collect())
+
+
+@pytest.mark.parametrize("conditions", [
+    {"title": "hot", "platform": "P7"}, {"platform": "P7"}, {"title": ("3", "5")}, {"platform": ("P1", "P12"), "title": ("a", "c")}])
+def test_a_selective_read_opens_few_files(spark, sales, clustered, conditions):
+    found = lake.read_where(spark, clustered, conditions)
+    expected = sales
+    for column, bounds in lake._ranges(conditions).items():
+        expected = expected.filter(F.col(column).between(*bounds))
+    assert ids(found) == ids(expected) != []
+    every = lake.read_lake(spark, clustered).inputFiles()
+    assert len(every) >= 64
+    assert len(found.inputFiles()) <= 0.45 * len(every)
+
+
+def test_nothing_meets(spark, clustered):
+    found = lake.read_where(spark, clustered, {"title": "zzz"})
+    assert found.collect() == [] and "platform" in found.columns
+
+
+def test_zones_hold_their_rows(spark, sales, clustered):
+    zones = spark.read.parquet(f"{clustered}/{lake.ZONES}")
+    assert zones.agg(F.sum("row_count")).first()[0] == sales.count() == lake.read_lake(spark, clustered).count()
+    sizes = sorted(r.row_count for r in zones.collect())
+    # The title that half of the rows have is split.
+    assert sizes[-1] <= 4 * sizes[len(sizes) // 2]
+
+
+def test_an_old_zone_map_loses_no_row(spark, sales, tmp_path):
+    path = str(tmp_path / "lake")
+    lake.write_lake(sales.filter("release_year = 2000"), path, cluster=["platform", "title"])
+    # A folder that the zone map doesn't know, and one that is written anew.
+    more = sales.filter("id < 9000").withColumn("platform", F.lit("P99"))
+    lake.write_lake(more, path)
+    assert ids(lake.read_where(spark, path, {"platform": "P99"})) == list(range(9000))
+    lake.write_zones(spark, path, ["platform"])
+    assert ids(lake.read_where(spark, path, {"platform": "P99", "title": "hot"})) == list(range(0, 9000, 2))
+
+
+def test_without_a_zone_map(spark, sales, tmp_path):
+    path = str(tmp_path / "lake")
+    lake.write_lake(sales.limit(100), path)
+    assert lake.read_where(spark, path, {"platform": ("P0", "P9")}).count() == 100
+
+
+def test_ranges_are_even_and_in_order(spark, sales):
+    z = sales.select("title", lake._range_of("title", lake._bounds(sales, "title")).alias("z"))
+    per = z.filter("title IS NOT NULL").groupBy("z").agg(F.min("title").alias("low"), F.max("title").alias("high"), F.countDistinct("title").alias("n")).orderBy("z").collect()
+    assert len(per) > 50 and all(a.high < b.low for a, b in zip(per, per[1:]))
+    assert max(r.n for r in per) <= 2 * sorted(r.n for r in per)[len(per) // 2]
+
+
+def test_empty(spark, sales, tmp_path):
+    path = str(tmp_path / "lake")
+    lake.write_lake(sales.limit(0), path, cluster=["platform"])
