@@ -16,6 +16,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,16 +37,19 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SPECIAL = "<|"
 WORD_END = "</w>"
+# Marks that words often end in; each is a word of its own after a letter.
+MARKS = tuple(".,;:!?")
 
 
 class WordTokenizer:
     """The ids of texts as bytes (little-endian unsigned 32-bit), each word looked up once.
 
     The tokenizer's splitting pattern takes no white space, and its normalizer changes nothing
-    across a space, so the ids of a text are those of its parts between spaces and line breaks.
-    Parts that are not in the bounded cache are encoded together, as one text, and told apart by
-    the ids that end a word. A text with the beginning of a special token goes to the tokenizer
-    whole.
+    across a space, so the ids of a text are those of its parts between spaces and line breaks. It
+    lower-cases too, so texts of Latin-1 characters are lower-cased at once, and a word with a mark at its end
+    has the ids of the word and those of the mark. Parts that are not in the bounded cache are encoded
+    together, as one text, and told apart by the ids that end a word. A text with the beginning of a special
+    token goes to the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -57,33 +61,73 @@ class WordTokenizer:
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[number for token, number in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.known: dict[str, bytes] = {}
+        self.former: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, parts: list[str]) -> None:
+    def _words(self, part: str) -> int:
+        """How many words the tokenizer splits a part into; one where all are letters."""
+        if part.isalpha():
+            return 1
+        return len(self.pattern.findall(part.lower() if part.isascii() else self.tokenizer.normalizer.normalize_str(part)))
+
+    def _encode(self, parts: list[str]) -> None:
         """Add parts to the cache."""
-        normalize = self.tokenizer.normalizer.normalize_str
-        counts = [len(self.pattern.findall(p.lower() if p.isascii() else normalize(p))) for p in parts]
+        counts = [self._words(part) for part in parts]
         ids = self._ids(" ".join(parts))
         ends = np.flatnonzero(self.ends_word[ids]) + 1
         if len(ends) == sum(counts) and (not len(ids) or ends[-1] == len(ids)):
-            bounds = np.append(0, ends)[np.cumsum([0, *counts])].tolist()
+            bounds = (4 * np.append(0, ends)[np.cumsum([0, *counts])]).tolist()
             data = ids.tobytes()
-            self.known.update((p, data[4 * a:4 * b]) for p, a, b in zip(parts, bounds, bounds[1:]))
+            self.known.update(zip(parts, [data[a:b] for a, b in zip(bounds, bounds[1:])]))
         else:  # a part that the pattern and the tokenizer don't split alike
             self.known.update((p, self._ids(p).tobytes()) for p in parts)
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [None if SPECIAL in text else text.replace("\n", " ").split(" ") for text in texts]
-        parts = set().union(*[words for words in split if words is not None])
-        if len(self.known) + len(parts) > CACHED_WORDS:
-            self.known = {p: ids for p in parts if (ids := self.known.get(p)) is not None}
-        new = sorted(parts - self.known.keys())
+    def _learn(self, parts: list[str]) -> None:
+        marked = [p for p in parts if p[-1:] in MARKS and p[:-1].isalpha()]
+        alone = {*parts, *MARKS}.difference(marked).union(p[:-1] for p in marked).difference(self.known)
+        new = sorted(alone)
         for at in range(0, len(new), 5000):
-            self._learn(new[at:at + 5000])
-        ids = self.known.__getitem__
-        return [self._ids(text).tobytes() if words is None else b"".join(map(ids, words)) for text, words in zip(texts, split)]
+            self._encode(new[at:at + 5000])
+        known = self.known
+        known.update([(p, known[p[:-1]] + known[p[-1]]) for p in marked])
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Texts are split, numbered by their different parts and joined again as arrays, all at once."""
+        plain = [i for i, text in enumerate(texts) if SPECIAL not in text]
+        spaced = pa.array([_lower(texts[i]).replace("\n", " ") for i in plain], pa.large_string())
+        split = pc.split_pattern(spaced, " ")
+        numbered = split.flatten().dictionary_encode()
+        parts = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.known) > CACHED_WORDS // 2:  # what is met again comes back from the former half
+            self.former, self.known = self.known, {}
+        missing = [p for p in parts if p not in self.known]
+        self.known.update([(p, self.former[p]) for p in missing if p in self.former])
+        self._learn([p for p in missing if p not in self.known])
+        found = list(map(self.known.__getitem__, parts))
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        of = numbered.indices.to_numpy()
+        flat = np.frombuffer(b"".join(found), "<u4")
+        each, starts = lengths[of], (np.cumsum(lengths) - lengths)[of]
+        before = np.cumsum(each) - each
+        ids = flat[np.repeat(starts - before, each) + np.arange(int(each.sum()))]
+        bounds = np.append(0, np.cumsum(each))[split.offsets.to_numpy()] * 4
+        data, result = ids.tobytes(), [b""] * len(texts)
+        for i, low, high in zip(plain, bounds.tolist(), bounds[1:].tolist()):
+            result[i] = data[low:high]
+        for i in set(range(len(texts))).difference(plain):
+            result[i] = self._ids(texts[i]).tobytes()
+        return result
+
+
+def _lower(text: str) -> str:
+    """Lower case where that can't depend on a version of Unicode or on neighbours: Latin-1 alone."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
 
 
 @lru_cache(maxsize=2)
