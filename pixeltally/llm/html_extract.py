@@ -2,18 +2,18 @@
 
 Each block of text has a path of block tags from the root. Per path the text length and the
 punctuation for each block are aggregated, smoothed over the page's blocks in order, fused,
-and compared with a threshold. What is over it lies in the article's containers, and all blocks
-of those are the article, but for parts that say they are something else and leave an article.
+and compared with a threshold: the blocks over it are content nodes. The article is the smallest
+element that holds nearly all of their weight, but for the parts of it that hold none of them.
+Tags and names are a prior: tags for menus and the like, and names that say nothing else, leave a block out
+before paths are scored, but names do so only where an article stays.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
-from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -26,16 +26,24 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike "
     "strong sub sup time tt u var nobr br wbr img area map picture".split())
 RAW = "script|style|noscript|template|iframe|object|svg|textarea|title|head"
-SEMANTIC = frozenset("article main".split())
 BOILERPLATE = frozenset("nav header footer aside form button select option label dialog menu fieldset legend".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
-# Words of class, id and role attributes that name parts other than the article.
+# What text flows in; other elements are boxes that parts of a page are put in.
+FLOW = HEADINGS | frozenset(
+    "p ul ol dl li dt dd blockquote pre figure figcaption address details summary table caption colgroup thead tbody "
+    "tfoot tr td th".split())
+# Words of class, id and role attributes that name parts other than the article, and words that tell
+# where or how such a part is. A name of words of both kinds alone is a part's; any other word makes it something else.
 OTHER_PARTS = frozenset(
     "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments complementary "
     "consent contentinfo cookie cookies copyright dialog disqus footer gdpr header login masthead menu modal nav navbar "
     "navigation newsletter notice notices notification overlay pagination paywall popup promo promotion promoted related "
     "replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split())
-ARTICLE_PARTS = frozenset("article articlebody main".split())
+READERS = frozenset("comment comments disqus replies reply respond".split())
+PLACES = frozenset(
+    "area bar block bottom box button buttons container content entry first footer icons inner item items left link links list "
+    "main module outer page panel post posts primary right row secondary section site top wrap wrapper".split())
+ARTICLE_PARTS = frozenset("article articlebody".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>" + RAW + r")(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
@@ -48,51 +56,87 @@ _SPACE = re.compile(r"\s+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？]")
 
 
-@dataclass(frozen=True)
 class Element:
-    tag: str
-    label: str       # the tag with its class, as it stands in the path
-    other: bool      # is no part of an article, by its tag or because it is hidden
-    article: bool    # says that it is an article
-    names: frozenset[str] = frozenset()  # words in its names that other parts have
+    """An element of the page; it knows its parent, so that what blocks have in common is held once."""
+
+    __slots__ = ("tag", "parent", "path", "box", "out", "outside", "article", "main", "named", "weight", "held")
+
+    def __init__(self, tag: str, parent: Element | None, path: int):
+        self.tag, self.parent, self.path = tag, parent, path
+        self.box = parent.box if parent and tag in FLOW else self
+        self.out = bool(parent and parent.out)          # left out by a tag, or hidden
+        self.outside = None                             # for an article's header: the article
+        self.article: Element | None = parent.article if parent else None   # the outermost marked article it is in
+        self.main: Element | None = parent.main if parent else None
+        self.named: tuple[tuple, ...] = parent.named if parent else ()      # names of other parts on the path
+        self.weight = 0.0                               # of the content nodes below
+        self.held = 0                                   # their number whose box it is
+
+
+def element(tag: str, attributes: str, parent: Element | None, path: int) -> Element:
+    found = Element(tag, parent, path)
+    if tag in ("html", "body"):  # what the whole page is called says which parts it has, not that it is one
+        return found
+    names, marked = set(), tag == "article"
+    for kind, *values in _NAMES.findall(attributes):
+        for value in "".join(values).split():
+            words = {word.lower() for word in _PART.findall(value)}
+            if words & OTHER_PARTS and words <= OTHER_PARTS | PLACES:
+                names |= words & OTHER_PARTS
+            marked = marked or value.lower().replace("-", "") in ARTICLE_PARTS
+    header = tag == "header" or names == {"header"}
+    if header and found.article and not found.out:
+        found.out, found.outside = True, found.article  # but for its headings
+    elif tag in HEADINGS and parent and parent.outside:
+        found.out = False
+    elif tag in BOILERPLATE or _HIDDEN.search(attributes):
+        found.out = True
+    elif names:
+        found.named = (*found.named, (tag, frozenset(names))) if (tag, frozenset(names)) not in found.named else found.named
+    if parent and parent.outside and tag not in BOILERPLATE and not found.outside:
+        found.outside = parent.outside
+    if marked and not found.out:
+        found.article = found.article or found
+    if tag == "main" and not found.out:
+        found.main = found.main or found
+    return found
 
 
-@dataclass
 class Block:
-    path: tuple[Element, ...]
-    text: str
-
-
-def element(tag: str, attributes: str) -> Element:
-    names, article = [], tag in SEMANTIC
-    # What the whole page is called says which parts it has, not that it is one.
-    for kind, *values in _NAMES.findall(attributes) if tag not in ("html", "body") else ():
-        value = "".join(values)
-        names += [(kind.lower(), part.lower()) for part in _PART.findall(value)]
-        article = article or value.lower().replace("-", "") in ARTICLE_PARTS
-    other = tag in BOILERPLATE or bool(_HIDDEN.search(attributes))
-    other = other and tag not in ("html", "body")
-    classes = ".".join(part for kind, part in names if kind == "class")
-    return Element(tag, f"{tag}.{classes}" if classes else tag, other, article and not other,
-                   frozenset(part for _, part in names if part in OTHER_PARTS))
-
-
-def blocks(page: str) -> list[Block]:
-    """The page's blocks of text in order, white space as one space, character references decoded."""
+    """A block of text: its element, and whether all of it is in links."""
+
+    __slots__ = ("at", "text", "linked")
+
+    def __init__(self, at: Element, text: str, linked: bool):
+        self.at, self.text, self.linked = at, text, linked
+
+
+def parse(page: str) -> tuple[list[Block], list[Element]]:
+    """The page's blocks of text in order, white space as one space, character references decoded; and its elements."""
+    top = Element("", None, 0)
     found: list[Block] = []
-    stack: list[Element] = []
+    elements, stack = [top], [top]
+    paths: dict[tuple[int, str], int] = {}
+    opened: Counter[str] = Counter()
     held: list[str] = []
+    link = plain = False
 
     def flush() -> None:
+        nonlocal link, plain
         if held:
             text = _SPACE.sub(" ", html.unescape("".join(held))).strip()
             held.clear()
             if text:
-                found.append(Block(tuple(stack), text))
+                found.append(Block(stack[-1], text, not plain))
+        link = plain = False
+
+    def close() -> None:
+        opened[stack.pop().tag] -= 1
 
     for token in _TOKEN.finditer(page):
         if (text := token["text"]) is not None:
             held.append(text)
+            plain = plain or not link and not text.isspace()
             continue
         tag = token["tag"]
         if tag is None:
@@ -101,59 +145,47 @@ def blocks(page: str) -> list[Block]:
         if tag in INLINE:
             if tag == "br":
                 held.append(" ")
+            elif tag == "a":
+                link = not token["end"]
             continue
         flush()
         if tag in VOID:
             continue
         if token["end"]:
-            for at in range(len(stack) - 1, -1, -1):
-                if stack[at].tag == tag:
-                    del stack[at:]
-                    break
+            if opened[tag]:
+                while stack[-1].tag != tag:
+                    close()
+                close()
             continue
         # A block ends an open paragraph, and an item or cell ends its open neighbour.
         for closed in ("p",) + ((tag,) if tag in ("li", "dt", "dd", "tr", "td", "th", "option") else ()):
-            if stack and stack[-1].tag == closed:
-                stack.pop()
+            if stack[-1].tag == closed:
+                close()
         if token["attributes"].rstrip().endswith("/") and tag not in ("p", "div", "section", "article", "main", "body"):
             continue
-        stack.append(element(tag, token["attributes"]))
+        parent = stack[-1]
+        path = paths.setdefault((parent.path, tag), len(paths) + 1)
+        stack.append(element(tag, token["attributes"], parent, path))
+        elements.append(stack[-1])
+        opened[tag] += 1
     flush()
-    return found
-
-
-def _own_header(path: tuple[Element, ...], at: int) -> bool:
-    """Whether a block is a heading in the header of an article. It is part of the article."""
-    header = path[at].tag == "header" or path[at].names == {"header"}
-    return header and path[-1].tag in HEADINGS and any(a.article for a in path[:at])
-
-
-def _other(path: tuple[Element, ...]) -> bool:
-    """Whether a block is in a part that is not the article, by tags and what is hidden."""
-    return any(e.other and not _own_header(path, at) for at, e in enumerate(path))
-
-
-def _named(path: tuple[Element, ...]) -> set[tuple[str, frozenset[str]]]:
-    """The tags and names on a path that say that a block is in another part."""
-    return {(e.tag, e.names) for at, e in enumerate(path) if e.names and not _own_header(path, at)}
-
-
-def _labels(path: Sequence[Element]) -> tuple[str, ...]:
-    return tuple(e.label for e in path)
+    return found, elements
 
 
 def path_scores(page: list[Block], radius: int = 1) -> np.ndarray:
-    """For each block its fused score: smoothed length and punctuation ratios of its path."""
+    """For each block its fused score: smoothed length and punctuation ratios of its path.
+
+    Text that is in links counts for no path: menus are links, and an article's links stand in other text.
+    """
     count: dict = defaultdict(int)
     length: dict = defaultdict(int)
     marks: dict = defaultdict(int)
     for block in page:
-        path = _labels(block.path)
-        count[path] += 1
-        length[path] += len(block.text)
-        marks[path] += len(_PUNCTUATION.findall(block.text))
-    paths = [_labels(block.path) for block in page]
-    ratios = np.array([(length[p] / count[p], (1 + marks[p]) / count[p]) for p in paths])
+        count[block.at.path] += 1
+        if not block.linked:
+            length[block.at.path] += len(block.text)
+            marks[block.at.path] += len(_PUNCTUATION.findall(block.text))
+    ratios = np.array([(length[p] / count[p], (1 + marks[p]) / count[p]) for p in (block.at.path for block in page)])
     kernel = np.exp(-0.5 * np.arange(-radius, radius + 1) ** 2)
     kernel /= kernel.sum()
     padded = np.pad(ratios, ((radius, radius), (0, 0)), mode="edge")
@@ -162,67 +194,107 @@ def path_scores(page: list[Block], radius: int = 1) -> np.ndarray:
     return np.sqrt(ratios * smooth).prod(axis=1)
 
 
-def _without_named(page: list[Block], share: float) -> list[Block]:
+def over_threshold(page: list[Block], share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Scores, and which of them reach a share of the mean that the page's text has, character by character."""
+    scores = path_scores(page)
+    lengths = np.array([len(block.text) for block in page])
+    return scores, scores >= share * np.average(scores, weights=lengths)
+
+
+# Rounds in which names are taken back as those of wrappers; after them no name on the page counts.
+WRAPPERS = 8
+
+
+def without_named(page: list[Block], share: float) -> list[Block]:
     """The blocks that are in no part with another part's name, where such parts leave the article.
 
-    They do if what stays has a path over the threshold and a tenth of the text or more, or if an
-    article stays that the best block left out is not in. Else the names on the best block's path
-    are those of wrappers and say nothing on this page. On a page that marks articles only blocks
-    in them count.
+    They do if an article stays that the best block left out is not in, or if what stays has a path over the
+    threshold and a tenth of the text or more. Else the names on the best block's path are those of
+    wrappers and say nothing on this page; but a part of readers' comments is no wrapper where any other
+    text stays, however long it is. On a page that marks articles only blocks in them count.
     """
-    if not page:
+    if not any(block.at.named for block in page):
         return page
-    scores = path_scores(page)
-    marks = [next((e for e in reversed(block.path) if e.article), None) for block in page]
-    names = [_named(block.path) for block in page]
-    counted = [at for at in range(len(page)) if marks[at] or not any(marks)]
-    threshold = share * scores[counted].mean()
+    scores, over = over_threshold(page, share)
+    marked = any(block.at.article for block in page)
+    counted = [at for at, block in enumerate(page) if block.at.article or not marked]
     everything = sum(len(page[at].text) for at in counted)
     wrappers: set = set()
-    while True:
-        stays = [found <= wrappers for found in names]
-        rest = [at for at in counted if stays[at] and page[at].path[-1:] and page[at].path[-1].tag not in HEADINGS]
+    for _ in range(WRAPPERS):
+        stays = [wrappers.issuperset(block.at.named) for block in page]
+        rest = [at for at in counted if stays[at] and page[at].at.tag not in HEADINGS]
         out = [at for at in counted if not stays[at]]
         if not out:
             break
-        best = max(out, key=scores.__getitem__)
-        apart = any(marks[at] and all(e is not marks[at] for e in page[best].path) for at in rest)
-        if apart or any(scores[at] >= threshold for at in rest) and 10 * sum(len(page[at].text) for at in rest) >= everything:
+        best = page[max(out, key=scores.__getitem__)].at
+        apart = any(page[at].at.article and page[at].at.article is not best.article for at in rest)
+        inside = best.article and any(page[at].at.article is best.article and over[at] for at in rest)
+        enough = 10 * sum(len(page[at].text) for at in rest) >= everything and any(over[at] for at in rest)
+        readers = rest and all(words <= READERS for _, words in set(best.named) - wrappers)
+        if apart or enough and (inside or not best.article) or readers:
             break
-        wrappers |= names[best]
+        wrappers.update(best.named)
+    else:
+        return page
     return [block for block, held in zip(page, stays) if held]
 
 
-def article(page: list[Block], share: float = 0.5) -> list[str]:
+def article(page: list[Block], elements: list[Element], share: float = 0.25) -> list[str]:
     """The texts of the article's blocks, in order."""
-    page = _without_named([block for block in page if not _other(block.path)], share)
+    page = without_named([block for block in page if not block.at.out], share)
+    if any(block.at.article for block in page):
+        return _marked([block for block in page if block.at.article], share)
+    if any(block.at.main for block in page):
+        page = [block for block in page if block.at.main]
     if not page:
         return []  # menus and the like only
-    scores = path_scores(page)
-    threshold = share * scores.mean()
-    # The container of each path over the threshold: the innermost article it is in, or its parent.
-    containers: dict[tuple[str, ...], float] = defaultdict(float)
-    anchors = []
-    for block, score in zip(page, scores):
-        inner = [at for at, e in enumerate(block.path) if e.article]
-        anchor = _labels(block.path[:inner[0] + 1] if inner else block.path[:-1])
-        anchors.append((bool(inner), anchor))
-        if score >= threshold:
-            containers[bool(inner), anchor] += score * len(block.text)
-    marked = {anchor for own, anchor in containers if own}
-    if marked:
-        # All marked articles over the threshold, and those beside them.
-        beside = {anchor[:-1] for anchor in marked}
-        return [block.text for block, (own, anchor) in zip(page, anchors) if own and anchor[:-1] in beside]
-    # Without a marked article: the whole of what encloses the containers, but for light ones.
-    least = 0.1 * max(containers.values())
-    heavy = [anchor for (_, anchor), weight in containers.items() if weight >= least]
-    inside = tuple(labels[0] for labels in takewhile(lambda labels: len(set(labels)) == 1, zip(*heavy)))
-    return [block.text for block in page if _labels(block.path)[:len(inside)] == inside]
+    scores, over = over_threshold(page, share)
+    for block, score, content in zip(page, scores, over):
+        if content:
+            block.at.weight += score * len(block.text)
+            block.at.box.held += 1
+    heaviest: dict[int, Element] = {}
+    for node in reversed(elements):  # children come after their parents
+        if node.parent:
+            node.parent.weight += node.weight
+            if node.weight > 0 and (id(node.parent) not in heaviest or node.weight > heaviest[id(node.parent)].weight):
+                heaviest[id(node.parent)] = node
+    root = elements[0]
+    while id(root) in heaviest and heaviest[id(root)].weight >= 0.9 * root.weight and heaviest[id(root)].box is heaviest[id(root)]:
+        root = heaviest[id(root)]
+    inside = _below(root, elements)
+    first, last = np.flatnonzero(over)[[0, -1]]
+    spoken = {id(block.at.box) for block in page if not block.linked}
+    kept = []
+    for at, (block, content) in enumerate(zip(page, over)):
+        if id(block.at) not in inside:
+            continue
+        # Beside the content nodes: what stands between them, and what shares a box with one; but no lists of links.
+        between = first < at < last and (id(block.at.box) in spoken or block.at.box is root)
+        beside = block.at.box.held and (not block.linked or block.at.tag in HEADINGS)
+        if content or between or beside:
+            kept.append(block.text)
+    return kept
+
+
+def _below(root: Element, elements: list[Element]) -> set[int]:
+    """The elements in ``root``, itself included."""
+    inside = {id(root)}
+    for node in elements:
+        if node.parent and id(node.parent) in inside:
+            inside.add(id(node))
+    return inside
+
+
+def _marked(page: list[Block], share: float) -> list[str]:
+    """All of the marked articles that have a path over the threshold, and of those beside them."""
+    _, over = over_threshold(page, share)
+    beside = {id(block.at.article.parent) for block, content in zip(page, over) if content}
+    return [block.text for block in page if id(block.at.article.parent) in beside]
 
 
 def main_text(page: str | None) -> str:
-    return "\n\n".join(article(blocks(page or "")))
+    return "\n\n".join(article(*parse(page or "")))
 
 
 def extract(pages: DataFrame, page_html: str = "html", carry: Sequence[str] = ("page_id", "url")) -> DataFrame:
