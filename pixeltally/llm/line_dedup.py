@@ -1,7 +1,8 @@
 """Line de-duplication by site-relative frequency.
 
 Pages are grouped by host. A line is boilerplate of a host if the pages of the host that
-contain it are more than a given share of all its pages, and it is dropped from them.
+contain it are more than a given share of all its pages, and it is dropped from them. Copies of a page are one
+page in these counts: they repeat a text, not a template, and their lines are no boilerplate for it.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pixeltally.llm.common import stored
 # Between the shares of plain boilerplate, from 8.6% of a source's documents up, and of other lines,
 # at most 4.8%: three standard errors or more from either mean on a host of 500 pages.
 RATIO = 0.0625
-# On two pages a repeat can't be told from a copy of the page.
+# On two pages a repeat can't be told from an edited copy of the page.
 LEAST_PAGES = 3
 NEWLINE = "\n"
 
@@ -26,9 +27,10 @@ def _digest(line: Column) -> Column:
 
 
 def boilerplate(docs: DataFrame, text: str, host: str, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """``host, line`` (as an MD5 digest), for lines on at least ``least_pages`` and over ``ratio`` of a host's pages."""
-    pages = docs.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("host_pages"))
-    lines = docs.select(F.col(host).alias("host"), F.explode(F.array_distinct(F.split(text, NEWLINE))).alias("line"))
+    """``host, line`` (as an MD5 digest), for lines on at least ``least_pages`` and over ``ratio`` of a host's different pages."""
+    pages = docs.select(F.col(host).alias("host"), F.col(text).alias("text")).distinct()
+    lines = pages.select("host", F.explode(F.array_distinct(F.split("text", NEWLINE))).alias("line"))
+    pages = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
     counts = (
         lines.filter(F.trim("line") != "").groupBy("host", _digest(F.col("line")).alias("line"))
         .agg(F.count("*").alias("pages")).filter(F.col("pages") >= least_pages)).alias("c")
@@ -47,8 +49,8 @@ def drop_boilerplate(
     ``text`` is what stays, its lines joined as they were. A null text stays null and has no
     lines, though its page counts for the host; an empty text has one, empty line. Lines of white
     space are never boilerplate. A line counts once per page however often it stands there, and
-    all its places go. Null hosts are one host. Repeated rows are pages of their own. With fewer
-    than ``least_pages`` pages a host loses nothing. An empty table gives an empty result.
+    all its places go. Null hosts are one host. Equal texts of a host are one page, which all of them
+    follow. With fewer than ``least_pages`` different pages a host loses nothing. An empty table gives an empty result.
 
     Counts are combined before the shuffle, so a line that every page has sends one row per task.
     A host has fewer boilerplate lines than its mean number of distinct lines divided by

@@ -156,8 +156,9 @@ ORACLES = {
         FROM documents LEFT JOIN n USING (doc_id) JOIN least ON u = doc_id""",
     "op10_line_dedup": f"""
         WITH d AS (SELECT doc_id, source, CASE WHEN text IS NOT NULL THEN string_split(text, chr(10)) END AS lines FROM documents),
-        pages AS (SELECT source, count(*) AS n FROM documents GROUP BY ALL),
-        line AS (SELECT doc_id, source, unnest(list_distinct(lines)) AS line FROM d),
+        page AS (SELECT DISTINCT source, lines FROM d),
+        pages AS (SELECT source, count(*) AS n FROM page GROUP BY ALL),
+        line AS (SELECT source, unnest(list_distinct(lines)) AS line FROM page),
         found AS (
             SELECT source, list(line) AS found FROM (
                 SELECT source, line, count(*) AS c FROM line WHERE trim(line, ' ') <> '' GROUP BY ALL)
