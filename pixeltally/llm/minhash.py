@@ -4,18 +4,20 @@ A document is its set of word shingles. One permutation scatters the shingles; a
 shifted by one place for each coordinate, orders them, and the least is the coordinate. Bands
 of coordinates put likely pairs in a bucket. Links are confirmed on the full sets. Of a bucket
 only pairs with its first member are tried at first, so a group of copies costs a pair for each
-member. Members that are then still unconnected meet in blocks of a bounded size, where their
-pairs are tried on the full sets and only links come out, so none is lost.
+member. Members that are then still unconnected meet those of other components in blocks of a bounded
+size, where their pairs are tried on the full sets and only links come out, so none is lost.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pixeltally.llm.common import stored
@@ -27,7 +29,9 @@ PERCENT = 80
 BAND_ROWS = 5
 # A pair at the threshold is missed in all bands with less than this probability.
 MISS = 1e-6
-BLOCK = 256  # members of a bucket that meet as many others in one group
+BLOCK = 256  # members of a bucket that meet as many others in one group, if their sets are no longer than
+BLOCK_SHINGLES = 1 << 21  # so many shingles on the whole
+UNLIKELY = 1e-9  # with this probability a pair at the threshold is ruled out by its signatures
 _ELEMENTS = 1 << 16
 
 
@@ -155,11 +159,20 @@ def _linked(percent: int):
     return confirm
 
 
+@lru_cache
+def least_alike(percent: int, coordinates: int, unlikely: float = UNLIKELY) -> int:
+    """The most coordinates that a pair at the threshold shares, but for a chance of ``unlikely``: the exact binomial tail."""
+    p, tail = percent / 100, 0.0
+    for equal in range(coordinates + 1):
+        tail += math.comb(coordinates, equal) * p ** equal * (1 - p) ** (coordinates - equal)
+        if tail > unlikely:
+            return equal
+    return coordinates
+
+
 def _alike(marks_a: np.ndarray, marks_b: np.ndarray, percent: int) -> np.ndarray:
-    """Which pairs the signatures don't rule out, five standard errors below the threshold."""
-    share = (marks_a == marks_b).mean(axis=-1)
-    expected = percent / 100
-    return share >= expected - 5 * np.sqrt(expected * (1 - expected) / marks_a.shape[-1])
+    """Which pairs the signatures don't rule out. Marks are bytes of coordinates, so they agree at least as often."""
+    return (marks_a == marks_b).sum(axis=-1) >= least_alike(percent, marks_a.shape[-1])
 
 
 def _likely(percent: int):
@@ -245,6 +258,34 @@ def _links_between(percent: int):
     return confirm
 
 
+def _blocks(labelled: DataFrame) -> DataFrame:
+    """Members of buckets that are not connected yet, a row for each pair of blocks that they meet in: ``low, high, block`` beside their columns.
+
+    ``labelled`` has ``band, label, n_shingles`` and more. Pairs within a label need no comparison, so the members of a bucket's
+    most frequent label meet the others only, and these meet all: with m others, a bucket of n
+    members makes rows in proportion to n and to m / ``BLOCK``, one for each member if a single one is unconnected.
+    """
+    labels = labelled.groupBy("band", "label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
+    most = F.max_by(F.struct("label", "n", "s"), F.struct("n", "label"))
+    mixed = stored(
+        labels.groupBy("band").agg(most.alias("most"), F.sum("n").alias("n"), F.sum("s").alias("s")).filter("n > most.n")
+        .select("band", F.col("most")["label"].alias("most"),
+                _number(F.col("n") - F.col("most")["n"], F.col("s") - F.col("most")["s"]).alias("others"),
+                _number(F.col("most")["n"], F.col("most")["s"]).alias("rest")), "mixed")
+    rows = labelled.join(mixed, "band")
+    # Blocks of the others come first, then those of the most frequent label.
+    place, is_most = F.xxhash64("node"), F.col("label") == F.col("most")
+    block = F.when(is_most, F.col("others") + F.pmod(place, F.col("rest"))).otherwise(F.pmod(place, F.col("others")))
+    last = F.when(is_most, F.col("others")).otherwise(F.col("others") + F.col("rest")) - 1
+    rows = rows.withColumn("block", block.cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), last.cast("int"))))
+    return rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other", "most", "others", "rest")
+
+
+def _number(members: Column, shingles: Column) -> Column:
+    """How many blocks members with so many shingles are dealt to."""
+    return F.greatest(F.ceil(members / BLOCK), F.ceil(shingles / BLOCK_SHINGLES))
+
+
 def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, percent: int = PERCENT,
                 rows: int = BAND_ROWS, miss: float = MISS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
@@ -256,7 +297,7 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
     Other columns are ignored. An empty table gives an empty result.
 
     Documents with equal sets are one node from the start, whatever their number. Shingles are
-    compared by 64-bit hashes. A pair at the threshold is found but for a chance of ``miss``.
+    compared by 64-bit hashes. A pair at the threshold is found but for a chance of ``miss`` and of ``UNLIKELY``.
     """
     bands = bands_for(percent, rows, miss)
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
@@ -285,14 +326,9 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
 
     # Buckets whose members aren't all connected by now: their other pairs, block by block.
     labelled = members.join(labels, "node", "left").select(
-        "band", "number", "node", "members", F.coalesce("component", "node").alias("label"))
-    mixed = stored(
-        labelled.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a < b").select("band"), "mixed")
-    split = labelled.join(mixed, "band").join(nodes.select("node", "n_shingles", "marks", F.col("bands").alias("keys")), "node").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
-    split = split.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    split = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    split = split.select("band", "number", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                         "block", "node", "label", "n_shingles", "marks", "keys")
+        "band", "number", "node", F.coalesce("component", "node").alias("label")).join(nodes.select("node", "n_shingles"), "node")
+    split = _blocks(labelled).join(nodes.select("node", "marks", F.col("bands").alias("keys")), "node").select(
+        "band", "number", "low", "high", "block", "node", "label", "n_shingles", "marks", "keys")
     pair = ["band", "low", "high"]
     rest = stored(split.groupBy(*pair).applyInArrow(_with_partner(percent), _BLOCKED), "rest")
     if not rest.isEmpty():
