@@ -8,9 +8,11 @@ bounded-error matching then verifies the edits around each candidate and gives t
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from heapq import heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,6 +41,9 @@ NOTICES = {
     "all rights reserved": ("all-rights-reserved", 1),
 }
 
+# A stretch is so many times its notice at most.
+JOINED = 4
+
 _WORDS = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 FOUND = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, " \
@@ -84,7 +89,8 @@ class Scanner:
         self.automaton.make_automaton()
 
     def candidates(self, text: str) -> dict[str, list[tuple[int, int]]]:
-        """For each notice the stretches of the text that can hold it, overlapping ones joined."""
+        """For each notice the stretches of the text that can hold it, overlapping ones joined up to ``JOINED``
+        times the notice, so that a stretch takes a bounded time however many there are in a row."""
         found: dict[str, list[tuple[int, int]]] = {}
         for end, (size, owners) in self.automaton.iter(text):
             for piece in owners:
@@ -92,26 +98,41 @@ class Scanner:
                 low = max(0, end + 1 - size - piece.offset - edits)
                 high = min(len(text), end + 1 - size - piece.offset + len(piece.notice) + edits)
                 spans = found.setdefault(piece.notice, [])
-                if spans and low <= spans[-1][1]:
+                if spans and low <= spans[-1][1] and max(high, spans[-1][1]) - min(low, spans[-1][0]) <= JOINED * len(piece.notice):
                     spans[-1] = (min(low, spans[-1][0]), max(high, spans[-1][1]))
                 else:
                     spans.append((low, high))
         return found
 
     def search(self, text: str) -> list[tuple[str, int, int, int, float]]:
-        """Label, start, end, edits and likeness of each verified notice."""
+        """Label, start, end, edits and likeness of each verified notice.
+
+        Of overlapping matches of a notice the one with fewest edits counts, of equal ones the first; what a
+        stretch has before and after it is searched again.
+        """
         found = []
         for notice, spans in self.candidates(text).items():
-            label = self.notices[notice][0]
+            matches: list[tuple[int, int, int, int, int]] = []
+
+            def look(low: int, high: int) -> None:
+                if match := self.patterns[notice].search(text, low, high):
+                    heappush(matches, (sum(match.fuzzy_counts), match.start(), match.end(), low, high))
+
             for low, high in spans:
-                parts = [(low, high)]
-                while parts:
-                    # The best match of a stretch is found first; others stand before and after it.
-                    start, end = parts.pop()
-                    if match := self.patterns[notice].search(text, start, end):
-                        edits = sum(match.fuzzy_counts)
-                        found.append((label, match.start(), match.end(), edits, 1 - edits / len(notice)))
-                        parts += [(start, match.start()), (match.end(), end)]
+                look(low, high)
+            taken: list[tuple[int, int]] = []
+            while matches:
+                edits, start, end, low, high = heappop(matches)
+                at = bisect_left(taken, (start, end))
+                over = [t for t in taken[max(0, at - 1):at + 1] if t[0] < end and start < t[1]]
+                if over:
+                    look(low, min(over[0][0], high))
+                    look(max(over[-1][1], low), high)
+                else:
+                    taken.insert(at, (start, end))
+                    found.append((self.notices[notice][0], start, end, edits, 1 - edits / len(notice)))
+                    look(low, start)
+                    look(end, high)
         return sorted(found, key=lambda f: f[1:3])
 
 
