@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from string import ascii_lowercase, ascii_uppercase
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +45,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def freed(work: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``work`` on Arrow batches, which gives memory that it no longer uses back when a task ends.
+
+    A Python worker lives on beside the executor's heap between tasks and stages; without this the allocators
+    keep what the largest batch took.
+    """
+    def run(batches: Batches) -> Batches:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        if trim:
+            trim(0)
+    return run
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only. Where every character is ASCII the faster built-in does the same."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(

@@ -18,12 +18,14 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pixeltally.llm.common import freed
 from pixeltally.llm.words import chunks
 
 UNKNOWN = "und"
 FEATURES = 4096
 ROWS_PER_LANGUAGE = 1500
 MOST_LANGUAGES = 500
+FIT_BYTES = 128 << 20
 MOST_BITS = 63
 STEPS = 200
 AMBIGUOUS = 0.05
@@ -137,16 +139,16 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rows_per_langua
     """Learn from labelled rows of ``docs`` with text, about ``rows_per_language`` of each language.
 
     Where a language has more, they are sampled evenly by a hash of id and text, so the same rows
-    are taken again. The driver gets their features, never texts: ``rows_per_language`` times the
-    languages, which may be ``MOST_LANGUAGES`` at most, times ``FEATURES`` numbers.
+    are taken again. The driver gets their features, never texts, of ``FIT_BYTES`` at most: many
+    languages share it and have fewer rows each. Of more than ``MOST_LANGUAGES`` the most frequent are learned.
     """
     labelled = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = {r[lang]: r["n"] for r in labelled.groupBy(lang).agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    by_count = labelled.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
+    counts = {r["lang"]: r["n"] for r in by_count.limit(MOST_LANGUAGES).collect()}
     languages = sorted(counts)
     if not languages:
         return Model([], np.ones((0, 1)), np.zeros((FEATURES, 1)), np.zeros(1), np.ones(1))
+    rows_per_language = min(rows_per_language, max(1, FIT_BYTES // (2 * FEATURES * len(languages))))
     rates = F.create_map(*[F.lit(v) for name in languages for v in (name, min(1.0, rows_per_language / counts[name]))])
     draw = F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(1 << 20)) / F.lit(float(1 << 20))
 
@@ -158,7 +160,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rows_per_langua
                     [part.column(0), pa.array([row.astype(np.float16).tobytes() for row in x], pa.binary())], names=["lang", "x"])
 
     sample = labelled.filter(draw < rates[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    rows = sample.mapInArrow(describe, "lang string, x binary").toArrow()
+    rows = sample.mapInArrow(freed(describe), "lang string, x binary").toArrow()
     x = np.stack([np.frombuffer(b, np.float16) for b in rows["x"].to_pylist()]).astype(np.float32) if rows.num_rows else np.zeros((0, FEATURES), np.float32)
     names = np.array(rows["lang"].to_pylist())
     order = np.lexsort((x[:, :8].sum(axis=1), names)) if len(names) else np.zeros(0, int)
@@ -195,5 +197,5 @@ def predict(docs: DataFrame, model: Model, text: str = "text", carry: Sequence[s
                 names=["carry", "lang_pred", "score", "ambiguous"])
 
     kind = rows.schema["carry"].dataType.simpleString()
-    found = rows.mapInArrow(answer, f"carry {kind}, {PREDICTED}")
+    found = rows.mapInArrow(freed(answer), f"carry {kind}, {PREDICTED}")
     return found.select(*[F.col("carry")[name].alias(name) for name in carry], "lang_pred", "score", "ambiguous")

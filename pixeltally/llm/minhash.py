@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pixeltally.llm.common import stored
+from pixeltally.llm.common import freed, stored
 from pixeltally.llm.components import components
 from pixeltally.llm.words import LOWER, Words, chunks, mix64
 
@@ -302,7 +302,7 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
     bands = bands_for(percent, rows, miss)
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     sketch = stored(named.mapInArrow(
-        _sketches(shingle, bands, rows), "doc_id long, n_shingles long, digest binary, marks binary, bands array<long>"), "sketches")
+        freed(_sketches(shingle, bands, rows)), "doc_id long, n_shingles long, digest binary, marks binary, bands array<long>"), "sketches")
     # One node for equal sets. What any of them has beside its id is the same.
     nodes = stored(
         sketch.filter("doc_id IS NOT NULL AND digest IS NOT NULL").groupBy("digest").agg(
@@ -320,7 +320,7 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
     about = nodes.select("node", "n_shingles", "marks")
     with_u = stars.join(about.toDF("u", "n_u", "m_u"), "u")
     likely = with_u.join(about.toDF("v", "n_v", "m_v"), "v").select("u", "v", "n_u", "n_v", "m_u", "m_v").mapInArrow(
-        _likely(percent), "u long, v long")
+        freed(_likely(percent)), "u long, v long")
     links = confirmed(stored(likely, "stars"), "stars")
     labels = stored(components(links), "labels")
 
@@ -351,7 +351,7 @@ def _sets_of(named: DataFrame, ids: DataFrame, name: str, shingle: int) -> DataF
     """``doc_id, shingles`` of the documents in ``ids``."""
     wanted = stored(ids.toDF("doc_id").distinct(), f"{name}-wanted")
     return stored(
-        named.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets(shingle), "doc_id long, shingles binary")
+        named.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(freed(_sets(shingle)), "doc_id long, shingles binary")
         .filter("octet_length(shingles) > 0"), f"{name}-sets")
 
 
@@ -360,4 +360,4 @@ def _confirmed(named: DataFrame, pairs: DataFrame, name: str, shingle: int, perc
     sets = _sets_of(named, pairs.select(F.explode(F.array("u", "v"))), name, shingle)
     with_v = pairs.join(sets.toDF("v", "shingles_v"), "v")
     both = with_v.join(sets.toDF("u", "shingles_u"), "u").select("u", "v", "shingles_u", "shingles_v")
-    return stored(both.mapInArrow(_linked(percent), "u long, v long").distinct(), f"{name}-links")
+    return stored(both.mapInArrow(freed(_linked(percent)), "u long, v long").distinct(), f"{name}-links")

@@ -21,13 +21,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pixeltally.llm.common import stored
+from pixeltally.llm.common import freed, stored
 from pixeltally.llm.words import chunks
 
 CAPACITY = 2048
 SEPARATOR = 0
 GROUP_PIECES = 200_000
-CACHED_WORDS = 800_000
+CACHED_WORDS = 400_000
 BATCH_BYTES = 2 << 20
 
 # From texts to their ids, as bytes of little-endian unsigned 32-bit numbers.
@@ -155,7 +155,7 @@ def pieces(docs: DataFrame, tokenize: Tokenize, capacity: int = CAPACITY, separa
                 [pa.array([r[k] for r in rows], t) for k, t in enumerate([pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()])],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(cut, PIECES)
+    return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(freed(cut), PIECES)
 
 
 class _Pool:

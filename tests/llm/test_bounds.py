@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings as limits, strategies as st
 from pyspark.sql import functions as F
 
-from pixeltally.llm import license_scan, line_dedup, minhash, packing, registry
+from pixeltally.llm import language_id, license_scan, line_dedup, minhash, packing, registry
 
 
 def bucket(spark, strays, members=20_000, shingles=100):
@@ -149,3 +149,47 @@ def test_ids_when_the_cache_is_small(words, monkeypatch):
     small = packing.WordTokenizer(registry.tokenizer_path())
     for text in texts:
         assert small([text]) == [np.asarray(words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+
+
+# ---- languages --------------------------------------------------------------
+
+
+def plain_losses(model, x):
+    """How much each codeword loses, bit by bit: the logistic loss of the bit's classifier times its weight."""
+    losses = []
+    for code in model.codes:
+        total = 0.0
+        for bit in range(len(code)):
+            margin = sum(float(a) * float(b) for a, b in zip(x, model.weights[:, bit])) + float(model.intercepts[bit])
+            total += float(model.reliability[bit]) * math.log1p(math.exp(-float(code[bit]) * margin))
+        losses.append(total)
+    return losses
+
+
+def test_decoding_against_the_plain_form():
+    dice = np.random.default_rng(4)
+    for languages in (2, 3, 7):
+        y = dice.integers(0, languages, 200)
+        x = (dice.normal(size=(200, 10)) + 1.5 * dice.normal(size=(languages, 10))[y]).astype(np.float32)
+        model = language_id.fit_codes(x, y, [f"l{n}" for n in range(languages)])
+        # Codewords differ in at least two bits where there are three languages or more, so one wrong bit can be outvoted.
+        apart = min((model.codes[a] != model.codes[b]).sum() for a in range(languages) for b in range(a))
+        assert apart >= (1 if languages == 2 else 2)
+        best, score, ambiguous = model.decode(x[:60])
+        for row, b, s, unsure in zip(x[:60], best, score, ambiguous):
+            losses = plain_losses(model, row)
+            likely = [math.exp(min(losses) - loss) for loss in losses]
+            likely = sorted((v / sum(likely) for v in likely), reverse=True)
+            assert b == losses.index(min(losses)) and abs(s - likely[0]) < 1e-6
+            assert unsure == (likely[0] - likely[1] < model.ambiguous)
+        assert (best == y[:60]).mean() > 0.8
+
+
+def test_many_languages_share_the_budget(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "FIT_BYTES", 2 * language_id.FEATURES * 60)
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 12)
+    dice = random.Random(8)
+    rows = [(n * 100 + i, " ".join(f"{chr(97 + n)}{dice.choice('xyz')}{chr(98 + n)}" for _ in range(12)), f"l{n:02}") for n in range(14) for i in range(30 + n)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    # The twelve with most rows.
+    assert model.languages == [f"l{n:02}" for n in range(2, 14)]
