@@ -27,7 +27,7 @@ from pixeltally.llm.words import chunks
 CAPACITY = 2048
 SEPARATOR = 0
 GROUP_PIECES = 200_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 BATCH_BYTES = 2 << 20
 
 # From texts to their ids, as bytes of little-endian unsigned 32-bit numbers.

@@ -161,7 +161,8 @@ def plain_losses(model, x):
         total = 0.0
         for bit in range(len(code)):
             margin = sum(float(a) * float(b) for a, b in zip(x, model.weights[:, bit])) + float(model.intercepts[bit])
-            total += float(model.reliability[bit]) * math.log1p(math.exp(-float(code[bit]) * margin))
+            z = -float(code[bit]) * margin
+            total += float(model.reliability[bit]) * (max(z, 0.0) + math.log1p(math.exp(-abs(z))))
         losses.append(total)
     return losses
 
