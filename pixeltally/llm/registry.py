@@ -25,8 +25,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Beside the words that go, the number of maximal repeats and the words of the longest one."""
     rows = substring_dedup.drop_repeats(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", "n_words", "n_removed", sha256_text(F.col("text")).alias("kept_sha256"))
+    lengths = F.transform("removed", lambda repeat: repeat["end"] - repeat["start"])
+    return rows.select(
+        "doc_id", "n_words", "n_removed", sha256_text(F.col("text")).alias("kept_sha256"),
+        F.size("removed").cast("long").alias("n_repeats"), F.coalesce(F.array_max(lengths), F.lit(0)).cast("long").alias("longest_repeat"))
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,11 +133,16 @@ ORACLES = {
         least AS (SELECT x, min(doc_id) AS m FROM win GROUP BY x HAVING min(doc_id) < max(doc_id)),
         gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {substring_dedup.WINDOW})) AS i FROM win JOIN least USING (x) WHERE m < doc_id),
         g AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id),
+        island AS (SELECT doc_id, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS island FROM gone),
+        repeat AS (SELECT doc_id, count(*) AS n FROM island GROUP BY doc_id, island),
+        p AS (SELECT doc_id, count(*) AS n_repeats, max(n) AS longest_repeat FROM repeat GROUP BY doc_id),
         k AS (
             SELECT doc_id, len(w) AS n, coalesce(len(gone), 0) AS r,
                 list_filter(w, lambda x, k: NOT list_contains(coalesce(gone, []), k)) AS kept
             FROM d LEFT JOIN g USING (doc_id))
-        SELECT doc_id, n::BIGINT AS n_words, r::BIGINT AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k""",
+        SELECT doc_id, n::BIGINT AS n_words, r::BIGINT AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256,
+            coalesce(n_repeats, 0)::BIGINT AS n_repeats, coalesce(longest_repeat, 0)::BIGINT AS longest_repeat
+        FROM k LEFT JOIN p USING (doc_id)""",
     "op3_near_dedup": """
         WITH RECURSIVE w AS (
             SELECT doc_id, regexp_extract_all(
