@@ -25,6 +25,8 @@ from pixeltally.llm.words import Words, chunks, mix64
 WINDOW = 13
 UNIT_BYTES = 8 << 20
 BUCKET_BYTES = 8 << 20
+MOST_TASKS = 50_000     # of a shuffle; where there are more buckets, a task has several, one after another
+GROUPS_OF_A_TASK = 16   # answers are a fraction of what was sent
 
 _SHIPPED = "bucket int, known boolean, ids binary, keys binary, doc binary, pos binary, low binary, high binary, flags binary"
 _FOUND = "grp int, ids binary, keys binary, doc binary, pos binary"
@@ -254,8 +256,11 @@ def _merged(group: pa.Table) -> pa.Table:
 
 
 def _per_document(sent: DataFrame, decide: Callable, groups: int, name: str) -> DataFrame:
-    found = sent.groupBy("bucket").applyInArrow(_resolved(decide, groups), _FOUND)
-    return stored(found.groupBy("grp").applyInArrow(_merged, _PLACES), name)
+    """The places that ``decide`` finds, a row per document. There are as many tasks as buckets, so a task's
+    share does not grow with the texts, whatever number of shuffle partitions the session has."""
+    found = sent.repartition(min(groups, MOST_TASKS), "bucket").groupBy("bucket").applyInArrow(_resolved(decide, groups), _FOUND)
+    dealt = found.repartition(min(-(-groups // GROUPS_OF_A_TASK), MOST_TASKS), "grp")
+    return stored(dealt.groupBy("grp").applyInArrow(_merged, _PLACES), name)
 
 
 def _kept(window: int) -> Callable:
@@ -293,7 +298,8 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wi
 
     A word goes if a window of ``window`` words covers it whose words also stand in a row in a
     document with a smaller id. ``text`` holds the words that stay, joined by one space;
-    ``removed`` the maximal repeats, as ranges of word numbers. Windows are judged on the input.
+    ``removed`` the maximal repeats, as ranges of word numbers: repeated windows that overlap or
+    touch are one range, and the words beside a range are in no repeated window. Windows are judged on the input.
     A null or empty text has no words. Rows that repeat an id don't count as smaller for each
     other. Rows without an id lose nothing and take nothing from others. Other columns are
     ignored. An empty table gives an empty result.

@@ -126,6 +126,28 @@ def test_substring_shared_passages(spark, monkeypatch):
     assert sorted(str((r["doc_id"], r["n_words"], r["n_removed"], r["text"])) for r in rows) == brute_substring(random_rows)
 
 
+def test_removed_ranges_are_maximal(spark):
+    # The second document has the first one's passages, apart, touching each other and overlapping.
+    a, b = [f"a{k}" for k in range(20)], [f"b{k}" for k in range(15)]
+    rows = [(1, a + ["x"] + b), (2, ["y"] + a[:13] + ["z"] + b + a[5:] + a[2:16] + b[:12])]
+    docs = spark.createDataFrame([(i, " ".join(words)) for i, words in rows], "doc_id long, text string")
+    removed = {r["doc_id"]: [(s["start"], s["end"]) for s in r["removed"]] for r in substring_dedup.drop_repeats(docs).collect()}
+    assert removed == {1: [], 2: [(1, 14), (15, 59)]}
+
+
+def test_tasks_follow_the_buckets(spark, monkeypatch, plan_of):
+    monkeypatch.setattr(substring_dedup, "BUCKET_BYTES", 500)
+    docs = spark.createDataFrame([(i, sentence(i % 40, 50)) for i in range(100)], "doc_id long, text string")
+    size = sum(len(r["text"]) for r in docs.collect())
+    sent = docs.selectExpr("doc_id", "xxhash64(text) AS key", "CAST(text AS binary)").mapInArrow(
+        substring_dedup._probes(7, -(-size // 500)), substring_dedup._SHIPPED)
+    plans = []
+    monkeypatch.setattr(substring_dedup, "stored", lambda df, name: plans.append(plan_of(df)) or df)
+    substring_dedup._per_document(sent, substring_dedup._anchors, -(-size // 500), "anchors")
+    shuffles = [line for line in plans[0].splitlines() if " Exchange " in line]
+    assert len(shuffles) == 2 and f"hashpartitioning(bucket, {-(-size // 500)})" in shuffles[1]
+
+
 def brute_near(rows, size, percent):
     sets = {}
     for i, text in rows:
