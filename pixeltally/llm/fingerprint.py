@@ -3,9 +3,9 @@
 A feature is a window of bytes. Its entropy says how improbable it is: entropies that are
 rare over all documents come first. In each stretch of neighbouring windows the rarest one
 is counted, and windows counted often enough are the features; short texts, which have few,
-add smaller windows. They go into Bloom filters of
-a fixed size, a new one as soon as one is full; two fingerprints are compared by the bits
-that their filters share beyond chance.
+add smaller windows, the fewer the longer they are, chosen by hash alone so that texts of
+different lengths choose alike. They go into Bloom filters of a fixed size, a new one as soon
+as one is full; two fingerprints are compared by the bits that their filters share beyond chance.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ NEVER = PAIRS + 1
 BUCKET_ROWS = 4096
 MOST_BUCKETS = 20_000
 SHORT_TEXT = 256     # bytes; of shorter texts every SHORT_WINDOW bytes are features too
+LONG_TEXT = 1024     # bytes; from here on none are, and between the two a share that falls evenly
 SHORT_WINDOW = 16
 NO_ID = -(2 ** 63)
 
@@ -114,6 +115,11 @@ def _select(rank: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndar
     return places[rank[places] < NEVER]
 
 
+def small_share(size: int) -> int:
+    """The greatest hash of a small window that is a feature of a text of ``size`` bytes."""
+    return (2 ** 64 - 1) * min(max(LONG_TEXT - size, 0), LONG_TEXT - SHORT_TEXT) // (LONG_TEXT - SHORT_TEXT)
+
+
 def filters(texts: Sequence[bytes], rank: np.ndarray) -> list[np.ndarray]:
     """For each text its chained Bloom filters, a row of bytes each; none for an empty text."""
     found: list[np.ndarray] = []
@@ -128,12 +134,15 @@ def filters(texts: Sequence[bytes], rank: np.ndarray) -> list[np.ndarray]:
         # Empty texts share the start of the next one; the last with that start is it.
         rows = np.lib.stride_tricks.sliding_window_view(buffer, WINDOW)[places] if len(places) else np.zeros((0, WINDOW), np.uint8)
         hashes = mix64((mix64(np.ascontiguousarray(rows).view(np.uint64)) * multipliers).sum(axis=1, dtype=np.uint64))
-        short = [i for i, t in enumerate(part) if SHORT_WINDOW <= len(t) < SHORT_TEXT]
-        for i in short:
+        owner, small = [text], [hashes]
+        for i in np.flatnonzero((sizes >= SHORT_WINDOW) & (sizes < LONG_TEXT)).tolist():
             rows = np.lib.stride_tricks.sliding_window_view(np.frombuffer(part[i], np.uint8), SHORT_WINDOW)
             rows = mix64(np.ascontiguousarray(rows).view(np.uint64)) * multipliers[:SHORT_WINDOW // 8]
-            text = np.append(text, np.full(len(rows), i))
-            hashes = np.append(hashes, mix64(rows.sum(axis=1, dtype=np.uint64) ^ np.uint64(SHORT_WINDOW)))
+            chosen = mix64(rows.sum(axis=1, dtype=np.uint64) ^ np.uint64(SHORT_WINDOW))
+            chosen = chosen[chosen <= np.uint64(small_share(int(sizes[i])))]
+            owner.append(np.full(len(chosen), i))
+            small.append(chosen)
+        text, hashes = np.concatenate(owner), np.concatenate(small)
         # A text of a few bytes or only dull windows has itself as its feature.
         whole = np.setdiff1d(np.flatnonzero(sizes > 0), text)
         own = np.array([int.from_bytes(hashlib.blake2b(part[i], digest_size=8).digest(), "little") for i in whole.tolist()], np.uint64)
