@@ -3,6 +3,7 @@
 import math
 import random
 import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -194,3 +195,60 @@ def test_many_languages_share_the_budget(spark, monkeypatch):
     model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     # The twelve with most rows.
     assert model.languages == [f"l{n:02}" for n in range(2, 14)]
+
+
+# ---- sequences --------------------------------------------------------------
+
+
+def replayed(bins, capacity):
+    """Holds each bin, in order, against the method: the fullest greedy start, its smallest given for the best two."""
+    pool = Counter(length for held in bins for length in held)
+    for held in bins:
+        greedy, room = [], capacity
+        left = pool.copy()
+        while fits := [length for length in left if left[length] and length <= room]:
+            greedy.append(max(fits))
+            left[greedy[-1]] -= 1
+            room -= greedy[-1]
+        sums = []
+        if room and len(greedy) > 1:
+            rest = sorted(left.elements())
+            sums = [a + b for k, a in enumerate(rest) for b in rest[k + 1:] if greedy[-1] < a + b <= greedy[-1] + room]
+        if sums:
+            assert held[:-2] == greedy[:-1] and sum(held[-2:]) == max(sums)
+        else:
+            assert held == greedy
+        pool -= Counter(held)
+    assert not +pool
+
+
+@limits(max_examples=150, deadline=None)
+@given(lengths=st.lists(st.integers(1, 30), max_size=40), capacity=st.integers(30, 60))
+def test_bins_against_the_plain_method(lengths, capacity):
+    bins, offsets = packing.pack(lengths, capacity)
+    held = {}
+    for number, offset, length in sorted(zip(bins.tolist(), offsets.tolist(), lengths)):
+        held.setdefault(number, []).append((offset, length))
+    for parts in held.values():
+        assert [o for o, _ in parts] == [sum(l for _, l in parts[:k]) for k in range(len(parts))]
+    replayed([[l for _, l in held[number]] for number in sorted(held)], capacity)
+
+
+def test_sequences_of_each_group(spark):
+    """The operator's own sequences, over several groups, against the plain method."""
+    def letters(texts):  # here, since workers don't import the tests
+        return [np.frombuffer(t.encode(), np.uint8).astype("<u4").tobytes() for t in texts]
+
+    dice = random.Random(8)
+    texts = [(i, "a" * dice.choice((0, 3, 7, 12, 19, 31, 32, 70))) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    rows = packing.packed(docs, letters, capacity=32, group_pieces=90).collect()
+    ends = {}
+    for row in rows:
+        ends.setdefault(row["sequence_id"], []).append((row["offset"], row["length"]))
+    short = [r for r in rows if r["length"] < 32]
+    groups = -(-len(short) // 90)
+    assert groups > 3 and sum(r["length"] for r in rows) == sum(len(t) + 1 for _, t in texts)
+    assert all(parts == [(0, 32)] for number, parts in ends.items() if number < 0)
+    for group in range(groups):
+        replayed([[l for _, l in sorted(ends[n])] for n in sorted(ends) if n >= 0 and n % groups == group], 32)
