@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Sequence
 from urllib.parse import unquote
 
@@ -17,6 +18,7 @@ from pixeltally.session import hadoop_path, scratch_path
 FILE_ORDER = "_file_order"
 RECORD = "_record"
 SURPLUS = "_surplus"
+MARKERS = "mapreduce.fileoutputcommitter.marksuccessfuljobs"  # Hadoop's setting for _SUCCESS files
 
 # A line whose last field opens a quote that the line doesn't close: whole fields, then an open one.
 OPEN_FIELD = r'^(?:(?:"(?:[^"]++|"")*+"|[^",][^,]*+|),)*+"(?:[^"]++|"")*+$'
@@ -137,13 +139,27 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return file_system.exists(marker)
 
 
+def _has_files(spark: SparkSession, path: str) -> bool:
+    """Whether anything but hidden and temporary entries lies in the folder."""
+    folder, file_system = hadoop_path(spark, path)
+    if not file_system.exists(folder):
+        return False
+    return any(not entry.getPath().getName().startswith(("_", ".")) for entry in file_system.listStatus(folder))
+
+
 def resolve_source(spark: SparkSession, enriched_path: str, csv_path: str, file_order: bool = False) -> DataFrame:
     """The enriched Parquet dataset if there is a complete one, else the raw CSV, else an error.
 
-    An empty folder, or one that a killed write left, is no dataset.
+    An empty folder, or one that a killed write left, is no dataset: where data is there without
+    Spark's end marker, a warning says that it is not read. Where the session is set to write no
+    markers, nothing tells a whole dataset from a part, and that is an error.
     """
     if is_complete(spark, enriched_path):
         return read_parquet(spark, enriched_path, file_order)
+    if _has_files(spark, enriched_path):
+        if not spark._jsc.hadoopConfiguration().getBoolean(MARKERS, True):
+            raise ValueError(f"{enriched_path} has data, but {MARKERS} is off: whether it is whole can't be told")
+        warnings.warn(f"{enriched_path} has data but no _SUCCESS: taken for unfinished, {csv_path} is read", stacklevel=2)
     try:
         return read_csv(spark, csv_path, file_order=file_order)
     except AnalysisException as error:

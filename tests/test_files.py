@@ -95,7 +95,27 @@ def test_unfinished_datasets_are_no_source(spark, tmp_path, csv):
     files.write_parquet(spark.range(2), str(enriched))
     assert files.resolve_source(spark, str(enriched), csv).count() == 2
     (enriched / "_SUCCESS").unlink()
-    assert files.resolve_source(spark, str(enriched), csv).count() == 5
+    with pytest.warns(UserWarning, match="no _SUCCESS"):
+        assert files.resolve_source(spark, str(enriched), csv).count() == 5
+
+
+def test_without_end_markers_no_source_is_guessed(spark, tmp_path, csv):
+    """Where a session writes no markers, a dataset that may be whole is not passed over."""
+    configuration = spark._jsc.hadoopConfiguration()
+    configuration.set(files.MARKERS, "false")
+    try:
+        assert files.resolve_source(spark, str(tmp_path / "none"), csv).count() == 5
+        (tmp_path / "none" / "_temporary").mkdir(parents=True)  # what a killed write leaves
+        assert files.resolve_source(spark, str(tmp_path / "none"), csv).count() == 5
+        spark.range(2).write.parquet(str(tmp_path / "enriched"))
+        assert not (tmp_path / "enriched" / "_SUCCESS").exists()
+        with pytest.raises(ValueError, match="whole"):
+            files.resolve_source(spark, str(tmp_path / "enriched"), csv)
+    finally:
+        configuration.unset(files.MARKERS)
+    # A dataset of a session that writes markers is read as before.
+    files.write_parquet(spark.range(2), str(tmp_path / "whole"))
+    assert files.resolve_source(spark, str(tmp_path / "whole"), csv).count() == 2
 
 
 def test_own_inputs_are_not_overwritten(spark, tmp_path):
