@@ -18,13 +18,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Phrases whose words must stand consecutively, and their labels.
-BASE = {
+# Phrases whose words must stand consecutively, and their labels. ``scan`` takes these where none are named.
+PHRASES = {
     "the mit license": "mit",
     "apache license version 2": "apache-2",
     "cc by nc": "cc-by-nc",
 }
 
+# The base phrases of ``op4_license_scan``.
+BASE = {
+    "under the mit license": "mit",
+    "apache license version 2": "apache-2",
+    "cc by nc": "cc-by-nc",
+}
+
 # Notices that are searched with edits, their labels and the edits allowed.
 NOTICES = {
     "released under the mit license": ("mit", 3),
@@ -147,7 +154,7 @@ def scanner(notices: tuple) -> Scanner:
     return Scanner(dict(notices))
 
 
-def scan_text(text: str | None, base: dict[str, str], search: Scanner) -> tuple:
+def scan_text(text: str | None, base: dict[str, str], search: Scanner, phrases: dict[str, str] | None = None) -> tuple:
     """One row of ``scan``."""
     plain = words(text or "")
     counts, first, last, labels = 0, None, None, set()
@@ -158,8 +165,9 @@ def scan_text(text: str | None, base: dict[str, str], search: Scanner) -> tuple:
             low, high = plain.count(b" ", 0, found[0]), plain.count(b" ", 0, found[-1])
             first, last = low if first is None else min(first, low), high if last is None else max(last, high)
     spans = search.search(plain.decode("utf-8", "surrogatepass"))
-    score = 1.0 if labels else max((s[4] for s in spans), default=0.0)
-    every = labels | {s[0] for s in spans}
+    exact = labels | {label for phrase, label in (phrases or {}).items() if places(plain, phrase)}
+    score = 1.0 if exact else max((s[4] for s in spans), default=0.0)
+    every = exact | {s[0] for s in spans}
     n_words = plain.count(b" ") - 1
     return (n_words, counts, first, last, ",".join(sorted(labels)), ",".join(sorted(every)), score,
             [{"label": s[0], "start": s[1], "end": s[2], "edits": s[3]} for s in spans])
@@ -170,23 +178,24 @@ _TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string
 
 
 def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", base: dict[str, str] | None = None,
-         notices: dict[str, tuple[str, int]] | None = None) -> DataFrame:
+         notices: dict[str, tuple[str, int]] | None = None, phrases: dict[str, str] | None = None) -> DataFrame:
     """One row per document: ``doc_id`` and the columns of ``FOUND``.
 
     ``n_base`` counts every place of every base phrase; ``first_word`` and ``last_word`` are the
-    smallest and largest start, null if there is none. ``labels`` holds the base labels and those
-    of notices found with edits; ``spans`` are places in the words joined by spaces. ``score`` is
-    the best likeness, 1 for a base phrase, 0 for nothing. A null or empty text has no words.
+    smallest and largest start, null if there is none. ``labels`` holds the base labels, those of
+    ``phrases``, which stand in a text word by word but are no base, and those of notices found with
+    edits; ``spans`` are places in the words joined by spaces. ``score`` is the best likeness, 1 for
+    a base phrase or one of ``phrases``, 0 for nothing. A null or empty text has no words.
     Rows that repeat an id are scanned each for itself, null ids stay null, other columns are
     ignored. An empty table gives an empty result.
     """
-    base = BASE if base is None else base
+    base = PHRASES if base is None else base
     known = tuple((NOTICES if notices is None else notices).items())
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = scanner(known)
         for batch in batches:
-            rows = [scan_text(value.as_py(), base, search) for value in batch.column(1)]
+            rows = [scan_text(value.as_py(), base, search, phrases) for value in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array([r[k] for r in rows], t) for k, t in enumerate(_TYPES)]],
                 names=["doc_id", *[part.split(" ")[0] for part in

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 
 from pixeltally.llm import (
-    exact_dedup, fingerprint, html_extract, language_id, license_scan, line_dedup, minhash, mixing, packing, substring_dedup)
+    exact_dedup, fingerprint, html_extract, language_id, license_scan, line_dedup, minhash, mixing, packing, registry, substring_dedup)
 from pixeltally.llm.components import components
 from pixeltally.llm.registry import word_ids
 
@@ -242,6 +242,18 @@ def test_license_with_edits(spark):
     assert rows[6]["n_base"] == 0
 
 
+def test_license_query_counts_the_contract_phrases(spark, tmp_path):
+    texts = {1: "under THE mit license, the mit license", 2: "Released UNDER the-mit_license under the mit license", 3: "the MIT license",
+             4: "under a mit license", 5: "under the mit licenses", 6: "thunder the mit license", 7: "cc by nc\x00Apache License (version 2) cc-by/nc", 8: None}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = {r["doc_id"]: r for r in registry.op4_license_scan(spark, str(tmp_path)).collect()}
+    found = {k: (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) for k, r in rows.items()}
+    assert found == {
+        1: (7, 1, 0, 0, "mit"), 2: (9, 2, 1, 5, "mit"), 3: (3, 0, None, None, ""), 4: (4, 0, None, None, ""), 5: (4, 0, None, None, ""),
+        6: (4, 0, None, None, ""), 7: (10, 3, 0, 7, "apache-2,cc-by-nc"), 8: (0, 0, None, None, "")}
+    assert {k: (r["labels"], r["score"]) for k, r in rows.items() if k in (1, 3, 6)} == {1: ("mit", 1), 3: ("mit", 1), 6: ("mit", 1)}
+
+
 def test_license_spans_of_close_notices():
     text = "gnu generel public license and gnu general public license or gnu generol public license"
     spans = license_scan.scan_text(text, license_scan.BASE, license_scan.Scanner(license_scan.NOTICES))[-1]
