@@ -34,6 +34,8 @@ MARKETS = {
 
 # Most lines of orders that a task joins and sums: its memory then stays the same however many there are.
 LINES_PER_TASK = 500_000
+# Most parts whose candidates a task collects, five of each.
+PARTS_PER_TASK = 20_000
 
 _staged: dict[tuple[str, str, str], str] = {}
 
@@ -164,13 +166,19 @@ def build_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("p_name"), F.col("p_brand"), F.col("p_type"), F.lit("fourth"), F.lit("fifth"), F.lit("sixth"))]).alias("tags"),
         F.when(F.col("p_size") % 3 != 0, F.array(named(F.concat("p_brand", F.lit(" Works"))), named(F.col("p_type"))))
         .otherwise(F.expr("array()").cast("array<struct<name:string>>")).alias("developers"))
+    # Records are many times as large as the file they come from, by whose size Spark would broadcast them or read them
+    # in few tasks: both sides are dealt out by part, and candidates by title before they are collected.
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(part.count() / PARTS_PER_TASK))
     asked = part.filter("p_size > 5").select(
         F.col("p_partkey").alias("asked"), part_title().alias("title"), F.col("p_brand").alias("asked_brand"),
         F.explode(F.sequence(F.lit(-2), F.lit(2))).alias("step"))
-    found = (
+    near = (
         asked.filter(~((F.col("step") == 0) & (F.col("asked_brand") == "Brand#7")))
-        .join(part.select("p_partkey", record.alias("record")), F.col("asked") + F.col("step") == F.col("p_partkey"))
-        .groupBy("title")
+        .select("title", "step", (F.col("asked") + F.col("step")).alias("near")).repartition(tasks, "near"))
+    records = part.repartition(tasks, "p_partkey").select("p_partkey", record.alias("record"))
+    found = (
+        near.join(records.hint("merge"), F.col("near") == F.col("p_partkey"))
+        .select("title", "step", "record").repartition(tasks, "title").groupBy("title")
         # At most five candidates per title.
         .agg(F.array_sort(F.collect_list(F.struct("step", "record"))).alias("found"))
         .select("title", F.transform("found", lambda x: x["record"]).alias("results")))

@@ -44,3 +44,18 @@ def test_lines_meet_orders_in_as_many_tasks_as_they_need(spark, sf_dir, plan_of,
     plan = plan_of(cut)
     assert dealt(plan, "l_orderkey") == dealt(plan, "o_orderkey") == [41]
     assert sorted(cut.collect(), key=lambda r: r["row_ord"]) == whole
+
+
+def test_candidates_are_collected_in_as_many_tasks_as_they_need(spark, sf_dir, plan_of, monkeypatch):
+    monkeypatch.setattr(tables, "PARTS_PER_TASK", 2)
+    responses = tables.build_responses(spark, sf_dir)
+    plan = plan_of(responses)
+    # Records grow with the table and are not broadcast.
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert dealt(plan, "title") == dealt(plan, "p_partkey") == [30]
+    found = {r["title"]: [g["id"] for g in json.loads(r["payload"])["results"]] for r in responses.collect()}
+    wanted = {}
+    for k in range(PARTS):
+        steps = [s for s in range(-2, 3) if not (s == 0 and k % 9 == 7)]
+        wanted[f"p{k} ({k})"] = [] if k % 50 + 1 <= 5 else [k + s for s in steps if 0 <= k + s < PARTS]
+    assert found == wanted
