@@ -141,9 +141,10 @@ def merge_facts(warehouse: Warehouse, clean: DataFrame) -> None:
     known = warehouse.table("fact_sales")
     games_now = warehouse.table("dim_game").join(clean.select("title"), "title", "left_semi").select("game_id")
     same = reduce(lambda a, b: a & b, [F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")) for c in new.columns])
-    outdated = stored(
-        known.join(games_now, "game_id", "left_semi").alias("o").join(new.alias("n"), same, "left_anti").select("o.*"), "outdated")
-    added = stored(new.join(known.join(outdated, key, "left_anti"), key, "left_anti"), "added")
+    # The one step that reads all facts; those of other games can neither be outdated nor known already.
+    theirs = stored(known.join(games_now, "game_id", "left_semi"), "theirs")
+    outdated = stored(theirs.alias("o").join(new.alias("n"), same, "left_anti").select("o.*"), "outdated")
+    added = stored(new.join(theirs.join(outdated, key, "left_anti"), key, "left_anti"), "added")
     keeps = rollup.keeps_rollup(warehouse)
     current = keeps and rollup.is_current(warehouse)
     with warehouse.noted(rollup.TABLE) if keeps else nullcontext():

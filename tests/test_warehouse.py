@@ -205,3 +205,21 @@ def test_metrics(spark):
     raw = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", None), (None, None), (None, None)], "title string, release_date string")
     got = dict(quality.stage_metrics(raw, raw.limit(2), raw.limit(1)).collect())
     assert got == {"rows_read": 5, "rows_without_key": 2, "duplicates_removed": 1, "rows_after_clean": 2, "rows_after_unpivot": 1}
+
+
+def test_a_merge_reads_all_facts_once(warehouse, sales, monkeypatch):
+    loads.load_warehouse(warehouse, sales(WEEK2), ["n"])
+    readers, plain = [], loads.stored
+
+    def noted(df, name):
+        readers.extend([name] if any("/fact_sales/" in path for path in df.inputFiles()) else [])
+        return plain(df, name)
+
+    monkeypatch.setattr(loads, "stored", noted)
+    changed = [(*row[:6], 7.0, *row[7:]) for row in WEEK1]
+    before = fact_rows(warehouse)
+    loads.merge_facts(warehouse, loads.clean_for_warehouse(sales([*changed, ("d", *WEEK2[0][1:])]), ["n"]))
+    assert readers == ["theirs"]
+    titles = {r.game_id: r.title for r in warehouse.table("dim_game").collect()}
+    after = {(titles[r.game_id], r.region_id): r.sales_millions for r in warehouse.table("fact_sales").collect()}
+    assert len(before) == 4 and after == {("a", 1): 7.0, ("a", 2): 2.0, ("b", 1): 7.0, ("c", 2): 4.0}
