@@ -18,9 +18,9 @@ from pixeltally.llm.registry import word_ids
 ROW = "whole_row"
 
 
-def _with_row(docs: DataFrame) -> DataFrame:
-    """All columns as one more column, so that operators carry them whatever their names."""
-    return docs.withColumn(ROW, F.struct(*[F.col(f"`{name}`") for name in docs.columns]))
+def _with_row(docs: DataFrame, without: str | None = None) -> DataFrame:
+    """All columns, but for one that is carried itself, as one more column, so that operators carry them whatever their names."""
+    return docs.withColumn(ROW, F.struct(*[F.col(f"`{name}`") for name in docs.columns if name != without]))
 
 
 def _documents(rows: DataFrame, docs: DataFrame, text: str | None = None) -> DataFrame:
@@ -38,8 +38,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = language_id.fit(docs.filter(~language_id.held_out()))
     if not model.languages:
         model = language_id.Model(["any"], np.ones((1, 1)), np.zeros((language_id.FEATURES, 1)), np.zeros(1), np.ones(1))
-    found = language_id.predict(_with_row(docs), model, carry=[ROW])
-    return _documents(found.filter((F.col("lang_pred") != language_id.UNKNOWN) & ~F.col("ambiguous")), docs)
+    found = language_id.predict(_with_row(docs, "text"), model, carry=[ROW, "text"])
+    kept = found.filter((F.col("lang_pred") != language_id.UNKNOWN) & ~F.col("ambiguous"))
+    return kept.select(*[F.col("text") if name == "text" else F.col(ROW)[name].alias(name) for name in docs.columns])
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

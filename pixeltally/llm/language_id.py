@@ -9,7 +9,7 @@ fitted on; if the second best is nearly as near, the answer is flagged as ambigu
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pixeltally.llm.common import freed
+from pixeltally.llm.common import Batches, collected, freed
 from pixeltally.llm.words import chunks
 
 UNKNOWN = "und"
@@ -29,6 +29,8 @@ FIT_BYTES = 128 << 20
 MOST_BITS = 63
 STEPS = 200
 AMBIGUOUS = 0.05
+AT_ONCE = 512
+FEATURE_BYTES = 256 << 10
 
 _LETTER = regex.compile(r"\p{L}")
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}']+")
@@ -63,7 +65,7 @@ def normalized(text: str) -> bytes:
 def features(texts: Sequence[bytes], size: int = FEATURES) -> np.ndarray:
     """For each normalized text its hashed counts of runs of one to four bytes, damped and of length 1."""
     found = np.zeros((len(texts), size), np.float32)
-    for low, high in chunks(texts):
+    for low, high in chunks(texts, FEATURE_BYTES):
         buffer = np.frombuffer(b"".join(texts[low:high]) + b"   ", np.uint8).astype(np.uint32)
         at = np.cumsum([0] + [len(t) for t in texts[low:high]])
         grams = np.zeros(len(buffer) - 3, np.uint32)
@@ -152,15 +154,15 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rows_per_langua
     rates = F.create_map(*[F.lit(v) for name in languages for v in (name, min(1.0, rows_per_language / counts[name]))])
     draw = F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(1 << 20)) / F.lit(float(1 << 20))
 
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def describe(batches: Batches) -> Batches:
         for batch in batches:
-            for part in (batch.slice(at, 512) for at in range(0, batch.num_rows, 512)):
+            for part in _slices(batch):
                 x = features([normalized(t) for t in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([row.astype(np.float16).tobytes() for row in x], pa.binary())], names=["lang", "x"])
 
     sample = labelled.filter(draw < rates[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    rows = sample.mapInArrow(freed(describe), "lang string, x binary").toArrow()
+    rows = collected(sample.mapInArrow(freed(describe), "lang string, x binary"))
     x = np.stack([np.frombuffer(b, np.float16) for b in rows["x"].to_pylist()]).astype(np.float32) if rows.num_rows else np.zeros((0, FEATURES), np.float32)
     names = np.array(rows["lang"].to_pylist())
     order = np.lexsort((x[:, :8].sum(axis=1), names)) if len(names) else np.zeros(0, int)
@@ -171,31 +173,42 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rows_per_langua
 PREDICTED = "lang_pred string, score double, ambiguous boolean"
 
 
+def _slices(batch: pa.RecordBatch) -> Batches:
+    return (batch.slice(at, AT_ONCE) for at in range(0, batch.num_rows, AT_ONCE))
+
+
+def _answers(known: Callable[[], Model], place: int | None) -> Callable[[Batches], Batches]:
+    """Batches of ``carry`` and, where ``place`` does not tell which of its fields it is, the text.
+
+    What a worker holds beside a batch is in proportion to ``AT_ONCE`` of its texts, and so are the batches that it returns.
+    """
+    def answer(batches: Batches) -> Batches:
+        model = known()
+        for part in (part for batch in batches for part in _slices(batch)):
+            texts = (part.column(1) if place is None else part.column(0).field(place)).to_pylist()
+            names, scores, flags = [UNKNOWN] * len(texts), [0.0] * len(texts), [False] * len(texts)
+            told = [i for i, t in enumerate(texts) if t and model.languages and _LETTER.search(t)]
+            if told:
+                best, score, flag = model.decode(features([normalized(texts[i]) for i in told]))
+                for i, b, s, f in zip(told, best.tolist(), score.tolist(), flag.tolist()):
+                    names[i], scores[i], flags[i] = model.languages[b], s, f
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(flags, pa.bool_())],
+                names=["carry", "lang_pred", "score", "ambiguous"])
+    return answer
+
+
 def predict(docs: DataFrame, model: Model, text: str = "text", carry: Sequence[str] = ()) -> DataFrame:
     """``lang_pred, score, ambiguous`` and the columns in ``carry``, one row per row of ``docs``.
 
     The text alone decides, the whole of it. ``und`` with score 0, not ambiguous, if the text is
     null or has no letter, or if no language was learned. Repeated rows get equal answers. Other
-    columns are ignored. An empty table gives an empty result.
+    columns are ignored. An empty table gives an empty result. A text that is carried goes to the workers once.
     """
-    rows = docs.select(F.col(text).alias("text"), F.struct(F.lit(0).alias("no_column"), *carry).alias("carry"))
+    place = 1 + list(carry).index(text) if text in carry else None
+    rows = docs.select(
+        F.struct(F.lit(0).alias("no_column"), *carry).alias("carry"), *([F.col(text).alias("text")] if place is None else []))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # features x bits numbers
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            names, scores, flags = [UNKNOWN] * len(texts), [0.0] * len(texts), [False] * len(texts)
-            told = [i for i, t in enumerate(texts) if t and known.languages and _LETTER.search(t)]
-            for at in range(0, len(told), 512):
-                part = told[at:at + 512]
-                best, score, flag = known.decode(features([normalized(texts[i]) for i in part]))
-                for i, b, s, f in zip(part, best.tolist(), score.tolist(), flag.tolist()):
-                    names[i], scores[i], flags[i] = known.languages[b], s, f
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(flags, pa.bool_())],
-                names=["carry", "lang_pred", "score", "ambiguous"])
-
     kind = rows.schema["carry"].dataType.simpleString()
-    found = rows.mapInArrow(freed(answer), f"carry {kind}, {PREDICTED}")
+    found = rows.mapInArrow(freed(_answers(lambda: shared.value, place)), f"carry {kind}, {PREDICTED}")
     return found.select(*[F.col("carry")[name].alias(name) for name in carry], "lang_pred", "score", "ambiguous")

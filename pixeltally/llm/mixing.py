@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pixeltally.llm.common import stored, word_count
+from pixeltally.llm.common import small_table, stored, word_count
 
 CYCLE = (3, 1, 2)
 SHARE = 1.5
@@ -104,8 +104,8 @@ def mix(
     sizes = {row["source"]: row["size"] for row in rows}
     goal = targets(sizes, cycle, share, passes)
     shard_words = max(shard_words, -(-sum(sizes.values()) // MOST_SHARDS))
-    plan = spark.createDataFrame(
-        [(s, n, float(goal[s]), max(1, -(-n // shard_words))) for s, n in sizes.items()],
+    plan = small_table(
+        spark, [(s, n, float(goal[s]), max(1, -(-n // shard_words))) for s, n in sizes.items()],
         "source string, source_size long, target double, shards int")
 
     # Seeded place of a document: by hash, so that a shard is a mixture of its source.
@@ -117,7 +117,7 @@ def mix(
     for row in placed.groupBy("source", "shard").agg(F.sum("size").alias("size")).collect():
         lengths[row["source"]].append((row["shard"], row["size"]))
     quotas = _quotas(lengths, goal, block_words, passes)
-    quota = spark.createDataFrame(quotas, "quota_source string, quota_shard int, length long, blocks long, quota long")
+    quota = small_table(spark, quotas, "quota_source string, quota_shard int, length long, blocks long, quota long")
 
     before = Window.partitionBy("source", "shard").orderBy("place", "doc_id", "size")
     rows = (

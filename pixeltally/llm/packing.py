@@ -27,7 +27,7 @@ from pixeltally.llm.words import chunks
 CAPACITY = 2048
 SEPARATOR = 0
 GROUP_PIECES = 200_000
-CACHED_WORDS = 600_000
+CACHED_WORDS = 400_000
 BATCH_BYTES = 2 << 20
 
 # From texts to their ids, as bytes of little-endian unsigned 32-bit numbers.
@@ -47,8 +47,8 @@ class WordTokenizer:
     The tokenizer's splitting pattern takes no white space, and its normalizer changes nothing
     across a space, so the ids of a text are those of its parts between spaces and line breaks. It
     lower-cases too, so texts of Latin-1 characters are lower-cased at once, and a word with a mark at its end
-    has the ids of the word and those of the mark. Parts that are not in the bounded cache are encoded
-    together, as one text, and told apart by the ids that end a word. A text with the beginning of a special
+    has the ids of the word and those of the mark; only the word is cached. Parts that are not in the bounded cache are
+    encoded together, as one text, and told apart by the ids that end a word. A text with the beginning of a special
     token goes to the tokenizer whole.
     """
 
@@ -60,6 +60,7 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[number for token, number in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.marks = {mark: self._ids(mark).tobytes() for mark in MARKS}
         self.known: dict[str, bytes] = {}
         self.former: dict[str, bytes] = {}
 
@@ -84,14 +85,10 @@ class WordTokenizer:
         else:  # a part that the pattern and the tokenizer don't split alike
             self.known.update((p, self._ids(p).tobytes()) for p in parts)
 
-    def _learn(self, parts: list[str]) -> None:
-        marked = [p for p in parts if p[-1:] in MARKS and p[:-1].isalpha()]
-        alone = {*parts, *MARKS}.difference(marked).union(p[:-1] for p in marked).difference(self.known)
-        new = sorted(alone)
+    def _learn(self, parts: set[str]) -> None:
+        new = sorted(parts)
         for at in range(0, len(new), 5000):
             self._encode(new[at:at + 5000])
-        known = self.known
-        known.update([(p, known[p[:-1]] + known[p[-1]]) for p in marked])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Texts are split, numbered by their different parts and joined again as arrays, all at once."""
@@ -102,10 +99,16 @@ class WordTokenizer:
         parts = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > CACHED_WORDS // 2:  # what is met again comes back from the former half
             self.former, self.known = self.known, {}
-        missing = [p for p in parts if p not in self.known]
+        marked = [i for i, p in enumerate(parts) if p.endswith(MARKS) and p[:-1].isalpha()]
+        marks = [self.marks[parts[i][-1]] for i in marked]
+        for i in marked:
+            parts[i] = parts[i][:-1]
+        missing = {p for p in parts if p not in self.known}
         self.known.update([(p, self.former[p]) for p in missing if p in self.former])
-        self._learn([p for p in missing if p not in self.known])
+        self._learn({p for p in missing if p not in self.known})
         found = list(map(self.known.__getitem__, parts))
+        for i, mark in zip(marked, marks):
+            found[i] += mark
         lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
         of = numbered.indices.to_numpy()
         flat = np.frombuffer(b"".join(found), "<u4")
