@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pixeltally.llm import language_id, line_dedup, minhash, mixing, packing
 from pixeltally.llm.common import WORD, stored
-from pixeltally.llm.registry import word_ids
+from pixeltally.llm.registry import word_ids_of_few
 
 ROW = "whole_row"
 
@@ -85,7 +85,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 tokens and their places in sequences."""
-    return packing.packed(docs, word_ids)
+    return packing.packed(docs, word_ids_of_few)
 
 
 STAGES = [

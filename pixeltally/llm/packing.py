@@ -27,7 +27,7 @@ from pixeltally.llm.words import chunks
 CAPACITY = 2048
 SEPARATOR = 0
 GROUP_PIECES = 200_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 BATCH_BYTES = 2 << 20
 
 # From texts to their ids, as bytes of little-endian unsigned 32-bit numbers.
@@ -52,7 +52,7 @@ class WordTokenizer:
     token goes to the tokenizer whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -60,6 +60,7 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[number for token, number in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.cached = cached
         self.marks = {mark: self._ids(mark).tobytes() for mark in MARKS}
         self.known: dict[str, bytes] = {}
         self.former: dict[str, bytes] = {}
@@ -97,7 +98,7 @@ class WordTokenizer:
         split = pc.split_pattern(spaced, " ")
         numbered = split.flatten().dictionary_encode()
         parts = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(self.known) > CACHED_WORDS // 2:  # what is met again comes back from the former half
+        if len(self.known) > (self.cached or CACHED_WORDS) // 2:  # what is met again comes back from the former half
             self.former, self.known = self.known, {}
         marked = [i for i, p in enumerate(parts) if p.endswith(MARKS) and p[:-1].isalpha()]
         marks = [self.marks[parts[i][-1]] for i in marked]
@@ -134,9 +135,9 @@ def _lower(text: str) -> str:
 
 
 @lru_cache(maxsize=2)
-def word_tokenizer(path: str) -> WordTokenizer:
+def word_tokenizer(path: str, cached: int | None = None) -> WordTokenizer:
     """One for each Python worker; its path is read on the worker."""
-    return WordTokenizer(path)
+    return WordTokenizer(path, cached)
 
 
 def pieces(docs: DataFrame, tokenize: Tokenize, capacity: int = CAPACITY, separator: int = SEPARATOR,
